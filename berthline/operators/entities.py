@@ -16,7 +16,8 @@ from berthline.dims import entity_index
 from berthline.functions.text import _col
 
 EXACT, AREA_PART, UNIQUE_NAME, NAME_PART = 1, 2, 3, 4
-_AREA_KEY, _NAME_KEY = "a", "n"
+# probe kinds: the map's text lies in the listing's, or is the larger one
+_AREA_IN, _AREA_OF, _NAME_IN, _NAME_OF = "a<", "a>", "n<", "n>"
 MAX_AREA_CASES = 256
 
 
@@ -35,9 +36,10 @@ def substrings(text: Column | str, lengths: Column | str | None = None) -> Colum
     return F.when(n > 0, F.array_distinct(F.flatten(nested))).otherwise(none)
 
 
-def _lengths(df: DataFrame, column: str) -> Column:
-    """Scalar: the distinct text lengths of a column (no more than the longest text)."""
-    return df.agg(F.collect_set(F.length(column)).alias("lengths")).scalar()
+def _lengths(df: DataFrame, *columns: str) -> Column:
+    """Scalar struct: the distinct text lengths of columns (no more than their longest text)."""
+    sets = [F.collect_set(F.length(c)).alias(c) for c in columns]
+    return df.agg(F.struct(*sets).alias("lengths")).scalar()
 
 
 def _with_empty(parts: Column, strict: bool) -> Column:
@@ -46,55 +48,52 @@ def _with_empty(parts: Column, strict: bool) -> Column:
 
 def _candidates(entities: DataFrame, strict: bool) -> DataFrame:
     """(kind, k1, k2) -> best (stage, ord, boat_id): one row per probe key."""
-    best = F.struct("stage", "ord", "boat_id")
-
-    def rows(src: DataFrame, kind: str, stage: int, k1: Column, k2: Column) -> DataFrame:
-        return src.select(
-            F.lit(kind).alias("kind"),
-            k1.alias("k1"),
-            k2.alias("k2"),
-            F.lit(stage).alias("stage"),
-            "ord",
-            "boat_id",
+    name, area, none = F.col("name"), F.col("area"), F.lit("")
+
+    def key(kind: str, k1: Column, k2: Column, stage: int) -> Column:
+        return F.struct(
+            F.lit(kind).alias("kind"), k1.alias("k1"), k2.alias("k2"), F.lit(stage).alias("stage")
         )
 
-    name, area, none = F.col("name"), F.col("area"), F.lit("")
-    area_parts = F.explode(_with_empty(substrings(area), strict))
-    name_parts = F.explode(_with_empty(substrings(name), strict))
-    one = entity_index(entities).filter("entries = 1")
-    keys = (
-        rows(entities, "x", EXACT, name, area)
-        # map area contained in the listing's area, then the other way round
-        .union(rows(entities, _AREA_KEY, AREA_PART, name, area))
-        .union(rows(entities, _AREA_KEY + "r", AREA_PART, name, area_parts))
-        .union(rows(one, "u", UNIQUE_NAME, name, none))
-        .union(rows(one, _NAME_KEY, NAME_PART, name, none))
-        .union(rows(one, _NAME_KEY + "r", NAME_PART, name_parts, none))
+    area_parts = _with_empty(substrings(area), strict)
+    name_parts = _with_empty(substrings(name), strict)
+    by_area = F.concat(
+        F.array(key("x", name, area, EXACT), key(_AREA_IN, name, area, AREA_PART)),
+        F.transform(area_parts, lambda part: key(_AREA_OF, name, part, AREA_PART)),
     )
-    return keys.groupBy("kind", "k1", "k2").agg(F.min(best).alias("hit"))
+    by_name = F.concat(
+        F.array(key("u", name, none, UNIQUE_NAME), key(_NAME_IN, name, none, NAME_PART)),
+        F.transform(name_parts, lambda part: key(_NAME_OF, part, none, NAME_PART)),
+    )
+    single = entity_index(entities).filter("entries = 1").select("name", F.lit(True).alias("single"))
+    keys = entities.join(single, "name", "left").select(
+        "ord",
+        "boat_id",
+        F.inline(F.when(F.col("single"), F.concat(by_area, by_name)).otherwise(by_area)),
+    )
+    best = F.min(F.struct("stage", "ord", "boat_id"))
+    return keys.groupBy("kind", "k1", "k2").agg(best.alias("hit"))
 
 
 def _probes(pairs: DataFrame, entities: DataFrame, strict: bool) -> DataFrame:
     """Every key under which a (name, area) pair may be found."""
     name, area, none = F.col("ship_name"), F.col("area_sub"), F.lit("")
-    sized = pairs.withColumn("name_lengths", _lengths(entities, "name")).withColumn(
-        "area_lengths", _lengths(entities, "area")
-    )
+    sized = pairs.withColumn("lengths", _lengths(entities, "name", "area"))
 
     def key(kind: str, k1: Column, k2: Column) -> Column:
         return F.struct(F.lit(kind).alias("kind"), k1.alias("k1"), k2.alias("k2"))
 
-    in_area = _with_empty(substrings(area, "area_lengths"), strict)
-    in_name = _with_empty(substrings(name, "name_lengths"), strict)
+    in_area = _with_empty(substrings(area, "lengths.area"), strict)
+    in_name = _with_empty(substrings(name, "lengths.name"), strict)
     keys = F.concat(
         F.array(
             key("x", name, area),
-            key(_AREA_KEY + "r", name, area),
+            key(_AREA_OF, name, area),
             key("u", name, none),
-            key(_NAME_KEY + "r", name, none),
+            key(_NAME_OF, name, none),
         ),
-        F.transform(in_area, lambda part: key(_AREA_KEY, name, part)),
-        F.transform(in_name, lambda part: key(_NAME_KEY, part, none)),
+        F.transform(in_area, lambda part: key(_AREA_IN, name, part)),
+        F.transform(in_name, lambda part: key(_NAME_IN, part, none)),
     )
     return sized.select("ship_name", "area_sub", F.inline(keys))
 
@@ -193,7 +192,7 @@ def lookup_area(
         return df.withColumn("area_main", F.coalesce(own, found))
     distinct = df.select("area_sub").distinct().withColumn("lengths", _lengths(areas, "sub"))
     first = areas.groupBy("sub").agg(F.min(F.struct("ord", "main")).alias("entry"))
-    probes = distinct.select("area_sub", F.explode(substrings("area_sub", "lengths")).alias("sub"))
+    probes = distinct.select("area_sub", F.explode(substrings("area_sub", "lengths.sub")).alias("sub"))
     found = (
         probes.join(first, "sub")
         .groupBy("area_sub")

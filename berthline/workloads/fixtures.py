@@ -101,9 +101,12 @@ class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark = spark
         self.dir = sf_dir
+        self._read: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+        if name not in self._read:
+            self._read[name] = self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+        return self._read[name]
 
     def sql(self, query: str, **frames: DataFrame) -> DataFrame:
         """Spark SQL with {name} standing for driver tables, domain views or given frames."""
