@@ -114,7 +114,7 @@ def page_store_id(html: Column | str, directory_id: Column | str) -> Column:
     h, own = _col(html), _col(directory_id)
 
     def hit(pattern: Column) -> Column:
-        return F.nullif(F.regexp_extract(h, pattern, 1), F.lit(""))
+        return F.nullif(F.call_function("regexp_extract", h, pattern, F.lit(1)), F.lit(""))
 
     flags = "(?dU)"
     return F.coalesce(

@@ -112,7 +112,11 @@ class Tables:
         """Spark SQL with {name} standing for driver tables, domain views or given frames."""
         needed = {n: self.table(n) for n in TABLES if f"{{{n}}}" in query}
         needed |= {n: getattr(self, n) for n in VIEWS if f"{{{n}}}" in query}
-        return self.spark.sql(query, **needed, **frames)
+        frames |= needed
+        text = query.replace("{", "{{").replace("}", "}}")
+        for name in frames:
+            text = text.replace(f"{{{{{name}}}}}", f"{{{name}}}")
+        return self.spark.sql(text, **frames)
 
     @cached_property
     def daily_metrics(self) -> DataFrame:
