@@ -17,15 +17,14 @@ _COMPACT = r"^[0-9]{8}$"
 def iso_date(text: Column | str) -> Column:
     """Date of an ISO text, null for anything else."""
     c = _col(text)
-    return F.when(c.rlike(_ISO), F.try_to_date(c, "yyyy-MM-dd"))
+    return F.when(c.rlike(_ISO), c.try_cast("date"))
 
 
 def sheet_date(text: Column | str, compact: bool = False) -> Column:
     """Date of a sheet cell with dashes or slashes; ``compact`` also takes yyyymmdd."""
     c = F.trim(_col(text))
     date = F.when(
-        c.rlike(_ISO_OR_SLASH),
-        F.try_to_date(F.replace(c, F.lit("/"), F.lit("-")), "yyyy-MM-dd"),
+        c.rlike(_ISO_OR_SLASH), F.replace(c, F.lit("/"), F.lit("-")).try_cast("date")
     )
     return date.when(c.rlike(_COMPACT), F.try_to_date(c, "yyyyMMdd")) if compact else date
 

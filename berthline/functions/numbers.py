@@ -30,12 +30,6 @@ def strict_int(value: Column | str, default: int | None = 0) -> Column:
     return F.coalesce(_col(value).try_cast("bigint"), F.lit(default).cast("bigint"))
 
 
-def variant_int(record: Column, field: str, default: int | None = 0) -> Column:
-    return F.coalesce(
-        F.try_variant_get(record, "$." + field, "bigint"), F.lit(default).cast("bigint")
-    )
-
-
 def safe_ratio(num: Column | str, den: Column | str, scale: float = 1.0) -> Column:
     """num * scale / den as double; null for a zero or missing denominator."""
     top = _col(num).cast("double")

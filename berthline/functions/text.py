@@ -7,6 +7,9 @@ from pyspark.sql import Column, functions as F
 from berthline import fixed_values as fv
 
 
+_WHITE_SPACE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
+
+
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -61,7 +64,7 @@ def clock(text: Column | str) -> Column:
 
 def strip(text: Column | str) -> Column:
     """Remove white space of every kind from both ends."""
-    return F.regexp_replace(_col(text), r"(?U)^\s+|\s+$", "")
+    return F.btrim(_col(text), F.lit(_WHITE_SPACE))
 
 
 def or_default(value: Column | str, default) -> Column:

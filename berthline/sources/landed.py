@@ -11,9 +11,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from berthline import fixed_values as fv
-from berthline.functions.numbers import variant_int
 from berthline.functions.text import join_variant_names
-from berthline.schemas import PAYLOAD_COLUMNS, PAYLOAD_TYPES
+from berthline.schemas import PAYLOAD_COLUMNS, PAYLOAD_TYPES, SEAT_COLUMNS
 
 _FALSY = ("null", "false", "0", '""', "{}", "[]")
 _FILE_DATE = r"(\d{4}-\d{2}-\d{2})[^/]*$"
@@ -82,55 +81,58 @@ def read_landed(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return explode_landed(landed_docs(spark, path))
 
 
-def normalize_aliases(
-    df: DataFrame, run_ts: Column, aliases: dict[str, list[str]] | None = None
-) -> DataFrame:
-    """Records to the 16 snapshot columns: per field the first alias that is not null.
+def take_apart(df: DataFrame, record: str) -> DataFrame:
+    """Replace the variant ``rec`` by the struct ``r`` of its known fields, cast once per record.
 
-    Dates stay text, as landed.  Other columns of ``df`` are kept.
+    The cast sits in a generator, which filters are not pushed through: a
+    filter on parsed fields would otherwise repeat the parsing for each of its
+    mentions of a field.
     """
-    names = fv.FIELD_ALIASES if aliases is None else aliases
-    rec = F.col("rec")
+    fields = F.array(F.try_variant_get("rec", "$", record))
+    return df.select(*[c for c in df.columns if c != "rec"], F.explode(fields).alias("r"))
 
-    def first(field: str, dtype: str) -> Column:
-        return F.coalesce(*[F.try_variant_get(rec, "$." + a, dtype) for a in names[field]])
 
-    def text(field: str) -> Column:
-        return F.coalesce(first(field, "string"), F.lit(""))
+_LISTS = ("fish_types", "fishing_methods")
+_COUNTS = ("total_seats", "reserved_seats", "remain_seats")
 
-    def count(field: str) -> Column:
-        # the first non-null alias decides, even if it is no number
-        chain = None
-        for alias in names[field]:
-            present = F.try_variant_get(rec, "$." + alias, "string").isNotNull()
-            value = variant_int(rec, alias)
-            chain = F.when(present, value) if chain is None else chain.when(present, value)
-        return chain.otherwise(F.lit(0).cast("bigint"))
 
-    def number_or_text(field: str) -> Column:
-        return F.coalesce(F.nullif(first(field, "string"), F.lit("")), F.lit("0"))
+def normalize_aliases(
+    df: DataFrame, run_ts: Column, aliases: dict[str, list[str]] | None = None
+) -> DataFrame:
+    """Records to the 16 snapshot columns: per field the first alias that is not null.
 
-    return df.select(
-        *[c for c in df.columns if c != "rec"],
-        run_ts.alias("collected_at"),
-        *[
-            text(f).alias(f)
-            for f in (
-                "ship_name",
-                "area_name",
-                "port_name",
-                "fishing_date",
-                "depart_time",
-                "return_time",
-            )
-        ],
-        *[
-            join_variant_names(first(f, "variant")).alias(f)
-            for f in ("fish_types", "fishing_methods")
-        ],
-        number_or_text("price").alias("price"),
-        *[count(f).alias(f) for f in ("total_seats", "reserved_seats", "remain_seats")],
-        *[text(f).alias(f) for f in ("status_code", "status_name", "schedule_no")],
+    Each record is taken apart by one cast to a struct of all aliases.  Dates
+    stay text, as landed.  Other columns of ``df`` are kept.
+    """
+    names = fv.FIELD_ALIASES if aliases is None else aliases
+    kinds = {f: "variant" if f in _LISTS + _COUNTS else "string" for f in names}
+    known = {alias: kinds[field] for field, options in names.items() for alias in options}
+    record = ",".join(f"`{alias}`:{kind}" for alias, kind in known.items())
+    keep = [c for c in df.columns if c != "rec"]
+    r = F.col("r")
+
+    def first(field: str) -> Column:
+        return F.coalesce(*[r[alias] for alias in names[field]])
+
+    def first_variant(field: str) -> Column:
+        return F.coalesce(
+            *[F.when(~F.is_variant_null(r[alias]), r[alias]) for alias in names[field]]
+        )
+
+    def value(field: str) -> Column:
+        if field in _LISTS:
+            return join_variant_names(first_variant(field))
+        if field in _COUNTS:
+            count = F.try_variant_get(first_variant(field), "$", "bigint")
+            return F.coalesce(count, F.lit(0).cast("bigint"))
+        if field == "price":
+            return F.coalesce(F.nullif(first(field), F.lit("")), F.lit("0"))
+        return F.coalesce(first(field), F.lit(""))
+
+    rows = take_apart(df, f"struct<{record}>")
+    fields = [f for f in SEAT_COLUMNS if f != "collected_at"]
+    return rows.select(
+        *keep, run_ts.alias("collected_at"), *[value(f).alias(f) for f in fields]
     )
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from berthline import fixed_values as fv
 from berthline.functions.dates import iso_date
-from berthline.functions.numbers import seat_status_name, variant_int
+from berthline.functions.numbers import seat_status_name
 from berthline.functions.text import (
     clock,
     join_names,
@@ -19,8 +19,17 @@ from berthline.functions.text import (
     truncate,
 )
 from berthline.schemas import SEAT_COLUMNS, SEAT_WIDTHS
+from berthline.sources.landed import take_apart
 
-_NAMES = "array<struct<name:string>>"
+REASON = "reject_reason"
+
+# A record is taken apart by one cast.  Fields whose JSON null differs from a
+# missing field, or whose JSON type matters, stay VARIANT.
+_RECORD_V1 = """struct<
+  name:variant, area_name:variant, port_name:variant, sdate:string, stime:string, etime:string,
+  fish_type:array<struct<name:string>>, fishing_method:array<struct<name:string>>, price:variant,
+  embarkation_num:bigint, reservation_ready_num:bigint, remain_embarkation_num:bigint,
+  schedule_status_code:variant, schedule_status_name:variant, ship_schedule_no:string>"""
 _NOT_NULL_IF_PRESENT = (
     "name",
     "area_name",
@@ -28,31 +37,32 @@ _NOT_NULL_IF_PRESENT = (
     "schedule_status_code",
     "schedule_status_name",
 )
-REASON = "reject_reason"
-
-
-def _text(field: str) -> Column:
-    return F.try_variant_get("rec", "$." + field, "string")
+_RECORD_V2 = """struct<
+  ship:struct<no:bigint, name:string, area_main:string, area_sub:string, lat:double, lng:double>,
+  sdate:variant, stime:string, etime:string, fish_type:string, fishing_method:string,
+  remain_embarkation_num:bigint, schedule_status_code:string, schedule_status_name:string,
+  price:bigint, schedule_no:string>"""
 
 
-def _or_empty(field: str) -> Column:
-    return F.coalesce(_text(field), F.lit(""))
+def _or_empty(c: Column) -> Column:
+    return F.coalesce(c, F.lit(""))
 
 
-def _json_null(field: str) -> Column:
-    return F.coalesce(F.is_variant_null(F.try_variant_get("rec", "$." + field, "variant")), F.lit(False))
+def _text(c: Column) -> Column:
+    return F.try_variant_get(c, "$", "string")
 
 
-def _reject_reason(lists: tuple[str, ...]) -> Column:
+def _reject_reason() -> Column:
     """First reason why a record cannot be parsed, null if it can."""
-    reasons = [F.when(_json_null(f), F.lit(f"{f} is null")) for f in _NOT_NULL_IF_PRESENT]
-    for field in lists:
-        unnamed = F.exists(
-            F.try_variant_get("rec", "$." + field, _NAMES), lambda n: n["name"].isNull()
-        )
+    r = F.col("r")
+    reasons = [
+        F.when(F.coalesce(F.is_variant_null(r[f]), F.lit(False)), F.lit(f"{f} is null"))
+        for f in _NOT_NULL_IF_PRESENT
+    ]
+    for field in ("fish_type", "fishing_method"):
+        unnamed = F.exists(r[field], lambda n: n["name"].isNull())
         reasons.append(F.when(unnamed, F.lit(f"{field} without name")))
-    price_kind = F.schema_of_variant(F.try_variant_get("rec", "$.price", "variant"))
-    text_price = (price_kind == "STRING") & (_text("price") != "")
+    text_price = (F.schema_of_variant(r["price"]) == "STRING") & (_text(r["price"]) != "")
     reasons.append(F.when(text_price, F.lit("price is text")))
     return F.coalesce(*reasons)
 
@@ -63,31 +73,31 @@ def parse_listing_v1(df: DataFrame, run_ts: Column) -> DataFrame:
     Records that the listing format does not allow keep their row, so that
     ``split_rejects`` can set them aside with the reason.
     """
-    lists = ("fish_type", "fishing_method")
+    r, zero = F.col("r"), F.lit(0).cast("bigint")
     values = {
-        "ship_name": _or_empty("name"),
-        "area_name": _or_empty("area_name"),
-        "port_name": _or_empty("port_name"),
-        "fishing_date": iso_date(_text("sdate")),
-        "depart_time": clock(_text("stime")),
-        "return_time": clock(_text("etime")),
-        "fish_types": join_names(F.try_variant_get("rec", "$.fish_type", _NAMES)),
-        "fishing_methods": join_names(F.try_variant_get("rec", "$.fishing_method", _NAMES)),
-        "price": price_label(F.try_variant_get("rec", "$.price", "bigint")),
-        "total_seats": variant_int(F.col("rec"), "embarkation_num"),
-        "reserved_seats": variant_int(F.col("rec"), "reservation_ready_num"),
-        "remain_seats": variant_int(F.col("rec"), "remain_embarkation_num"),
-        "status_code": _or_empty("schedule_status_code"),
-        "status_name": _or_empty("schedule_status_name"),
-        "schedule_no": _or_empty("ship_schedule_no"),
+        "ship_name": _or_empty(_text(r["name"])),
+        "area_name": _or_empty(_text(r["area_name"])),
+        "port_name": _or_empty(_text(r["port_name"])),
+        "fishing_date": iso_date(r["sdate"]),
+        "depart_time": clock(r["stime"]),
+        "return_time": clock(r["etime"]),
+        "fish_types": join_names(r["fish_type"]),
+        "fishing_methods": join_names(r["fishing_method"]),
+        "price": price_label(F.try_variant_get(r["price"], "$", "bigint")),
+        "total_seats": F.coalesce(r["embarkation_num"], zero),
+        "reserved_seats": F.coalesce(r["reservation_ready_num"], zero),
+        "remain_seats": F.coalesce(r["remain_embarkation_num"], zero),
+        "status_code": _or_empty(_text(r["schedule_status_code"])),
+        "status_name": _or_empty(_text(r["schedule_status_name"])),
+        "schedule_no": _or_empty(r["ship_schedule_no"]),
     }
     for name, width in SEAT_WIDTHS.items():
         values[name] = truncate(values[name], width)
     values["collected_at"] = run_ts
-    return df.select(
+    return take_apart(df, _RECORD_V1).select(
         *[c for c in df.columns if c != "rec"],
         *[values[name].alias(name) for name in SEAT_COLUMNS],
-        _reject_reason(lists).alias(REASON),
+        _reject_reason().alias(REASON),
     )
 
 
@@ -107,27 +117,28 @@ def parse_listing_v2(df: DataFrame, request_date: str = "request_date") -> DataF
     ``area_main`` is the feed's value or null; ``feed_lat``/``feed_lng`` are the
     feed's coordinates.  ``request_date`` stays as the bucket of the row.
     """
-    has_date = F.try_variant_get("rec", "$.sdate", "variant").isNotNull()
-    return df.select(
+    r = F.col("r")
+    ship = r["ship"]
+    return take_apart(df, _RECORD_V2).select(
         *[c for c in df.columns if c != "rec"],
-        F.try_variant_get("rec", "$.ship.no", "bigint").alias("feed_ship_no"),
-        F.coalesce(strip(_text("ship.name")), F.lit("")).alias("ship_name"),
-        F.nullif(_text("ship.area_main"), F.lit("")).alias("area_main"),
-        F.coalesce(strip(_text("ship.area_sub")), F.lit("")).alias("area_sub"),
-        F.try_variant_get("rec", "$.ship.lat", "double").alias("feed_lat"),
-        F.try_variant_get("rec", "$.ship.lng", "double").alias("feed_lng"),
-        F.when(has_date, _text("sdate"))
-        .otherwise(F.date_format(request_date, "yyyy-MM-dd"))
+        ship["no"].alias("feed_ship_no"),
+        _or_empty(strip(ship["name"])).alias("ship_name"),
+        F.nullif(ship["area_main"], F.lit("")).alias("area_main"),
+        _or_empty(strip(ship["area_sub"])).alias("area_sub"),
+        ship["lat"].alias("feed_lat"),
+        ship["lng"].alias("feed_lng"),
+        F.when(r["sdate"].isNotNull(), _text(r["sdate"]))
+        .otherwise(F.col(request_date).cast("string"))
         .alias("sdate"),
-        clock(_text("stime")).alias("stime"),
-        clock(_text("etime")).alias("etime"),
-        _or_empty("fish_type").alias("fish_type"),
-        _or_empty("fishing_method").alias("method"),
-        variant_int(F.col("rec"), "remain_embarkation_num").alias("remain"),
-        or_default(_text("schedule_status_code"), fv.STATUS_OPEN).alias("status"),
-        _or_empty("schedule_status_name").alias("status_name"),
-        F.nullif(variant_int(F.col("rec"), "price", None), F.lit(0)).alias("price"),
-        _text("schedule_no").alias("schedule_no"),
+        clock(r["stime"]).alias("stime"),
+        clock(r["etime"]).alias("etime"),
+        _or_empty(r["fish_type"]).alias("fish_type"),
+        _or_empty(r["fishing_method"]).alias("method"),
+        F.coalesce(r["remain_embarkation_num"], F.lit(0).cast("bigint")).alias("remain"),
+        or_default(r["schedule_status_code"], fv.STATUS_OPEN).alias("status"),
+        _or_empty(r["schedule_status_name"]).alias("status_name"),
+        F.nullif(r["price"], F.lit(0)).alias("price"),
+        r["schedule_no"].alias("schedule_no"),
         F.lit(fv.LISTING_SOURCE).alias("source"),
     )
 

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from berthline import fixed_values as fv
 from berthline.functions.dates import iso_date
-from berthline.operators.dedup import dedup_audit
+from berthline.operators.dedup import dedup_last
 from berthline.schemas import NATURAL_KEY, SEAT_COLUMNS
 from berthline.sinks.tables import append_history, publish, read_history, upsert
 from berthline.sources.landed import explode_landed, normalize_aliases
@@ -41,25 +41,35 @@ def ingest_batch(
     staging = f"{staging_root}/batch-{batch_id}"
     now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)
     if STAGED in done:
-        publish(spark, staging, target)
+        publish(spark, f"{staging}/state", target)
         append_history(spark, history, now, batch_id, 0, note="published from staging")
         return
-    rows = seat_rows(docs, F.col("landed_at").cast("timestamp_ntz"))
     try:
+        rows, counts = _stage_rows(docs, f"{staging}/rows")
         upsert(
             target,
             rows,
-            staging=staging,
+            staging=f"{staging}/state",
             on_staged=lambda: append_history(spark, history, now, batch_id, 0, STAGED),
         )
-        audit = dedup_audit(rows, NATURAL_KEY).first()
-        note = f"rows {audit.rows_in}, after dedup {audit.rows_out}"
-        append_history(spark, history, now, batch_id, audit.rows_out, note=note)
+        note = f"rows {counts[0]}, after dedup {counts[1]}"
+        append_history(spark, history, now, batch_id, counts[1], note=note)
     except Exception as error:
         append_history(spark, history, now, batch_id, 0, fv.RUN_FAILED, str(error))
         raise
 
 
+def _stage_rows(docs: DataFrame, path: str) -> tuple[DataFrame, tuple[int, int]]:
+    """Parse a batch once, keep its last row per key, and write it; row counts before and after."""
+    before, after = Observation(), Observation()
+    run_ts = F.col("landed_at").cast("timestamp_ntz")
+    rows = seat_rows(docs, run_ts).observe(before, F.count(F.lit(1)).alias("n"))
+    last = dedup_last(rows, NATURAL_KEY, ["collected_at", "ord"])
+    last.observe(after, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
+    staged = docs.sparkSession.read.schema(last.schema).parquet(path)
+    return staged, (before.get["n"], after.get["n"])
+
+
 def landing_stream(spark: SparkSession, landing: str, max_files: int = 10_000) -> DataFrame:
     """New files of a landing folder, one row per file."""
     reader = spark.readStream.option("wholetext", True).option("maxFilesPerTrigger", max_files)

@@ -74,6 +74,20 @@ TABLES = (
     "benchmark labels conversations"
 ).split()
 
+# Schemas of the tables that the views read: no job to infer them.
+TABLE_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "pages": "page_id bigint, url string, html string",
+}
+
 
 def duckdb_sql(sql: str) -> str:
     """A query over the views, with the views it names as CTEs."""
@@ -105,7 +119,10 @@ class Tables:
 
     def table(self, name: str) -> DataFrame:
         if name not in self._read:
-            self._read[name] = self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+            reader = self.spark.read
+            if name in TABLE_SCHEMAS:
+                reader = reader.schema(TABLE_SCHEMAS[name])
+            self._read[name] = reader.parquet(f"{self.dir}/{name}.parquet")
         return self._read[name]
 
     def sql(self, query: str, **frames: DataFrame) -> DataFrame:
