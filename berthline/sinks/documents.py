@@ -163,7 +163,7 @@ def _document(spark: SparkSession, path: str, updated_at: str, count: int) -> Da
     entries = lines.agg(F.sort_array(F.collect_list("entry")).alias("entries"))
     rows = F.array_join(F.transform("entries", lambda e: e["value"]), ",")
     head = F.to_json(F.struct(F.lit(updated_at).alias("updated_at"), F.lit(count).alias("row_count")))
-    body = F.concat(F.rtrim(F.lit("}"), head), F.lit(',"rows":['), rows, F.lit("]}"))
+    body = F.concat(F.regexp_replace(head, r"\}$", ""), F.lit(',"rows":['), rows, F.lit("]}"))
     return entries.select(body.alias("value"))
 
 

@@ -3,62 +3,94 @@
 from __future__ import annotations
 
 import re
-from html.parser import HTMLParser
+from html import unescape
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_SILENT = frozenset(("script", "style", "template"))
+_SILENT = frozenset(("template",))
+_SLOTS = {"span": ("day", "num"), "ul": ("schedule2",)}
+_TOKEN = re.compile(
+    r"<(?P<raw>script|style)\b.*?</(?P=raw)\s*>|<!--.*?-->|<[!?][^>]*>"
+    r"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
+    re.DOTALL | re.IGNORECASE,
+)
+_CLASS = re.compile(r"\bclass\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
+_ONCLICK = re.compile(r"\bonclick\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
 _DATE_LINK = re.compile(r"date=\d{8}")
-class CellParser(HTMLParser):
-    """Collects day, number, species text and date link of each table cell of one page."""
 
-    _SLOTS = {("span", "day"): "day", ("span", "num"): "num", ("ul", "schedule2"): "fish"}
 
-    def __init__(self) -> None:
-        super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, dict | None, list[list[str]]]] = []
-        self.cells: list[dict] = []
+def _value(pattern: re.Pattern, attrs: str) -> str:
+    found = pattern.search(attrs)
+    return unescape(found[found.lastindex]) if found else ""
 
-    def handle_starttag(self, tag: str, attrs: list) -> None:
-        values = dict(attrs)
+
+def page_cells(html: str) -> list[tuple[str, str, str, str]]:
+    """(day, number, species text, date link) of each table cell that has a day and a number.
+
+    The first matching element anywhere inside a cell counts.  An end tag closes
+    everything that was opened after its start tag; a stray one is ignored.
+    """
+    stack: list[tuple[str, dict | None, int]] = []
+    cells: list[dict] = []
+    inside: list[dict] = []  # open cells
+    sinks: list[list[str]] = []  # text lists of open elements that are collected
+    silent = 0
+    end = 0
+    for token in _TOKEN.finditer(html):
+        if sinks and not silent and token.start() > end:
+            text = unescape(html[end : token.start()]).strip()
+            if text:
+                for sink in sinks:
+                    sink.append(text)
+        end = token.end()
+        tag = token["tag"]
+        if tag is None:
+            continue
+        tag = tag.lower()
+        if token["close"]:
+            if any(entry[0] == tag for entry in stack):
+                while True:
+                    name, cell, added = stack.pop()
+                    if cell is not None:
+                        inside.pop()
+                    if added:
+                        del sinks[-added:]
+                    silent -= name in _SILENT
+                    if name == tag:
+                        break
+            continue
+        added = 0
+        if inside and tag in _SLOTS:
+            classes = _value(_CLASS, token["attrs"]).split()
+            for slot in _SLOTS[tag]:
+                if slot in classes:
+                    for outer in inside:
+                        if slot not in outer:
+                            outer[slot] = parts = []
+                            sinks.append(parts)
+                            added += 1
+        elif inside and tag == "a":
+            onclick = _value(_ONCLICK, token["attrs"])
+            if _DATE_LINK.search(onclick):
+                for outer in inside:
+                    outer.setdefault("onclick", onclick)
         cell = None
-        texts: list[list[str]] = []
-        around = [c for _, c, _ in self.open if c is not None]
-        for css in (values.get("class") or "").split():
-            slot = self._SLOTS.get((tag, css))
-            for outer in around if slot else ():
-                if slot not in outer:
-                    outer[slot] = parts = []
-                    texts.append(parts)
-        onclick = values.get("onclick") or ""
-        if tag == "a" and _DATE_LINK.search(onclick):
-            for outer in around:
-                outer.setdefault("onclick", onclick)
         if tag == "td":
             cell = {}
-            self.cells.append(cell)
-        if tag not in _VOID:
-            self.open.append((tag, cell, texts))
-
-    def handle_endtag(self, tag: str) -> None:
-        for i in range(len(self.open) - 1, -1, -1):
-            if self.open[i][0] == tag:
-                del self.open[i:]
-                return
-
-    def handle_data(self, data: str) -> None:
-        text = data.strip()
-        if text and not (self.open and self.open[-1][0] in _SILENT):
-            for _, _, texts in self.open:
-                for parts in texts:
-                    parts.append(text)
-
-
-def page_cells(html: str) -> list[tuple[str, str, str, str]]:
-    parser = CellParser()
-    parser.feed(html)
-    parser.close()
+            cells.append(cell)
+        if tag in _VOID or token["attrs"].endswith("/"):
+            del sinks[len(sinks) - added :]
+            continue
+        if cell is not None:
+            inside.append(cell)
+        silent += tag in _SILENT
+        stack.append((tag, cell, added))
     return [
-        ("".join(c["day"]), "".join(c["num"]), " ".join(c.get("fish", ())), c.get("onclick", ""))
-        for c in parser.cells
+        (
+            "".join(c["day"]),
+            "".join(c["num"]),
+            " ".join(c.get("schedule2", ())),
+            c.get("onclick", ""),
+        )
+        for c in cells
         if "day" in c and "num" in c
     ]
