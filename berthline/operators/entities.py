@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from berthline import fixed_values as fv
 from berthline.dims import entity_index
 from berthline.functions.text import _col
+from berthline.session import stored
 
 EXACT, AREA_PART, UNIQUE_NAME, NAME_PART = 1, 2, 3, 4
 # probe kinds: the map's text lies in the listing's, or is the larger one
@@ -119,7 +120,11 @@ def resolve_pairs(pairs: DataFrame, entities: DataFrame, strict: bool = True) ->
 
 
 def resolve_entities(
-    df: DataFrame, entities: DataFrame, strict: bool = True, coords: DataFrame | None = None
+    df: DataFrame,
+    entities: DataFrame,
+    strict: bool = True,
+    coords: DataFrame | None = None,
+    pairs_path: str | None = None,
 ) -> DataFrame:
     """Add ``boat_id`` and ``match_stage`` to listings; both null where nothing matches.
 
@@ -127,11 +132,15 @@ def resolve_entities(
     a hot boat is split by AQE's skew join, since its build row can be copied.
     With ``coords`` the boat's coordinates come along as the struct ``known``;
     they are looked up per pair too, so unmatched rows never meet on a null key.
+    With ``pairs_path`` the resolved pairs are stored there first: the join then
+    knows their real size and leaves the rows unshuffled while they are small.
     """
     pairs = df.select("ship_name", "area_sub").distinct()
     resolved = resolve_pairs(pairs, entities, strict).withColumnRenamed("stage", "match_stage")
     if coords is not None:
         resolved = resolved.join(_known(coords), "boat_id", "left")
+    if pairs_path:
+        resolved = stored(resolved, pairs_path)
     return df.join(resolved, ["ship_name", "area_sub"], "left")
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
@@ -32,12 +33,16 @@ class Dims:
     entities: DataFrame
     coords: DataFrame
     areas: DataFrame | list[tuple[str, str]] | None = None
+    scratch: str | None = None  # shared folder for resolved pairs; none keeps plans lazy
 
 
 def _enrich(ships: DataFrame, dims: Dims, strict: bool, feed: tuple[str, str] | None) -> DataFrame:
     located = lookup_area(ships, dims.areas)
-    resolved = resolve_entities(located, dims.entities, strict, dims.coords).drop("match_stage")
-    return choose_coordinates(resolved, feed).withColumnRenamed("boat_id", "ship_no")
+    pairs_path = f"{dims.scratch}/pairs-{uuid.uuid4().hex}" if dims.scratch else None
+    resolved = resolve_entities(located, dims.entities, strict, dims.coords, pairs_path)
+    return choose_coordinates(resolved.drop("match_stage"), feed).withColumnRenamed(
+        "boat_id", "ship_no"
+    )
 
 
 def listing_ships(pages: DataFrame, dims: Dims, strict: bool = True) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -37,3 +37,21 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
         base = tempfile.mkdtemp(prefix="berthline-")
         spark.conf.set(CHECKPOINT_DIR, base)
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, path: str) -> DataFrame:
+    """Write an intermediate result to shared storage and read it back.
+
+    Later joins plan with its real size, and lost executors do not lose it.
+    """
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def per_date(df: DataFrame, date: str) -> DataFrame:
+    """Hint to broadcast an aggregate with one row per date.
+
+    Only for a DATE column: the calendar bounds the rows (under 4 million for
+    all dates there are).  Dates held as text are left to Spark's size check.
+    """
+    return F.broadcast(df) if isinstance(df.schema[date].dataType, T.DateType) else df

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from berthline.functions.text import text_price
 from berthline.operators.rollups import daily_doc_counts
-from berthline.schemas import PAYLOAD_COLUMNS
+from berthline.schemas import NATURAL_KEY, PAYLOAD_COLUMNS
+from berthline.session import per_date, scratch_dir, stored
 
 DOC_ROWS = 10_000
 _KEEP_NULLS = {"ignoreNullFields": "false"}
@@ -19,12 +20,15 @@ def daily_docs(
     boat: str = "ship_no",
     order: list[str] | None = None,
     doc_rows: int = DOC_ROWS,
+    counts_path: str | None = None,
 ) -> DataFrame:
     """(date, part, parts, value): JSON documents with the date's totals and its ships.
 
     A date with up to ``doc_rows`` rows is one document.  A larger one is dealt
     over several by a hash of the row, each with the date's full totals, so that
     no group grows with the data; readers of landed documents take either form.
+    With ``counts_path`` the counts per date are stored there first, so that the
+    join back to the rows is planned with their real size.
     """
     fields = [c for c in df.columns if c not in (order or [])]
     rows = df.filter(F.col(date).isNotNull())
@@ -34,6 +38,7 @@ def daily_docs(
         "af_matched",
         F.ceil(F.col("total") / F.lit(doc_rows)).cast("int").alias("parts"),
     )
+    counts = stored(counts, counts_path) if counts_path else per_date(counts, "__date")
     spread = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.col("parts")).cast("int")
     parted = rows.join(counts, rows[date] == counts["__date"]).withColumn("part", spread)
     ship = F.struct(*[F.col(c) for c in fields]).alias("ship")
@@ -53,8 +58,9 @@ def daily_docs(
 
 def write_daily_docs(df: DataFrame, path: str, scraped_at: str, **options) -> None:
     """Documents as text, one per line, in one folder per date; dates without rows get none."""
-    docs = daily_docs(df, scraped_at, **options)
-    out = docs.select("date", "value").write.mode("overwrite")
+    counts_path = scratch_dir(df.sparkSession, "doc-counts")
+    docs = daily_docs(df, scraped_at, counts_path=counts_path, **options)
+    out = docs.select("date", "value").hint("rebalance", "date").write.mode("overwrite")
     out.partitionBy("date").text(path)
 
 
@@ -132,12 +138,14 @@ def write_payload(
 ) -> int:
     """Write the payload and return its row count.
 
-    ``path/rows`` holds one positional row per line, sorted over all files, and
+    ``path/rows`` holds one positional row per line, sorted over all files (by the
+    natural key within equal ``order`` values, so that a hot value is split), and
     ``path/header`` the time and count.  Up to ``document_rows`` rows,
     ``path/document`` holds the single document as well.
     """
     spark = df.sparkSession
-    ordered = df.orderBy(*order) if order else df
+    ties = [k for k in NATURAL_KEY if k in df.columns and k not in (order or [])]
+    ordered = df.orderBy(*order, *ties) if order else df
     payload_lines(ordered, columns).write.mode("overwrite").text(f"{path}/rows")
     count = spark.read.text(f"{path}/rows").count()
     header = spark.range(1).select(

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from berthline import fixed_values as fv
 from berthline.functions.text import join_variant_names
 from berthline.schemas import PAYLOAD_COLUMNS, PAYLOAD_TYPES, SEAT_COLUMNS
+from berthline.session import per_date
 
 _FALSY = ("null", "false", "0", '""', "{}", "[]")
 _FILE_DATE = r"(\d{4}-\d{2}-\d{2})[^/]*$"
@@ -158,8 +159,8 @@ def assemble_pages(pages: DataFrame, rule: str, date: str = "request_date") -> D
     the first page with fewer than 10 records.  ``total``: pages 1 to
     ceil(total / 30), total being that of page 1.
 
-    The last page to keep is one small aggregate row per date, joined back:
-    a date with very many pages is not gathered in one task.
+    The last page to keep is one small aggregate row per date, joined back: the
+    pages themselves are not shuffled, whatever number of them a date has.
     """
     size = F.size("items")
     if rule == "empty":
@@ -172,7 +173,7 @@ def assemble_pages(pages: DataFrame, rule: str, date: str = "request_date") -> D
         last = F.ceil(F.coalesce(first_total, F.lit(0)) / F.lit(fv.FEED_PAGE_ROWS))
     else:
         raise ValueError("rule is 'empty', 'short' or 'total'")
-    cuts = pages.groupBy(date).agg(last.cast("bigint").alias("last_page"))
+    cuts = per_date(pages.groupBy(date).agg(last.cast("bigint").alias("last_page")), date)
     kept = pages.join(cuts, pages[date].eqNullSafe(cuts[date]), "inner").drop(cuts[date])
     kept = kept.filter(F.col("last_page").isNull() | (F.col("page") <= F.col("last_page")))
     columns = [c for c in pages.columns if c not in ("items", "total")]

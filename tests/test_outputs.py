@@ -198,7 +198,7 @@ def test_document_without_data(spark):
 # --- pipelines ----------------------------------------------------------------------
 
 
-def test_unified_ships(spark):
+def test_unified_ships(spark, tmp_path):
     def record(name, area, stime, no):
         ship = {"no": 1, "name": name, "area_sub": area, "lat": 1.0, "lng": 2.0}
         return {"ship": ship, "sdate": "2026-04-01", "stime": stime, "schedule_no": no, "price": 9}
@@ -216,7 +216,7 @@ def test_unified_ships(spark):
     calendar = spark.createDataFrame(
         [("252", 2026, 4, cells)], "directory_id string, year int, month int, html string"
     )
-    known = A.Dims(dims.entity_map(spark), dims.boat_coords(spark))
+    known = A.Dims(dims.entity_map(spark), dims.boat_coords(spark), scratch=str(tmp_path))
     both = A.unified_ships(
         A.listing_ships(pages, known),
         A.calendar_listing(directory, calendar, known, DAY),
