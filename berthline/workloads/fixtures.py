@@ -135,6 +135,12 @@ class Tables:
             text = text.replace(f"{{{{{name}}}}}", f"{{{name}}}")
         return self.spark.sql(text, **frames)
 
+    def spread(self, df: DataFrame, scanned: str = "orders") -> DataFrame:
+        """Deal rows out evenly where a small scan gives fewer tasks than there are cores."""
+        cores = self.spark.sparkContext.defaultParallelism
+        scans = self.table(scanned).rdd.getNumPartitions()
+        return df.repartition(cores) if scans < cores else df
+
     @cached_property
     def daily_metrics(self) -> DataFrame:
         return self.sql(DAILY_METRICS)

@@ -87,7 +87,7 @@ def _run_ts() -> Column:
 
 @query("alias_normalize", NORMALIZED_SQL)
 def alias_normalize(t: Tables) -> DataFrame:
-    records = t.sql(ALIASED).select("ord", F.parse_json("value").alias("rec"))
+    records = t.spread(t.sql(ALIASED)).select("ord", F.parse_json("value").alias("rec"))
     return normalize_aliases(records, _run_ts()).select(*_NORMALIZED)
 
 
@@ -109,7 +109,7 @@ def _landed(t: Tables) -> DataFrame:
 
 @query("landed_shapes", NORMALIZED_SQL.replace("select ord,", "select cast(ord // 64 as bigint) as bucket, ord,"))
 def landed_shapes(t: Tables) -> DataFrame:
-    records = explode_landed(_landed(t))
+    records = explode_landed(t.spread(_landed(t)))
     with_ord = records.withColumn("ord", F.variant_get("rec", "$.ord", "bigint")).drop("pos")
     return normalize_aliases(with_ord, _run_ts()).select("bucket", *_NORMALIZED)
 
@@ -130,7 +130,7 @@ _V1_BAD = "(ord % 59 = 0 or ord % 61 = 0 or ord % 53 = 0)"
 
 
 def _listing_v1(t: Tables) -> tuple[DataFrame, DataFrame]:
-    records = t.sql(LISTING_V1).select("ord", F.parse_json("value").alias("rec"))
+    records = t.spread(t.sql(LISTING_V1)).select("ord", F.parse_json("value").alias("rec"))
     return split_rejects(parse_listing_v1(records, _run_ts()))
 
 
@@ -183,7 +183,7 @@ from {{seat_listing}}
       case when ord % 4 in (0, 1) and price <> 0 then price end as price, schedule_no from {seat_listing}""",
 )
 def listing_v2(t: Tables) -> DataFrame:
-    raw = t.sql(LISTING_V2).select("ord", "request_date", F.parse_json("value").alias("rec"))
+    raw = t.spread(t.sql(LISTING_V2)).select("ord", "request_date", F.parse_json("value").alias("rec"))
     return parse_listing_v2(raw).drop("request_date", "etime", "method", "status_name", "source")
 
 
@@ -262,7 +262,7 @@ group by bucket
     from {seat_listing} where ord % 7 <> 0) x where ord % 17 <> 0""",
 )
 def calendar_extract(t: Tables) -> DataFrame:
-    return extract_calendar(t.sql(CALENDAR)).drop("year", "month")
+    return extract_calendar(t.spread(t.sql(CALENDAR))).drop("year", "month")
 
 
 # One boat page per customer; every fourth has no store id.
@@ -416,10 +416,10 @@ def _dims(t: Tables) -> Dims:
 
 
 def _unified(t: Tables) -> DataFrame:
-    pages = t.sql(SHIP_PAGES, records=t.sql(SHIP_RECORDS))
+    pages = t.spread(t.sql(SHIP_PAGES, records=t.sql(SHIP_RECORDS)))
     dims = _dims(t)
     directory = t.sql(DIRECTORY)
-    calendars = t.sql(CALENDAR)
+    calendars = t.spread(t.sql(CALENDAR))
     spine = days_ahead(t.spark, AS_OF, 60)
     calendar = calendar_listing(directory, calendars, dims, AS_OF)
     return unified_ships(listing_ships(pages, dims), calendar, spine)

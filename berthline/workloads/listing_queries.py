@@ -17,6 +17,7 @@ from berthline.operators.dedup import (
     merge_sources,
 )
 from berthline.dims import entity_index
+from berthline.operators.synonyms import expand_terms
 from berthline.plans.availability import listing_query
 from berthline.schemas import NATURAL_KEY
 from berthline.sinks.documents import build_manifest, payload_lines
@@ -418,6 +419,31 @@ def fuzzy_search(t: Tables) -> DataFrame:
     return L.fuzzy_search(seats(t), "widgt", SYNONYMS).select("ord", "ship_name")
 
 
+@query(
+    "expand_terms",
+    """with syn as (select n_nationkey as ord, n_name as term, concat(r_name, ',', n_name) as words from {nation} join {region} on n_regionkey = r_regionkey),
+      terms as (select distinct case when o_orderkey % 3 = 0 then concat('x', n_name) when o_orderkey % 3 = 1 then n_name else p_type end as term
+        from {orders} join {customer} on o_custkey = c_custkey join {nation} on c_nationkey = n_nationkey join {part} on p_partkey = o_orderkey % 200),
+      hits as (select t.term, words, ord, case when t.term = s.term then 1 when contains(t.term, split_part(words, ',', 1)) or contains(t.term, split_part(words, ',', 2))
+        or contains(split_part(words, ',', 1), t.term) or contains(split_part(words, ',', 2), t.term) then 2 end as stage from terms t, syn s)
+    select t.term, coalesce(b.words, t.term) as expansion from terms t left join
+      (select term, words from (select *, row_number() over (partition by term order by stage, ord) as rn from hits where stage is not null) x where rn = 1) b
+      on t.term = b.term""",
+)
+def expanded(t: Tables) -> DataFrame:
+    terms = t.sql(
+        """select distinct case when o_orderkey % 3 = 0 then concat('x', n_name) when o_orderkey % 3 = 1 then n_name else p_type end as term
+        from {orders} join {customer} on o_custkey = c_custkey join {nation} on c_nationkey = n_nationkey join {part} on p_partkey = o_orderkey % 200"""
+    )
+    synonyms = t.sql(
+        """select n_nationkey as ord, n_name as term, array(r_name, n_name) as synonyms
+        from {nation} join {region} on n_regionkey = r_regionkey"""
+    )
+    return expand_terms(terms, synonyms).select(
+        "term", F.array_join("expansion", ",").alias("expansion")
+    )
+
+
 # --- pages ------------------------------------------------------------------------------
 
 
