@@ -21,6 +21,7 @@ from berthline.operators.listing import (
 )
 from berthline.operators.rollups import in_window
 from berthline.schemas import SHIP_KEY, SHIP_ROW
+from berthline.session import stored
 from berthline.sources.html_pages import extract_calendar, extract_directory
 from berthline.sources.landed import assemble_pages, parse_pages
 from berthline.sources.listing import calendar_ships, parse_listing_v2
@@ -28,17 +29,25 @@ from berthline.sources.listing import calendar_ships, parse_listing_v2
 
 @dataclass(frozen=True)
 class Dims:
-    """Reference dimensions of the ship table."""
+    """Reference dimensions of the ship table.
+
+    ``scratch`` is a folder that executors share: parsed rows and resolved pairs
+    are then stored there, so that landed pages are parsed once.  Without it the
+    pipelines stay lazy.
+    """
 
     entities: DataFrame
     coords: DataFrame
     areas: DataFrame | list[tuple[str, str]] | None = None
-    scratch: str | None = None  # shared folder for resolved pairs; none keeps plans lazy
+    scratch: str | None = None
+
+    def path(self, label: str) -> str | None:
+        return f"{self.scratch}/{label}-{uuid.uuid4().hex}" if self.scratch else None
 
 
 def _enrich(ships: DataFrame, dims: Dims, strict: bool, feed: tuple[str, str] | None) -> DataFrame:
     located = lookup_area(ships, dims.areas)
-    pairs_path = f"{dims.scratch}/pairs-{uuid.uuid4().hex}" if dims.scratch else None
+    pairs_path = dims.path("pairs")
     resolved = resolve_entities(located, dims.entities, strict, dims.coords, pairs_path)
     return choose_coordinates(resolved.drop("match_stage"), feed).withColumnRenamed(
         "boat_id", "ship_no"
@@ -47,14 +56,15 @@ def _enrich(ships: DataFrame, dims: Dims, strict: bool, feed: tuple[str, str] |
 
 def listing_ships(pages: DataFrame, dims: Dims, strict: bool = True) -> DataFrame:
     """Ship rows of landed feed pages (request_date, page, value)."""
-    records = assemble_pages(parse_pages(pages), "total")
-    ships = _enrich(parse_listing_v2(records), dims, strict, ("feed_lat", "feed_lng"))
+    parsed = parse_listing_v2(assemble_pages(parse_pages(pages), "total"))
+    path = dims.path("listing")
+    ships = _enrich(stored(parsed, path) if path else parsed, dims, strict, ("feed_lat", "feed_lng"))
+    bucket = F.col("request_date").cast("string")
     order = F.struct(
-        F.date_format("request_date", "yyyy-MM-dd").alias("request_date"),
+        bucket.alias("request_date"),
         F.col("page").cast("bigint").alias("page"),
         F.col("pos").cast("bigint").alias("pos"),
     )
-    bucket = F.date_format("request_date", "yyyy-MM-dd")
     return ships.select("*", order.alias("ord"), bucket.alias("bucket")).drop(
         "request_date", "page", "pos"
     )
@@ -67,10 +77,12 @@ def calendar_listing(
     as_of: dt.date,
     strict: bool = True,
 ) -> DataFrame:
-    """Ship rows of landed directory and calendar pages."""
-    directory = extract_directory(directory_pages)
-    seats = extract_calendar(calendar_pages)
-    ships = _enrich(calendar_ships(seats, directory, as_of), dims, strict, None)
+    """Ship rows of landed directory and calendar pages.
+
+    Boats are matched on the directory, one row per boat, before they meet the seats.
+    """
+    boats = _enrich(extract_directory(directory_pages), dims, strict, None)
+    ships = calendar_ships(extract_calendar(calendar_pages), boats, as_of)
     order = F.struct(
         F.col("directory_id").alias("request_date"),
         (F.col("year") * 12 + F.col("month")).cast("bigint").alias("page"),

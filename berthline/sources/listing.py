@@ -144,13 +144,16 @@ def parse_listing_v2(df: DataFrame, request_date: str = "request_date") -> DataF
 
 
 def calendar_ships(seats: DataFrame, directory: DataFrame, as_of: dt.date) -> DataFrame:
-    """Ship rows of calendar seats joined to their directory entry; past and invalid dates dropped."""
+    """Ship rows of calendar seats joined to their directory entry; past and invalid dates dropped.
+
+    What is known of the boat (ship_no, area_main, lat, lng) comes along if the directory has it.
+    """
     rows = seats.join(directory, "directory_id", "inner").filter(iso_date("sdate") >= F.lit(as_of))
     empty = F.lit("")
     return rows.select(
         "directory_id",
         "ship_name",
-        F.lit(None).cast("string").alias("area_main"),
+        *[c for c in ("ship_no", "area_main", "lat", "lng") if c in directory.columns],
         "area_sub",
         "sdate",
         empty.alias("stime"),
