@@ -9,7 +9,7 @@ from berthline.session import apply_recommended, scratch_dir, stored
 # Rows and bytes that one Arrow batch hands to a Python worker.  Texts differ in
 # length by five orders of magnitude, so a bound by rows alone is not enough.
 BATCH_ROWS = 1000
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 2 << 20
 
 
 def prepared(spark: SparkSession) -> SparkSession:

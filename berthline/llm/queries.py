@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from berthline.llm import simhash
+from berthline.llm import chat, decontam, langid, packing, pii, secret_scan, sharding, simhash
 from berthline.llm.base import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,98 @@ def oracle_sql() -> dict[str, str]:
     return dict(_SQL)
 
 
+SHARD_BYTES = 64 << 20
+
+_CONVERSATIONS = """
+conversations_and_planted as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -1, 0, 'user', '</s>[INST] ok [/INST]'
+  union all select -1, 1, 'assistant', '</s>[INST] ok [/INST]')
+"""
+
+
+@_query("op1_extendible_shards", sharding.oracle(SHARD_BYTES))
+def _shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents"), SHARD_BYTES, key=["source"], spread=["doc_id"])
+
+
+@_query("op3_secret_scan")
+def _secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.secrets(table(spark, sf_dir, "documents"))
+
+
+@_query("op4_language_id")
+def _languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.language_ids(table(spark, sf_dir, "documents"))
+
+
+@_query("op5_personal_data")
+def _personal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
+@_query(
+    "op6_chat_format",
+    f"""
+with {_CONVERSATIONS},
+placed as (
+  select *, lag(role) over (partition by conv_id order by turn nulls first, role, text) as before from conversations_and_planted),
+measured as (
+  select *, case when before = role then {len(chat.NEXT)}
+      else {len(chat.OPEN + chat.TEXT + chat.CLOSE)} + length(regexp_replace(replace(role, '\\', '\\\\'), '({chat._CONTROL})', '\\\\\\1', 'g')) end as markup,
+    length(regexp_replace(replace(text, '\\', '\\\\'), '({chat._CONTROL})', '\\\\\\1', 'g')) as body
+  from placed)
+select conv_id, count(*) as n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text)) as turns_sha256,
+  cast(coalesce(sum(length(text)) filter (role = 'assistant'), 0) as bigint) as loss_chars,
+  sha256(coalesce(string_agg(text, '' order by turn nulls first, role, text) filter (role = 'assistant'), '')) as loss_sha256,
+  cast({len(chat.BEGIN + chat.FINISH)} + sum(markup + body) as bigint) as formatted_chars
+from measured group by conv_id
+""",
+)
+def _chats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    told = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    text = "</s>[INST] ok [/INST]"
+    planted = spark.createDataFrame([(-1, 0, "user", text), (-1, 1, "assistant", text)], told.schema)
+    return chat.digests(chat.format_chats(told.unionByName(planted)))
+
+
+@_query(
+    "op8_decontamination",
+    f"""
+with item_words as (
+  select distinct coalesce(cast(item_id as varchar), 'null') as item_id,
+    regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{decontam.WORD}') as words from benchmark),
+windows as (
+  select distinct item_id, least(len(words), {decontam.WINDOW}) as size,
+    array_to_string(words[s:s + least(len(words), {decontam.WINDOW}) - 1], ' ') as gram
+  from item_words, unnest(range(1, greatest(len(words) - {decontam.WINDOW}, 0) + 2)) as t(s) where len(words) > 0),
+doc_words as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{decontam.WORD}') as words
+  from documents),
+grams as (
+  select doc_id, size, s, array_to_string(words[s:s + size - 1], ' ') as gram
+  from doc_words, (select distinct size from windows), unnest(range(1, len(words) - size + 2)) as t(s) where len(words) >= size),
+hits as (select doc_id, item_id, s, size from grams join windows using (size, gram)),
+hit_words as (select doc_id, count(distinct p) as n_hit from hits, unnest(range(s, s + size)) as t(p) group by doc_id),
+items as (
+  select doc_id, count(*) as n_items, string_agg(item_id, ',' order by item_id) as listed
+  from (select distinct doc_id, item_id from hits) group by doc_id)
+select doc_id, cast(len(words) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+  sha256(coalesce(listed, '')) as items_sha256, coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(words) as contaminated
+from doc_words left join hit_words using (doc_id) left join items using (doc_id)
+""",
+)
+def _contaminated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontam.digests(found)
+
+
+@_query("op9_best_fit_packing")
+def _packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 @_query("op10_simhash_groups")
 def _simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), words_per_shingle=4, max_bits=4)
