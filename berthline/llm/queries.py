@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from berthline.llm import chat, decontam, langid, packing, pii, secret_scan, sharding, simhash
+from berthline.llm import ann, chat, decontam, langid, packing, pii, secret_scan, sharding, simhash, toxicity
 from berthline.llm.base import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,6 +48,13 @@ def _shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"), SHARD_BYTES, key=["source"], spread=["doc_id"])
 
 
+@_query("op2_multi_index_neighbours")
+def _neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    asked = vectors.filter(F.col("vec_id") % 20 == 0).select(F.col("vec_id").alias("query_id"))
+    return ann.neighbours(vectors, asked, k=20)
+
+
 @_query("op3_secret_scan")
 def _secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secrets(table(spark, sf_dir, "documents"))
@@ -89,6 +96,11 @@ def _chats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_chats(told.unionByName(planted)))
 
 
+@_query("op7_toxicity")
+def _toxic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @_query(
     "op8_decontamination",
     f"""

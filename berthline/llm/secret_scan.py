@@ -2,7 +2,7 @@
 
 Two first-order models over the characters of keys are trained from labelled samples of all
 documents: random strings are what the rules found and a base64 digest of every id,
-ordinary identifiers are the other long tokens.  A token is a secret if it is likelier
+ordinary identifiers are the long tokens without digits but at the end.  A token is a secret if it is likelier
 under the random model by `min_bits` bits in total and `min_rate` bits a character.
 
 Training counts character pairs with one aggregation (partial counts in every task, at most
@@ -27,11 +27,12 @@ HEX = r"[0-9a-f]{16,}+"
 
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 TOKEN = r"[A-Za-z0-9+/_=-]{20,}+"
-# Tokens that train the model of identifiers: shorter ones too, as long ones are rare.
-IDENTIFIER = r"[A-Za-z0-9+/_=-]{12,}+"
+# Tokens that train the model of identifiers: words and names with at most a short number at the end,
+# shorter ones too, as long ones are rare.
+IDENTIFIER = r"(?<![A-Za-z0-9+/_=-])[A-Za-z_-]{12,}+[0-9]{0,4}+(?![A-Za-z0-9+/_=-])"
 PAIRS = r"(?=([A-Za-z0-9+/_=-]{2}))"
 MIN_BITS = 16.0
-MIN_RATE = 0.75
+MIN_RATE = 0.4
 SMOOTHING = 0.5
 
 

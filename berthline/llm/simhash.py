@@ -37,6 +37,9 @@ FANOUT = 8
 # Fingerprints that a group holds on average before one more block is added to the patterns.
 MEAN_GROUP = 64
 HASH_CHUNK = 100_000
+# Rows that may be broadcast; more are joined by a shuffle.
+BROADCAST_ROWS = 500_000
+# Rows that may be broadcast; more are joined by a shuffle.
 
 
 def fingerprint(text: str | None, words_per_shingle: int) -> int:
@@ -273,3 +276,30 @@ def near_duplicates(docs: DataFrame, words_per_shingle: int = 4, max_bits: int =
 
 def fingerprint_hex(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
+
+
+def one_of_each(docs: DataFrame, words_per_shingle: int = 4, max_bits: int = 4) -> DataFrame:
+    """The rows of `docs` (doc_id, text and others) without near copies: of each component the row with the least doc_id.
+
+    Null ids come last.  Of repeated ids the row with the least text hash stays, of rows equal in id and text one.
+    """
+    key = [F.xxhash64("text").alias("_hash"), F.col("doc_id").alias("_id")]
+    rows = keep(with_fingerprint(docs.select("doc_id", "text"), words_per_shingle).select(*key, "fp"), "prints")
+    distinct = rows.select("fp").distinct()
+    roots = components(links(keep(distinct, "distinct"), max_bits)).withColumnRenamed("node", "fp")
+    rooted = rows.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    rooted = keep(rooted.groupBy("root", "_id", "_hash").agg(F.count("*").alias("times")), "rooted")
+    first = rooted.groupBy("root").agg(F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", "_hash")).alias("first"))
+    first = keep(first, "first")
+    judged = rooted.join(first, "root").select("_id", "_hash", "times", (F.struct(F.col("_id").isNull().alias("none"), "_id", "_hash") != F.col("first")).alias("dropped"))
+    judged = keep(judged.filter("dropped or times > 1"), "judged")
+    marks = judged.select(F.coalesce("_id", F.lit(0)).alias("_id"), F.col("_id").isNull().alias("_none"), "_hash", "dropped")
+    told = docs.withColumns({"_id": F.coalesce("doc_id", F.lit(0)), "_none": F.col("doc_id").isNull(), "_hash": F.xxhash64("text")})
+    own = ["_id", "_none", "_hash"]
+    few = marks.count() <= BROADCAST_ROWS
+    found = told.join(F.broadcast(marks) if few else marks, own, "left")
+    # Rows that stay and are repeated: one of each, the others never leave their task.
+    once = found.filter("dropped is null").drop("dropped", *own)
+    if judged.filter("not dropped").isEmpty():
+        return once
+    return once.unionByName(found.filter("not dropped").dropDuplicates(own).drop("dropped", *own))

@@ -29,9 +29,10 @@ TOXIC_DOCS = 10_000
 OTHER_DOCS = 30_000
 # Bound of the lexicon.
 MAX_TERMS = 2000
-# A term stands in this many toxic sample texts at least, and this many times as often as in others.
+# A term stands in this many toxic sample texts at least, in this share of them, and this many times as often as in others.
 LEAST_DOCS = 4
-LEAST_RATIO = 15.0
+LEAST_SHARE = 0.015
+LEAST_RATIO = 10.0
 LEAST_STEM = 4
 THRESHOLD = 0.7
 NEAR_WORDS = 8
@@ -53,13 +54,14 @@ def edits_allowed(term: str) -> int:
 class Lexicon:
     """Terms and stems with their edits, and the automaton over them."""
 
-    def __init__(self, terms: list[str], stems: list[str], harmless: list[str] = ()):
-        self.terms, self.stems, self.harmless = sorted(set(terms)), sorted(set(stems)), frozenset(harmless)
+    def __init__(self, terms: dict[str, float], stems: dict[str, float], harmless: list[str] = ()):
+        self.terms, self.stems, self.harmless = terms, stems, frozenset(harmless)
         # Trie: children, whole-word terms with their edits, stems.
         self.children: list[dict[str, int]] = [{}]
         self.allowed: list[int] = [-1]
         self.stem: list[bool] = [False]
-        for word, is_stem in [(t, False) for t in self.terms] + [(s, True) for s in self.stems]:
+        self.weight: list[float] = [0.0]
+        for word, is_stem in [(t, False) for t in sorted(terms)] + [(s, True) for s in sorted(stems)]:
             node = 0
             for c in word:
                 if c not in self.children[node]:
@@ -67,11 +69,13 @@ class Lexicon:
                     self.children.append({})
                     self.allowed.append(-1)
                     self.stem.append(False)
+                    self.weight.append(0.0)
                 node = self.children[node][c]
             if is_stem:
                 self.stem[node] = True
             else:
                 self.allowed[node] = edits_allowed(word)
+            self.weight[node] = max(self.weight[node], (stems if is_stem else terms)[word])
         self.letters = {c for d in self.children for c in d}
         # Edits that some whole-word term below a node allows (-1: none).
         self.reach = [-1] * len(self.children)
@@ -83,8 +87,8 @@ class Lexicon:
         self.states: list[frozenset[tuple[int, int]]] = []
         self.number: dict[frozenset, int] = {}
         self.steps: list[dict[str, int]] = []
-        self.accepts: list[int] = []
-        self.stops: list[bool] = []
+        self.accepts: list[tuple[int, float] | None] = []
+        self.stops: list[float | None] = []
         self.begin = self._state(self._closed({(0, 0)}))
 
     def __getstate__(self):
@@ -110,8 +114,10 @@ class Lexicon:
             self.number[places] = len(self.states)
             self.states.append(places)
             self.steps.append({})
-            self.accepts.append(min((e for n, e in places if 0 <= e <= self.allowed[n]), default=-1))
-            self.stops.append(any(self.stem[n] and not e for n, e in places))
+            # The fewest edits of a term that ends here with its weight; the weight of a stem that ends here unedited.
+            ends = min(((e, -self.weight[n]) for n, e in places if 0 <= e <= self.allowed[n]), default=None)
+            self.accepts.append(ends and (ends[0], -ends[1]))
+            self.stops.append(max((self.weight[n] for n, e in places if self.stem[n] and not e), default=None))
         return self.number[places]
 
     def _step(self, state: int, c: str) -> int:
@@ -127,34 +133,38 @@ class Lexicon:
         self.steps[state][c] = to = self._state(self._closed(places))
         return to
 
-    def match(self, word: str) -> str | None:
-        """'exact', 'stem', 'near' or None."""
+    def match(self, word: str) -> tuple[str, float] | None:
+        """'exact', 'stem' or 'near' with the weight of the term, or None."""
         state = self.begin
         for c in word:
             if c not in self.letters:
                 c = ""
             to = self.steps[state].get(c)
             state = self._step(state, c) if to is None else to
-            if self.stops[state]:
-                return "stem"
+            if self.stops[state] is not None:
+                return "stem", self.stops[state]
             if not self.states[state]:
                 return None
-        found = self.accepts[state]
-        if found > 0 and word in self.harmless:
+        if self.accepts[state] is None:
             return None
-        return None if found < 0 else "near" if found else "exact"
+        edits, weight = self.accepts[state]
+        if not edits:
+            return "exact", weight
+        return None if word in self.harmless else ("near", weight)
 
 
 KINDS = ["exact", "stem", "near"]
-FEATURES = 2 * len(KINDS) + 1
+# By kind abusive and quoted, whether there is any, the rate among the words, and both together.
+FEATURES = 2 * len(KINDS) + 3
+MOST = 6
 
 
 class Scorer:
-    """Counts of matches by kind, abusive and quoted, as numbers for the logistic model."""
+    """Weights of matches summed by kind, abusive and quoted, as numbers for the logistic model."""
 
     def __init__(self, lexicon: Lexicon):
         self.lexicon = lexicon
-        self.found: dict[str, str] = {}
+        self.found: dict[str, tuple[str, float]] = {}
         self.none: set[str] = set()
 
     def features(self, text: str | None) -> np.ndarray:
@@ -162,9 +172,9 @@ class Scorer:
         low = (text or "").lower()
         words = set(_WORD.findall(low))
         for w in words - self.none - self.found.keys():
-            kind = self.lexicon.match(w)
-            if kind:
-                self.found[w] = kind
+            matched = self.lexicon.match(w)
+            if matched:
+                self.found[w] = matched
             else:
                 self.none.add(w)
         if len(self.none) > KNOWN_WORDS:
@@ -174,8 +184,8 @@ class Scorer:
         units = _QUOTE_OR_WORD.findall(low)
         marks = np.cumsum([u in QUOTES for u in units])
         for i, u in enumerate(units):
-            kind = self.found.get(u)
-            if kind:
+            if u in self.found:
+                kind, weight = self.found[u]
                 near = units[max(0, i - NEAR_WORDS) : i + NEAR_WORDS + 1]
                 left, right = max(0, i - NEAR_WORDS), min(len(units) - 1, i + NEAR_WORDS)
                 marked = marks[i] > marks[left] - (units[left] in QUOTES) and marks[right] > marks[i]
@@ -183,9 +193,11 @@ class Scorer:
                 abuse = 1.0 + 0.5 * any(w in ADDRESS for w in near)
                 share = min(1.0, quoted / (quoted + abuse)) if quoted else 0.0
                 at = KINDS.index(kind)
-                out[at] += 1 - share
-                out[len(KINDS) + at] += share
-        return np.concatenate((np.minimum(out[:-1], 3), [1.0 if out[:-1].any() else 0.0]))
+                out[at] += weight * (1 - share)
+                out[len(KINDS) + at] += weight * share
+        total = out.sum()
+        rate = np.log1p(1000 * total / len(units))
+        return np.concatenate((np.minimum(out[: 2 * len(KINDS)], MOST), [float(total > 0), rate, min(total, MOST) * rate]))
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> np.ndarray:
@@ -213,14 +225,15 @@ def _stems_and_words(texts: Iterator[str]) -> set[str]:
     return found
 
 
-def choose_terms(counts: pd.DataFrame, toxic: int, other: int, max_terms: int = MAX_TERMS) -> tuple[list[str], list[str]]:
-    """Terms and stems from (part, toxic, other): texts of the sample that hold a word ('word$') or a word with that start.
+def choose_terms(counts: pd.DataFrame, toxic: int, other: int, max_terms: int = MAX_TERMS) -> tuple[dict[str, float], dict[str, float]]:
+    """Terms and stems with weights (log odds, 1 for the surest) from (part, toxic, other): texts of the sample that hold a word ('word$') or a word with that start.
 
     A start is kept as the longest one that loses almost no texts: if that ends a word it's a term, else a stem.
     """
     odds = ((counts["toxic"] + 0.5) / (toxic + 1)) / ((counts["other"] + 0.5) / (other + 1))
-    good = counts[(counts["toxic"] >= LEAST_DOCS) & (odds >= LEAST_RATIO)]
+    good = counts[(counts["toxic"] >= max(LEAST_DOCS, LEAST_SHARE * toxic)) & (odds >= LEAST_RATIO)]
     seen = dict(zip(good["part"], good["toxic"]))
+    weight = dict(zip(good["part"], np.log(odds[good.index]) / np.log(max(LEAST_RATIO, odds.max() if len(odds) else 1))))
     terms, stems, covered = [], [], set()
     longer: dict[str, list[str]] = {}
     for part in seen:
@@ -243,7 +256,7 @@ def choose_terms(counts: pd.DataFrame, toxic: int, other: int, max_terms: int =
                 break
         (terms if end.endswith("$") else stems).append((seen[part], end.rstrip("$")))
     ranked = sorted([(-n, t, False) for n, t in terms] + [(-n, s, True) for n, s in stems])[:max_terms]
-    return [t for _, t, stem in ranked if not stem], [t for _, t, stem in ranked if stem]
+    return {t: float(weight[t + "$"]) for _, t, stem in ranked if not stem}, {t: float(weight[t]) for _, t, stem in ranked if stem}
 
 
 class Model:
@@ -284,11 +297,11 @@ def train(docs: DataFrame, labels: DataFrame, toxic_docs: int = TOXIC_DOCS, othe
     sizes = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
     toxic, other = sizes.get(1, 0), sizes.get(0, 0)
     if not toxic or not other:
-        return Model(Lexicon([], []), np.r_[-30.0, np.zeros(FEATURES)])
+        return Model(Lexicon({}, {}), np.r_[-30.0, np.zeros(FEATURES)])
     counted = sample.mapInPandas(parts, "part string, toxic long, other long").groupBy("part").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
     ratio = ((F.col("toxic") + 0.5) / (toxic + 1)) / ((F.col("other") + 0.5) / (other + 1))
-    # What passes stands in LEAST_DOCS toxic texts of a bounded sample; the most frequent are enough for max_terms.
-    good = counted.filter((F.col("toxic") >= LEAST_DOCS) & (ratio >= LEAST_RATIO)).orderBy(F.desc("toxic"), "part").limit(50 * MAX_TERMS)
+    # What passes stands in a share of the toxic texts of a bounded sample; the most frequent are enough for max_terms.
+    good = counted.filter((F.col("toxic") >= max(LEAST_DOCS, LEAST_SHARE * toxic)) & (ratio >= LEAST_RATIO)).orderBy(F.desc("toxic"), "part").limit(50 * MAX_TERMS)
     terms, stems = choose_terms(good.toPandas(), toxic, other)
     rough = Lexicon(terms, stems)
 
