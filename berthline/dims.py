@@ -32,7 +32,13 @@ def boat_coords(spark: SparkSession, path: str | None = None) -> DataFrame:
 def area_map(spark: SparkSession, path: str | None = None) -> DataFrame:
     if path:
         return spark.read.schema(AREA_SCHEMA).parquet(path)
-    return spark.createDataFrame(_numbered(fv.AREA_TO_MAIN), AREA_SCHEMA)
+    return area_table(spark)
+
+
+def area_table(spark: SparkSession, areas: list[tuple[str, str]] | None = None) -> DataFrame:
+    """(ord, sub, main) of a list of pairs, the built-in one if none is given."""
+    rows = fv.AREA_TO_MAIN if areas is None else areas
+    return spark.createDataFrame(_numbered(rows), AREA_SCHEMA)
 
 
 def species_synonyms(spark: SparkSession, path: str | None = None) -> DataFrame:
@@ -42,9 +48,13 @@ def species_synonyms(spark: SparkSession, path: str | None = None) -> DataFrame:
 
 
 def entity_index(entities: DataFrame) -> DataFrame:
-    """Number of map entries per name, with the first entry's order and boat."""
+    """Per name its map entries (area, boat_id) in the map's order, their number, and the first one's order and boat."""
     return entities.groupBy("name").agg(
         F.count("*").alias("entries"),
+        F.transform(
+            F.sort_array(F.collect_list(F.struct("ord", "area", "boat_id"))),
+            lambda e: F.struct(e["area"].alias("area"), e["boat_id"].alias("boat_id")),
+        ).alias("boats"),
         F.min("ord").alias("ord"),
         F.min_by("boat_id", "ord").alias("boat_id"),
     )

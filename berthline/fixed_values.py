@@ -370,5 +370,4 @@ LIST_PAGE_ROWS = 50
 DIRECTORY_MAX_IDS = 60
 TREND_MONTHS = 24
 AD_TREND_MONTHS = 12
-NOTE_MAX_CHARS = 200
 FUZZY_TOLERANCE = 0.35

@@ -29,12 +29,6 @@ def sheet_date(text: Column | str, compact: bool = False) -> Column:
     return date.when(c.rlike(_COMPACT), F.try_to_date(c, "yyyyMMdd")) if compact else date
 
 
-def link_date(text: Column | str) -> Column:
-    """Date of the first date=yyyymmdd in a link."""
-    digits = F.regexp_extract(_col(text), r"date=([0-9]{8})", 1)
-    return F.try_to_date(digits, "yyyyMMdd")
-
-
 def year_month(date: Column | str) -> Column:
     return F.date_format(_col(date), "yyyy-MM")
 

@@ -41,10 +41,11 @@ def join_variant_names(value: Column | str, sep: str = ",") -> Column:
 
 
 def price_label(price: Column | str) -> Column:
-    """'12,000' plus the unit, or the on-request label for 0 or no price."""
-    p = _col(price)
+    """'12,000' or '12,000.5' plus the unit, or the on-request label for 0 or no price."""
+    p = _col(price).cast("decimal(38,6)")
+    digits = F.regexp_replace(F.format_number(p, 6), r"\.?0+$", "")
     return F.when(
-        F.coalesce(p, F.lit(0)) != 0, F.concat(F.format_number(p, 0), F.lit(fv.PRICE_UNIT))
+        F.coalesce(p, F.lit(0)) != 0, F.concat(digits, F.lit(fv.PRICE_UNIT))
     ).otherwise(F.lit(fv.PRICE_ON_REQUEST))
 
 
@@ -131,6 +132,8 @@ def expand_synonyms(term: str, synonyms: list[tuple[str, list[str]]] | None = No
     """Expansion of one query term: exact entry, else first list with a containment, else itself."""
     table = fv.SPECIES_SYNONYMS if synonyms is None else synonyms
     term = term.strip()
+    if not term:
+        return [term]
     exact = dict(table)
     if term in exact:
         return exact[term]

@@ -12,14 +12,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from berthline import fixed_values as fv
-from berthline.dims import entity_index
+from berthline.dims import area_table, entity_index
 from berthline.functions.text import _col
 from berthline.session import stored
 
 EXACT, AREA_PART, UNIQUE_NAME, NAME_PART = 1, 2, 3, 4
 # probe kinds: the map's text lies in the listing's, or is the larger one
 _AREA_IN, _AREA_OF, _NAME_IN, _NAME_OF = "a<", "a>", "n<", "n>"
-MAX_AREA_CASES = 256
 
 
 def substrings(text: Column | str, lengths: Column | str | None = None) -> Column:
@@ -38,8 +37,8 @@ def substrings(text: Column | str, lengths: Column | str | None = None) -> Colum
 
 
 def _lengths(df: DataFrame, *columns: str) -> Column:
-    """Scalar struct: the distinct text lengths of columns (no more than their longest text)."""
-    sets = [F.collect_set(F.length(c)).alias(c) for c in columns]
+    """Scalar struct: the distinct lengths of columns' texts but 0 (no more than their longest text)."""
+    sets = [F.collect_set(F.nullif(F.length(c), F.lit(0))).alias(c) for c in columns]
     return df.agg(F.struct(*sets).alias("lengths")).scalar()
 
 
@@ -47,8 +46,11 @@ def _with_empty(parts: Column, strict: bool) -> Column:
     return parts if strict else F.array_append(parts, F.lit(""))
 
 
-def _candidates(entities: DataFrame, strict: bool) -> DataFrame:
-    """(kind, k1, k2) -> best (stage, ord, boat_id): one row per probe key."""
+def _candidates(pairs: DataFrame, entities: DataFrame, strict: bool) -> DataFrame:
+    """(kind, k1, k2) -> best (stage, ord, boat_id): one row per probe key.
+
+    Parts of the map's texts count only in the lengths that the pairs' texts have.
+    """
     name, area, none = F.col("name"), F.col("area"), F.lit("")
 
     def key(kind: str, k1: Column, k2: Column, stage: int) -> Column:
@@ -56,8 +58,8 @@ def _candidates(entities: DataFrame, strict: bool) -> DataFrame:
             F.lit(kind).alias("kind"), k1.alias("k1"), k2.alias("k2"), F.lit(stage).alias("stage")
         )
 
-    area_parts = _with_empty(substrings(area), strict)
-    name_parts = _with_empty(substrings(name), strict)
+    area_parts = _with_empty(substrings(area, "lengths.area_sub"), strict)
+    name_parts = _with_empty(substrings(name, "lengths.ship_name"), strict)
     by_area = F.concat(
         F.array(key("x", name, area, EXACT), key(_AREA_IN, name, area, AREA_PART)),
         F.transform(area_parts, lambda part: key(_AREA_OF, name, part, AREA_PART)),
@@ -67,7 +69,8 @@ def _candidates(entities: DataFrame, strict: bool) -> DataFrame:
         F.transform(name_parts, lambda part: key(_NAME_OF, part, none, NAME_PART)),
     )
     single = entity_index(entities).filter("entries = 1").select("name", F.lit(True).alias("single"))
-    keys = entities.join(single, "name", "left").select(
+    sized = entities.withColumn("lengths", _lengths(pairs, "ship_name", "area_sub"))
+    keys = sized.join(single, "name", "left").select(
         "ord",
         "boat_id",
         F.inline(F.when(F.col("single"), F.concat(by_area, by_name)).otherwise(by_area)),
@@ -108,7 +111,7 @@ def resolve_pairs(pairs: DataFrame, entities: DataFrame, strict: bool = True) ->
     name count as part of everything.
     """
     hits = _probes(pairs, entities, strict).join(
-        _candidates(entities, strict), ["kind", "k1", "k2"], "inner"
+        _candidates(pairs, entities, strict), ["kind", "k1", "k2"], "inner"
     )
     best = hits.groupBy("ship_name", "area_sub").agg(F.min("hit").alias("hit"))
     return best.select(
@@ -175,15 +178,6 @@ def apply_coordinates(
     return choose_coordinates(df.join(_known(coords), "boat_id", "left"), feed)
 
 
-def area_case(area: Column | str, areas: list[tuple[str, str]], default: str) -> Column:
-    """Main area of the first listed sub-area that the text contains, as one expression."""
-    if len(areas) > MAX_AREA_CASES:
-        raise ValueError(f"more than {MAX_AREA_CASES} areas: pass them as a DataFrame")
-    c = _col(area)
-    hits = [F.when(c.contains(sub), F.lit(main)) for sub, main in areas]
-    return F.coalesce(*hits, F.lit(default))
-
-
 def lookup_area(
     df: DataFrame,
     areas: list[tuple[str, str]] | DataFrame | None = None,
@@ -192,13 +186,12 @@ def lookup_area(
 ) -> DataFrame:
     """Set ``area_main``: the feed's own value, else the first contained sub-area, else the default.
 
-    A short list becomes an expression without any join.  A table is matched by
+    Areas are a table (ord, sub, main) or a list (default: the built-in one), matched by
     equality with the substrings of the distinct areas.
     """
     own = F.nullif(F.col(feed), F.lit("")) if feed and feed in df.columns else F.lit(None)
     if not isinstance(areas, DataFrame):
-        found = area_case("area_sub", fv.AREA_TO_MAIN if areas is None else areas, default)
-        return df.withColumn("area_main", F.coalesce(own, found))
+        areas = area_table(df.sparkSession, areas)
     distinct = df.select("area_sub").distinct().withColumn("lengths", _lengths(areas, "sub"))
     first = areas.groupBy("sub").agg(F.min(F.struct("ord", "main")).alias("entry"))
     probes = distinct.select("area_sub", F.explode(substrings("area_sub", "lengths.sub")).alias("sub"))

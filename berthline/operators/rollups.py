@@ -9,6 +9,10 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from berthline.functions.text import split_species
 
 
+# Groups that a share's names are dealt over before their k best meet.
+SHARE_PARTS = 64
+
+
 def date_spine(spark: SparkSession, start: dt.date, end: dt.date) -> DataFrame:
     """One row per day from start to end, both included."""
     days = F.sequence(F.lit(start), F.lit(end), F.expr("interval 1 day"))
@@ -78,13 +82,30 @@ def species_counts(df: DataFrame, col: str = "fish_types") -> DataFrame:
 def share_top_k(counts: DataFrame, k: int = 5, other: str = "other") -> DataFrame:
     """Share in percent of the k most frequent names (ties by name) and of all others.
 
-    Top-k and totals are two aggregates of the counts; no window over all names.
+    The counts are read once: names are dealt over ``SHARE_PARTS`` groups, each gives its total and
+    its k best, and one row is made of those few.
     """
-    top = counts.orderBy(F.col("rows").desc(), F.col("name").asc()).limit(k)
-    total = F.coalesce(counts.agg(F.sum("rows")).scalar(), F.lit(0))
-    rest = top.agg((total - F.coalesce(F.sum("rows"), F.lit(0))).alias("rows"))
-    named = top.select("name", "rows", F.lit(False).alias("is_other")).union(
-        rest.filter(F.col("rows") > 0).select(F.lit(other), "rows", F.lit(True))
+    by_rank = F.struct((-F.col("rows")).alias("rank"), "name")
+    part = F.pmod(F.xxhash64("name"), F.lit(SHARE_PARTS)).alias("part")
+    ranked = counts.select(part, "rows", by_rank.alias("entry"))
+    window = Window.partitionBy("part").orderBy("entry")
+    own = Window.partitionBy("part")
+    parts = ranked.withColumns(
+        {"place": F.row_number().over(window), "all": F.sum("rows").over(own)}
+    ).filter(F.col("place") <= k)
+    once = F.sum(F.when(F.col("place") == 1, F.col("all")))
+    best = parts.agg(
+        F.slice(F.sort_array(F.collect_list("entry")), 1, k).alias("top"),
+        F.coalesce(once, F.lit(0)).alias("total"),
+    )
+    shown = F.transform(
+        "top",
+        lambda e: F.struct(
+            e["name"].alias("name"), (-e["rank"]).alias("rows"), F.lit(False).alias("is_other")
+        ),
     )
-    pct = F.round(F.col("rows").cast("decimal(20,0)") * 100 / total.cast("decimal(20,0)"), 1)
-    return named.withColumn("pct", pct.cast("double"))
+    rest = F.col("total") - F.aggregate("top", F.lit(0).cast("bigint"), lambda s, e: s - e["rank"])
+    last = F.array(F.struct(F.lit(other).alias("name"), rest.alias("rows"), F.lit(True).alias("is_other")))
+    shares = best.select("total", F.explode(F.concat(shown, F.when(rest > 0, last).otherwise(F.slice(last, 1, 0)))).alias("s"))
+    pct = F.round(F.col("rows").cast("decimal(20,0)") * 100 / F.col("total").cast("decimal(20,0)"), 1)
+    return shares.select("s.*", "total").withColumn("pct", pct.cast("double")).drop("total")

@@ -6,7 +6,7 @@ import datetime as dt
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from berthline.operators.dedup import merge_sources
 from berthline.operators.entities import choose_coordinates, lookup_area, resolve_entities
@@ -22,7 +22,7 @@ from berthline.operators.listing import (
 from berthline.operators.rollups import in_window
 from berthline.schemas import SHIP_KEY, SHIP_ROW
 from berthline.session import stored
-from berthline.sources.html_pages import extract_calendar, extract_directory
+from berthline.sources.html_pages import extract_calendar, extract_directory, newest_page
 from berthline.sources.landed import assemble_pages, parse_pages
 from berthline.sources.listing import calendar_ships, parse_listing_v2
 
@@ -54,20 +54,35 @@ def _enrich(ships: DataFrame, dims: Dims, strict: bool, feed: tuple[str, str] |
     )
 
 
-def listing_ships(pages: DataFrame, dims: Dims, strict: bool = True) -> DataFrame:
-    """Ship rows of landed feed pages (request_date, page, value)."""
-    parsed = parse_listing_v2(assemble_pages(parse_pages(pages), "total"))
-    path = dims.path("listing")
-    ships = _enrich(stored(parsed, path) if path else parsed, dims, strict, ("feed_lat", "feed_lng"))
-    bucket = F.col("request_date").cast("string")
-    order = F.struct(
-        bucket.alias("request_date"),
-        F.col("page").cast("bigint").alias("page"),
-        F.col("pos").cast("bigint").alias("pos"),
+def _order(run_ts: Column, request_date: Column, page: Column, pos: Column) -> Column:
+    return F.struct(
+        run_ts.cast("timestamp_ntz").alias("run_ts"),
+        request_date.cast("string").alias("request_date"),
+        page.cast("bigint").alias("page"),
+        pos.cast("bigint").alias("pos"),
     )
-    return ships.select("*", order.alias("ord"), bucket.alias("bucket")).drop(
-        "request_date", "page", "pos"
+
+
+def listing_ships(
+    pages: DataFrame, dims: Dims, strict: bool = True, spine: DataFrame | None = None
+) -> DataFrame:
+    """Ship rows of landed feed pages (run_ts, request_date, page, value).
+
+    Of a page that landed more than once the newest snapshot counts, and with a
+    spine only its dates: both before any page is parsed.
+    """
+    if "run_ts" not in pages.columns:
+        pages = pages.withColumn("run_ts", F.lit(None).cast("timestamp_ntz"))
+    wanted = in_window(pages, spine, "request_date") if spine is not None else pages
+    landed = parse_pages(newest_page(wanted, ["request_date", "page"]))
+    page_path, path = dims.path("pages"), dims.path("listing")
+    parsed = parse_listing_v2(
+        assemble_pages(stored(landed, page_path) if page_path else landed, "total")
     )
+    ships = _enrich(stored(parsed, path) if path else parsed, dims, strict, ("feed_lat", "feed_lng"))
+    order = _order(*[F.col(c) for c in ("run_ts", "request_date", "page", "pos")])
+    bucket = F.col("request_date").cast("string").alias("bucket")
+    return ships.select("*", order.alias("ord"), bucket).drop("run_ts", "request_date", "page", "pos")
 
 
 def calendar_listing(
@@ -82,12 +97,10 @@ def calendar_listing(
     Boats are matched on the directory, one row per boat, before they meet the seats.
     """
     boats = _enrich(extract_directory(directory_pages), dims, strict, None)
-    ships = calendar_ships(extract_calendar(calendar_pages), boats, as_of)
-    order = F.struct(
-        F.col("directory_id").alias("request_date"),
-        (F.col("year") * 12 + F.col("month")).cast("bigint").alias("page"),
-        F.col("pos").cast("bigint").alias("pos"),
-    )
+    newest = newest_page(calendar_pages, ["directory_id", "year", "month"])
+    ships = calendar_ships(extract_calendar(newest), boats, as_of)
+    none = F.lit(None).cast("timestamp_ntz")
+    order = _order(none, F.col("directory_id"), F.col("year") * 12 + F.col("month"), F.col("pos"))
     return ships.select("*", order.alias("ord"), F.col("sdate").alias("bucket")).drop(
         "year", "month", "pos"
     )

@@ -19,6 +19,7 @@ from berthline.operators.metrics import (
     report_kpi,
     report_monthly,
 )
+from berthline.session import stored
 
 _CHANNELS = (
     (fv.CHANNEL_META, "meta_spend"),
@@ -213,8 +214,13 @@ def choose_plan(
     keep: str = "newest",
     n: int = fv.TREND_MONTHS,
     n_ads: int = fv.AD_TREND_MONTHS,
+    scratch: str | None = None,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(KPI, months, ad months): with the ad table if there is one, else from the daily table alone."""
+    """(KPI, months, ad months): with the ad table if there is one, else from the daily table alone.
+
+    With a scratch folder the mastered days and the months are stored there, so that the parts of
+    a report don't start from the source tables again.
+    """
     if ads is None:
         months = monthly_fallback(daily, n, keep)
         schema = (
@@ -223,7 +229,11 @@ def choose_plan(
         )
         return kpi_fallback(daily), months, daily.sparkSession.createDataFrame([], schema)
     days = mastered(daily, ads)
+    if scratch:
+        days = stored(days, f"{scratch}/days")
     all_months = monthly(days)
+    if scratch:
+        all_months = stored(all_months, f"{scratch}/months")
     return (
         report_kpi(kpi_latest(days, as_of)),
         report_monthly(all_months, n, keep),

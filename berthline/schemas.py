@@ -34,7 +34,7 @@ SEAT_ROW = _struct(
 )
 SEAT_COLUMNS = SEAT_ROW.fieldNames()
 
-# Text widths of the stored table.
+# Text widths of a table for export.
 SEAT_WIDTHS = {
     "ship_name": 100,
     "area_name": 50,
@@ -113,24 +113,10 @@ RUN_HISTORY = _struct(
     ("note", _S),
 )
 
+# A feed page as landed by one run; the newest run's page of a date and number counts.
 LANDED_PAGE = _struct(
+    ("run_ts", T.TimestampNTZType()),
     ("request_date", _DATE),
     ("page", T.IntegerType()),
     ("value", _S),
 )
-
-CALENDAR_PAGE = _struct(
-    ("directory_id", _S),
-    ("year", T.IntegerType()),
-    ("month", T.IntegerType()),
-    ("html", _S),
-)
-
-CALENDAR_SEAT = _struct(
-    ("directory_id", _S),
-    ("pos", T.IntegerType()),
-    ("sdate", _S),
-    ("remain", _L),
-    ("fish_str", _S),
-    ("status", _S),
-)

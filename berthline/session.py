@@ -5,9 +5,11 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+# Set to true where the checkpoint folder is a file path on storage that all executors mount.
+SHARED_MOUNT = "spark.berthline.checkpoint.shared"
 
 # Settings the operators rely on.  Sizes are left to the cluster: AQE coalesces
 # small shuffle partitions and splits skewed ones, so only the upper bound of
@@ -19,6 +21,8 @@ RECOMMENDED = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.sources.partitionColumnTypeInference.enabled": "true",
+    # Bytes of a batch that goes to a Python worker, besides its rows.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4194304",
 }
 
 
@@ -28,12 +32,26 @@ def apply_recommended(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def shared_mount(spark: SparkSession) -> bool:
+    return spark.conf.get(SHARED_MOUNT, "false").lower() == "true"
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder, asked from the file system that the path names."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new, unused path below the folder that all executors share."""
     base = spark.conf.get(CHECKPOINT_DIR, None)
+    local = spark.sparkContext.master.startswith("local")
+    if not base and not local:
+        raise ValueError(f"set {CHECKPOINT_DIR} to a folder that every executor can reach")
+    if base and not local and (base.startswith("file:") or "://" not in base and base.startswith("/")):
+        if not shared_mount(spark):
+            raise ValueError(f"{CHECKPOINT_DIR} is a local path; set {SHARED_MOUNT} if it is a mount all executors share")
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"set {CHECKPOINT_DIR} to a folder that every executor can reach")
         base = tempfile.mkdtemp(prefix="berthline-")
         spark.conf.set(CHECKPOINT_DIR, base)
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
@@ -46,12 +64,3 @@ def stored(df: DataFrame, path: str) -> DataFrame:
     """
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def per_date(df: DataFrame, date: str) -> DataFrame:
-    """Hint to broadcast an aggregate with one row per date.
-
-    Only for a DATE column: the calendar bounds the rows (under 4 million for
-    all dates there are).  Dates held as text are left to Spark's size check.
-    """
-    return F.broadcast(df) if isinstance(df.schema[date].dataType, T.DateType) else df

@@ -2,65 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from berthline.functions.text import text_price
 from berthline.operators.rollups import daily_doc_counts
 from berthline.schemas import NATURAL_KEY, PAYLOAD_COLUMNS
-from berthline.session import per_date, scratch_dir, stored
-
-DOC_ROWS = 10_000
 _KEEP_NULLS = {"ignoreNullFields": "false"}
 
 
-def daily_docs(
-    df: DataFrame,
-    scraped_at: str,
-    date: str = "sdate",
-    boat: str = "ship_no",
-    order: list[str] | None = None,
-    doc_rows: int = DOC_ROWS,
-    counts_path: str | None = None,
-) -> DataFrame:
-    """(date, part, parts, value): JSON documents with the date's totals and its ships.
+def daily_docs(df: DataFrame, date: str = "sdate") -> DataFrame:
+    """(date, value): one JSON text per ship, nulls kept; rows without a date are left out.
 
-    A date with up to ``doc_rows`` rows is one document.  A larger one is dealt
-    over several by a hash of the row, each with the date's full totals, so that
-    no group grows with the data; readers of landed documents take either form.
-    With ``counts_path`` the counts per date are stored there first, so that the
-    join back to the rows is planned with their real size.
+    A date's document is its lines, whatever their number; its totals are in the manifest.
     """
-    fields = [c for c in df.columns if c not in (order or [])]
+    ship = F.struct(*[F.col(c) for c in df.columns])
     rows = df.filter(F.col(date).isNotNull())
-    counts = daily_doc_counts(rows, date, boat).select(
-        F.col("date").alias("__date"),
-        "total",
-        "af_matched",
-        F.ceil(F.col("total") / F.lit(doc_rows)).cast("int").alias("parts"),
-    )
-    counts = stored(counts, counts_path) if counts_path else per_date(counts, "__date")
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.col("parts")).cast("int")
-    parted = rows.join(counts, rows[date] == counts["__date"]).withColumn("part", spread)
-    ship = F.struct(*[F.col(c) for c in fields]).alias("ship")
-    rank = F.struct(*[F.col(c) for c in (order or [date])]).alias("rank")
-    grouped = parted.groupBy(F.col(date).alias("date"), "part", "parts", "total", "af_matched").agg(
-        F.sort_array(F.collect_list(F.struct(rank, ship))).alias("entries")
-    )
-    document = F.struct(
-        F.col("date").cast("string").alias("date"),
-        F.lit(scraped_at).alias("scraped_at"),
-        "total",
-        "af_matched",
-        F.transform("entries", lambda e: e["ship"]).alias("ships"),
-    )
-    return grouped.select("date", "part", "parts", F.to_json(document, _KEEP_NULLS).alias("value"))
+    return rows.select(F.col(date).alias("date"), F.to_json(ship, _KEEP_NULLS).alias("value"))
 
 
-def write_daily_docs(df: DataFrame, path: str, scraped_at: str, **options) -> None:
-    """Documents as text, one per line, in one folder per date; dates without rows get none."""
-    counts_path = scratch_dir(df.sparkSession, "doc-counts")
-    docs = daily_docs(df, scraped_at, counts_path=counts_path, **options)
-    out = docs.select("date", "value").hint("rebalance", "date").write.mode("overwrite")
+def write_daily_docs(df: DataFrame, path: str, date: str = "sdate") -> None:
+    """One folder per date with one ship per line; dates without rows get none.
+
+    The rebalance hint sizes the files: small dates share a task, a hot one is split.
+    """
+    out = daily_docs(df, date).hint("rebalance", "date").write.mode("overwrite")
     out.partitionBy("date").text(path)
 
 
@@ -134,32 +99,32 @@ def write_payload(
     updated_at: str,
     columns: list[str] | None = None,
     order: list[str] | None = None,
-    document_rows: int = 100_000,
 ) -> int:
     """Write the payload and return its row count.
 
     ``path/rows`` holds one positional row per line, sorted over all files (by the
     natural key within equal ``order`` values, so that a hot value is split), and
-    ``path/header`` the time and count.  Up to ``document_rows`` rows,
-    ``path/document`` holds the single document as well.
+    ``path/header`` the time and count.  The layout is the same for any size;
+    ``payload_document`` makes a single text of it for a reader that needs one.
     """
     spark = df.sparkSession
     ties = [k for k in NATURAL_KEY if k in df.columns and k not in (order or [])]
     ordered = df.orderBy(*order, *ties) if order else df
-    payload_lines(ordered, columns).write.mode("overwrite").text(f"{path}/rows")
-    count = spark.read.text(f"{path}/rows").count()
+    counted = Observation()
+    lines = payload_lines(ordered, columns).observe(counted, F.count(F.lit(1)).alias("n"))
+    lines.write.mode("overwrite").text(f"{path}/rows")
+    count = counted.get["n"]
     header = spark.range(1).select(
         F.to_json(
             F.struct(F.lit(updated_at).alias("updated_at"), F.lit(count).alias("row_count"))
         ).alias("value")
     )
     header.write.mode("overwrite").text(f"{path}/header")
-    if count <= document_rows:
-        _document(spark, path, updated_at, count).write.mode("overwrite").text(f"{path}/document")
     return count
 
 
-def _document(spark: SparkSession, path: str, updated_at: str, count: int) -> DataFrame:
+def payload_document(spark: SparkSession, path: str) -> DataFrame:
+    """A written payload as one text (updated_at, row_count, rows): for payloads that fit one value."""
     lines = spark.read.text(f"{path}/rows").select(
         F.struct(
             F.col("_metadata.file_name").alias("file"),
@@ -170,7 +135,7 @@ def _document(spark: SparkSession, path: str, updated_at: str, count: int) -> Da
     )
     entries = lines.agg(F.sort_array(F.collect_list("entry")).alias("entries"))
     rows = F.array_join(F.transform("entries", lambda e: e["value"]), ",")
-    head = F.to_json(F.struct(F.lit(updated_at).alias("updated_at"), F.lit(count).alias("row_count")))
+    head = spark.read.text(f"{path}/header").select("value").scalar()
     body = F.concat(F.regexp_replace(head, r"\}$", ""), F.lit(',"rows":['), rows, F.lit("]}"))
     return entries.select(body.alias("value"))
 

@@ -6,15 +6,13 @@ import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.errors import AnalysisException
 
 from berthline import fixed_values as fv
 from berthline.operators.dedup import dedup_last
 from berthline.schemas import NATURAL_KEY, RUN_HISTORY, SEAT_ROW
-from berthline.session import scratch_dir
+from berthline.session import path_exists, scratch_dir
 
 PARTITION = "fishing_date"
-MAX_LISTED_DATES = 10_000
 
 
 def merged(
@@ -42,25 +40,22 @@ def merged(
 
 def read_seats(spark: SparkSession, path: str) -> DataFrame | None:
     """The stored table, or None where there is none yet."""
-    try:
-        return spark.read.schema(SEAT_ROW).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+    return spark.read.schema(SEAT_ROW).parquet(path) if path_exists(spark, path) else None
 
 
 def _touched(target: DataFrame, batch: DataFrame) -> DataFrame:
-    """Target rows on the batch's dates; as a partition filter if the dates are few."""
+    """Target rows on the batch's dates.
+
+    Joins on the partition column, so Spark prunes the partitions that the batch's dates don't name;
+    rows without a date are one partition, read if the batch has such rows.
+    """
     dates = batch.select(PARTITION).distinct()
-    listed = [r[0] for r in dates.limit(MAX_LISTED_DATES + 1).collect()]
-    if len(listed) > MAX_LISTED_DATES:
-        same = target[PARTITION].eqNullSafe(dates[PARTITION])
-        return target.join(dates, same, "left_semi")
-    on = F.col(PARTITION).isin([d for d in listed if d is not None])
-    if None in listed:
-        on = on | F.col(PARTITION).isNull()
-    return target.filter(F.coalesce(on, F.lit(False)))
+    # A comparison, not just a null test, is what Spark takes for a reason to prune.
+    known = dates.filter(F.col(PARTITION) >= F.lit("0001-01-01").cast("date"))
+    dated = target.join(known, PARTITION, "left_semi")
+    undated = dates.filter(F.col(PARTITION).isNull()).select(F.lit(1).alias("one"))
+    none = target.filter(F.col(PARTITION).isNull()).withColumn("one", F.lit(1))
+    return dated.unionByName(none.join(undated, "one", "left_semi").drop("one"))
 
 
 def upsert(
@@ -113,18 +108,15 @@ def append_history(
     status: str = fv.RUN_OK,
     note: str = "",
 ) -> None:
-    row = (collected_at, str(batch_id), row_count, status, note[: fv.NOTE_MAX_CHARS])
+    row = (collected_at, str(batch_id), row_count, status, note)
     run = spark.createDataFrame([row], RUN_HISTORY).coalesce(1)
     run.write.mode("append").parquet(path)
 
 
 def read_history(spark: SparkSession, path: str) -> DataFrame:
-    try:
-        return spark.read.schema(RUN_HISTORY).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return spark.createDataFrame([], RUN_HISTORY)
-        raise
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], RUN_HISTORY)
+    return spark.read.schema(RUN_HISTORY).parquet(path)
 
 
 def full_refresh(df: DataFrame, path: str, order_by: list[str] | None = None) -> None:

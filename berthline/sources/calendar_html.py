@@ -33,23 +33,29 @@ def page_cells(html: str) -> list[tuple[str, str, str, str]]:
     cells: list[dict] = []
     inside: list[dict] = []  # open cells
     sinks: list[list[str]] = []  # text lists of open elements that are collected
+    opened: dict[str, int] = {}  # how often a tag is on the stack
     silent = 0
     end = 0
+
+    def collect(start: int, stop: int) -> None:
+        text = unescape(html[start:stop]).strip()
+        if text:
+            for sink in sinks:
+                sink.append(text)
+
     for token in _TOKEN.finditer(html):
         if sinks and not silent and token.start() > end:
-            text = unescape(html[end : token.start()]).strip()
-            if text:
-                for sink in sinks:
-                    sink.append(text)
+            collect(end, token.start())
         end = token.end()
         tag = token["tag"]
         if tag is None:
             continue
         tag = tag.lower()
         if token["close"]:
-            if any(entry[0] == tag for entry in stack):
+            if opened.get(tag):
                 while True:
                     name, cell, added = stack.pop()
+                    opened[name] -= 1
                     if cell is not None:
                         inside.pop()
                     if added:
@@ -84,6 +90,9 @@ def page_cells(html: str) -> list[tuple[str, str, str, str]]:
             inside.append(cell)
         silent += tag in _SILENT
         stack.append((tag, cell, added))
+        opened[tag] = opened.get(tag, 0) + 1
+    if sinks and not silent:
+        collect(end, len(html))
     return [
         (
             "".join(c["day"]),

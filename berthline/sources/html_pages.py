@@ -7,9 +7,10 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from berthline import fixed_values as fv
+from berthline.operators.dedup import dedup_last
 from berthline.functions.numbers import seat_status, strict_int
 from berthline.functions.text import page_area, page_store_id, page_title
 from berthline.sources.calendar_html import page_cells
@@ -20,6 +21,9 @@ _CELL_SCHEMA = (
 )
 
 
+# Cells handed back at once; pages come in batches bounded by bytes.
+_CELLS_AT_ONCE = 10_000
+
 # Workers need not have this package installed: what runs there is sent by value.
 for _module in (__name__, page_cells.__module__):
     cloudpickle.register_pickle_by_value(sys.modules[_module])
@@ -28,11 +32,13 @@ for _module in (__name__, page_cells.__module__):
 def _cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     columns = [part.split()[0] for part in _CELL_SCHEMA.split(", ")]
     for pages in batches:
-        rows = [
-            (p.directory_id, p.year, p.month, pos, *cell)
-            for p in pages.itertuples(index=False)
-            for pos, cell in enumerate(page_cells(p.html or ""))
-        ]
+        rows: list[tuple] = []
+        for p in pages.itertuples(index=False):
+            for pos, cell in enumerate(page_cells(p.html or "")):
+                rows.append((p.directory_id, p.year, p.month, pos, *cell))
+                if len(rows) == _CELLS_AT_ONCE:
+                    yield pd.DataFrame(rows, columns=columns)
+                    rows = []
         yield pd.DataFrame(rows, columns=columns)
 
 
@@ -68,26 +74,42 @@ def extract_calendar(pages: DataFrame) -> DataFrame:
         "pos",
         F.when(digits != "", linked).otherwise(own).alias("sdate"),
         strict_int(F.when(F.col("num").rlike(r"^[+-]?[0-9]+$"), F.col("num"))).alias("remain"),
-        F.substring("fish", 1, 100).alias("fish_str"),
+        F.col("fish").alias("fish_str"),
     )
     return rows.withColumn("status", seat_status("remain"))
 
 
-def directory_ids(pages: DataFrame, limit: int = fv.DIRECTORY_MAX_IDS) -> DataFrame:
-    """(page_id, pos, directory_id): linked ids of each page in order, without repeats."""
+def directory_ids(pages: DataFrame, limit: int | None = None) -> DataFrame:
+    """(page_id, pos, directory_id): linked ids of each page in order, without repeats; the first ``limit`` if given."""
     return page_links(pages, fv.ID_LINK_PATTERN, limit).withColumnRenamed("link", "directory_id")
 
 
+def distinct_links(html: Column | str, pattern: str) -> Column:
+    """Distinct matches of a link pattern in order of first appearance."""
+    return F.array_distinct(F.regexp_extract_all(html, F.lit("(?dU)" + pattern), 1))
+
+
 def page_links(pages: DataFrame, pattern: str, limit: int | None = None) -> DataFrame:
-    """(page_id, pos, link): distinct matches of a link pattern in order of first appearance."""
-    found = F.array_distinct(F.regexp_extract_all("html", F.lit("(?dU)" + pattern), 1))
+    """(page_id, pos, link): the distinct links of each page, the first ``limit`` if given."""
+    found = distinct_links("html", pattern)
     links = F.slice(found, 1, limit) if limit else found
     return pages.select("page_id", F.posexplode(links).alias("pos", "link"))
 
 
+def newest_page(pages: DataFrame, keys: list[str], run_ts: str = "run_ts") -> DataFrame:
+    """The newest snapshot of each page, equal times by the greater text; as is without run times."""
+    if run_ts not in pages.columns:
+        return pages
+    text = "html" if "html" in pages.columns else "value"
+    return dedup_last(pages, keys, [run_ts, text])
+
+
 def extract_directory(pages: DataFrame) -> DataFrame:
-    """(directory_id, store_id, ship_name, area_sub) of boat pages; pages without store id dropped."""
-    facts = pages.select(
+    """(directory_id, store_id, ship_name, area_sub) of boat pages; pages without store id dropped.
+
+    Of a page that landed more than once the newest counts.
+    """
+    facts = newest_page(pages, ["directory_id"]).select(
         "directory_id",
         page_store_id("html", "directory_id").alias("store_id"),
         F.coalesce(page_title("html"), F.lit("")).alias("ship_name"),

@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from berthline import fixed_values as fv
 from berthline.functions.text import join_variant_names
 from berthline.schemas import PAYLOAD_COLUMNS, PAYLOAD_TYPES, SEAT_COLUMNS
-from berthline.session import per_date
 
 _FALSY = ("null", "false", "0", '""', "{}", "[]")
 _FILE_DATE = r"(\d{4}-\d{2}-\d{2})[^/]*$"
@@ -66,11 +65,21 @@ def records_of(text: Column, doc: Column) -> Column:
 
 def explode_landed(docs: DataFrame, value: str = "value") -> DataFrame:
     """One row per record: the other columns of ``docs``, ``pos`` and ``rec``."""
+    rows = _every_record(docs, value)
+    return rows.filter(_is_object(F.col("rec")))
+
+
+def odd_records(docs: DataFrame, value: str = "value") -> DataFrame:
+    """The records that ``explode_landed`` leaves out: those that are no object."""
+    rows = _every_record(docs, value)
+    return rows.filter(~F.coalesce(_is_object(F.col("rec")), F.lit(False)))
+
+
+def _every_record(docs: DataFrame, value: str) -> DataFrame:
     keep = [c for c in docs.columns if c != value]
     parsed = docs.withColumn("__doc", F.try_parse_json(value))
     records = records_of(F.col(value), F.col("__doc"))
-    rows = parsed.select(*keep, F.posexplode(records).alias("pos", "rec"))
-    return rows.filter(_is_object(F.col("rec")))
+    return parsed.select(*keep, F.posexplode(records).alias("pos", "rec"))
 
 
 def broken_docs(docs: DataFrame, value: str = "value") -> DataFrame:
@@ -141,7 +150,7 @@ def normalize_aliases(
 
 
 def parse_pages(pages: DataFrame, value: str = "value") -> DataFrame:
-    """Landed page texts to (..., total, items): a list, or an object with data or list."""
+    """Landed page texts to (..., total, items, size): a list, or an object with data or list."""
     keep = [c for c in pages.columns if c != value]
     doc = F.try_parse_json(value)
     items = F.coalesce(_array_at(doc, "$"), _array_at(doc, "$.data"), _array_at(doc, "$.list"))
@@ -149,6 +158,7 @@ def parse_pages(pages: DataFrame, value: str = "value") -> DataFrame:
         *keep,
         F.try_variant_get(doc, "$.total", "bigint").alias("total"),
         F.coalesce(items, _no_records()).alias("items"),
+        F.coalesce(F.size(items), F.lit(0)).alias("size"),
     )
 
 
@@ -160,9 +170,10 @@ def assemble_pages(pages: DataFrame, rule: str, date: str = "request_date") -> D
     ceil(total / 30), total being that of page 1.
 
     The last page to keep is one small aggregate row per date, joined back: the
-    pages themselves are not shuffled, whatever number of them a date has.
+    pages themselves are not shuffled, whatever number of them a date has.  It needs
+    the pages' sizes and totals only, so stored pages are not parsed again for it.
     """
-    size = F.size("items")
+    size = F.col("size")
     if rule == "empty":
         last = F.min(F.when(size == 0, F.col("page"))) - 1
     elif rule == "short":
@@ -173,10 +184,10 @@ def assemble_pages(pages: DataFrame, rule: str, date: str = "request_date") -> D
         last = F.ceil(F.coalesce(first_total, F.lit(0)) / F.lit(fv.FEED_PAGE_ROWS))
     else:
         raise ValueError("rule is 'empty', 'short' or 'total'")
-    cuts = per_date(pages.groupBy(date).agg(last.cast("bigint").alias("last_page")), date)
+    cuts = pages.groupBy(date).agg(last.cast("bigint").alias("last_page"))
     kept = pages.join(cuts, pages[date].eqNullSafe(cuts[date]), "inner").drop(cuts[date])
     kept = kept.filter(F.col("last_page").isNull() | (F.col("page") <= F.col("last_page")))
-    columns = [c for c in pages.columns if c not in ("items", "total")]
+    columns = [c for c in pages.columns if c not in ("items", "total", "size")]
     return kept.select(*columns, F.posexplode("items").alias("pos", "rec"))
 
 
@@ -220,11 +231,12 @@ def load_dates(spark: SparkSession, root: str, dates: list[dt.date | str] | None
 def load_daily_docs(
     spark: SparkSession, root: str, dates: list[dt.date | str] | None = None
 ) -> DataFrame:
-    """Records of documents partitioned by date (one document per line); only those dates are read."""
+    """(date, rec): records of documents partitioned by date (one record per line); only those dates are read."""
     docs = spark.read.text(root)
     if dates is not None:
         docs = docs.filter(F.col("date").isin([str(d) for d in dates]))
-    return explode_landed(docs)
+    rows = docs.select("date", F.try_parse_json("value").alias("rec"))
+    return rows.filter(_is_object(F.col("rec")))
 
 
 # --- dashboard payload ------------------------------------------------------------

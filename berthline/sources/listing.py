@@ -27,7 +27,7 @@ REASON = "reject_reason"
 # missing field, or whose JSON type matters, stay VARIANT.
 _RECORD_V1 = """struct<
   name:variant, area_name:variant, port_name:variant, sdate:string, stime:string, etime:string,
-  fish_type:array<struct<name:string>>, fishing_method:array<struct<name:string>>, price:variant,
+  fish_type:variant, fishing_method:variant, price:variant,
   embarkation_num:bigint, reservation_ready_num:bigint, remain_embarkation_num:bigint,
   schedule_status_code:variant, schedule_status_name:variant, ship_schedule_no:string>"""
 _NOT_NULL_IF_PRESENT = (
@@ -37,6 +37,7 @@ _NOT_NULL_IF_PRESENT = (
     "schedule_status_code",
     "schedule_status_name",
 )
+_NAME_LISTS = ("fish_type", "fishing_method")
 _RECORD_V2 = """struct<
   ship:struct<no:bigint, name:string, area_main:string, area_sub:string, lat:double, lng:double>,
   sdate:variant, stime:string, etime:string, fish_type:string, fishing_method:string,
@@ -52,18 +53,32 @@ def _text(c: Column) -> Column:
     return F.try_variant_get(c, "$", "string")
 
 
+def _names(c: Column) -> Column:
+    return F.try_variant_get(c, "$", "array<struct<name:string>>")
+
+
+def _price(c: Column) -> Column:
+    return F.try_variant_get(c, "$", "decimal(38,6)")
+
+
 def _reject_reason() -> Column:
     """First reason why a record cannot be parsed, null if it can."""
     r = F.col("r")
-    reasons = [
-        F.when(F.coalesce(F.is_variant_null(r[f]), F.lit(False)), F.lit(f"{f} is null"))
-        for f in _NOT_NULL_IF_PRESENT
-    ]
-    for field in ("fish_type", "fishing_method"):
-        unnamed = F.exists(r[field], lambda n: n["name"].isNull())
+    reasons = []
+    for field in _NOT_NULL_IF_PRESENT:
+        reasons.append(F.when(F.is_variant_null(r[field]), F.lit(f"{field} is null")))
+        other = r[field].isNotNull() & (F.schema_of_variant(r[field]) != "STRING")
+        reasons.append(F.when(other, F.lit(f"{field} is no text")))
+    for field in _NAME_LISTS:
+        listed = F.schema_of_variant(r[field]).startswith("ARRAY")
+        reasons.append(F.when(F.is_variant_null(r[field]), F.lit(f"{field} is null")))
+        reasons.append(F.when(r[field].isNotNull() & ~listed, F.lit(f"{field} is no list")))
+        unnamed = F.exists(_names(r[field]), lambda n: n["name"].isNull())
         reasons.append(F.when(unnamed, F.lit(f"{field} without name")))
-    text_price = (F.schema_of_variant(r["price"]) == "STRING") & (_text(r["price"]) != "")
-    reasons.append(F.when(text_price, F.lit("price is text")))
+    price = F.schema_of_variant(r["price"])
+    reasons.append(F.when((price == "STRING") & (_text(r["price"]) != ""), F.lit("price is text")))
+    number = F.is_variant_null(r["price"]) | (_price(r["price"]).isNotNull()) | (price == "STRING")
+    reasons.append(F.when(r["price"].isNotNull() & ~number, F.lit("price is no number")))
     return F.coalesce(*reasons)
 
 
@@ -71,7 +86,8 @@ def parse_listing_v1(df: DataFrame, run_ts: Column) -> DataFrame:
     """Snapshot rows with ``reject_reason``; other columns of ``df`` are kept.
 
     Records that the listing format does not allow keep their row, so that
-    ``split_rejects`` can set them aside with the reason.
+    ``split_rejects`` can set them aside with the reason.  Texts stay whole;
+    ``fitted`` cuts them for a table with fixed widths.
     """
     r, zero = F.col("r"), F.lit(0).cast("bigint")
     values = {
@@ -81,9 +97,9 @@ def parse_listing_v1(df: DataFrame, run_ts: Column) -> DataFrame:
         "fishing_date": iso_date(r["sdate"]),
         "depart_time": clock(r["stime"]),
         "return_time": clock(r["etime"]),
-        "fish_types": join_names(r["fish_type"]),
-        "fishing_methods": join_names(r["fishing_method"]),
-        "price": price_label(F.try_variant_get(r["price"], "$", "bigint")),
+        "fish_types": join_names(_names(r["fish_type"])),
+        "fishing_methods": join_names(_names(r["fishing_method"])),
+        "price": price_label(_price(r["price"])),
         "total_seats": F.coalesce(r["embarkation_num"], zero),
         "reserved_seats": F.coalesce(r["reservation_ready_num"], zero),
         "remain_seats": F.coalesce(r["remain_embarkation_num"], zero),
@@ -91,8 +107,6 @@ def parse_listing_v1(df: DataFrame, run_ts: Column) -> DataFrame:
         "status_name": _or_empty(_text(r["schedule_status_name"])),
         "schedule_no": _or_empty(r["ship_schedule_no"]),
     }
-    for name, width in SEAT_WIDTHS.items():
-        values[name] = truncate(values[name], width)
     values["collected_at"] = run_ts
     return take_apart(df, _RECORD_V1).select(
         *[c for c in df.columns if c != "rec"],
@@ -101,6 +115,12 @@ def parse_listing_v1(df: DataFrame, run_ts: Column) -> DataFrame:
     )
 
 
+def fitted(df: DataFrame, widths: dict[str, int] | None = None) -> DataFrame:
+    """Rows for a table with fixed text widths: for export only, as cut keys may fall together."""
+    sizes = SEAT_WIDTHS if widths is None else widths
+    return df.withColumns({name: truncate(name, n) for name, n in sizes.items() if name in df.columns})
+
+
 def split_rejects(df: DataFrame, required: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """(good rows, rejected rows with their reason); ``required`` columns must not be null."""
     missing = [F.when(F.col(c).isNull(), F.lit(f"{c} is missing")) for c in required or []]

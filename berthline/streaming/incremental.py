@@ -11,9 +11,19 @@ from berthline.functions.dates import iso_date
 from berthline.operators.dedup import dedup_last
 from berthline.schemas import NATURAL_KEY, SEAT_COLUMNS
 from berthline.sinks.tables import append_history, publish, read_history, upsert
-from berthline.sources.landed import explode_landed, normalize_aliases
+from berthline.sources.landed import broken_docs, explode_landed, normalize_aliases, odd_records
 
 STAGED = "staged"
+NO_JSON, NO_OBJECT = "no JSON", "record is no object"
+
+
+def rejected_rows(docs: DataFrame) -> DataFrame:
+    """(file, pos, reason, value): documents that are no JSON, and records that are no object."""
+    broken = broken_docs(docs).select("file", F.lit(None).cast("int").alias("pos"), F.lit(NO_JSON).alias("reason"), "value")
+    odd = odd_records(docs.select("file", "value")).select(
+        "file", "pos", F.lit(NO_OBJECT).alias("reason"), F.to_json("rec").alias("value")
+    )
+    return broken.unionByName(odd)
 
 
 def seat_rows(docs: DataFrame, run_ts: Column) -> DataFrame:
@@ -28,11 +38,17 @@ def _pending(history: DataFrame, batch_id: str) -> set[str]:
 
 
 def ingest_batch(
-    docs: DataFrame, batch_id: int | str, target: str, history: str, staging_root: str
+    docs: DataFrame,
+    batch_id: int | str,
+    target: str,
+    history: str,
+    staging_root: str,
+    rejects: str | None = None,
 ) -> None:
     """Upsert one batch and note it in the history; a batch that is noted as done is skipped.
 
-    A batch that was staged but not published is published from its staged copy.
+    A batch that was staged but not published is published from its staged copy.  With ``rejects``
+    what could not be read is written there by batch, and the history's note counts it.
     """
     spark, batch_id = docs.sparkSession, str(batch_id)
     done = _pending(read_history(spark, history), batch_id)
@@ -53,6 +69,11 @@ def ingest_batch(
             on_staged=lambda: append_history(spark, history, now, batch_id, 0, STAGED),
         )
         note = f"rows {counts[0]}, after dedup {counts[1]}"
+        if rejects:
+            refused = Observation()
+            out = rejected_rows(docs).observe(refused, F.count(F.lit(1)).alias("n"))
+            out.write.mode("overwrite").parquet(f"{rejects}/batch={batch_id}")
+            note += f", rejected {refused.get['n']}"
         append_history(spark, history, now, batch_id, counts[1], note=note)
     except Exception as error:
         append_history(spark, history, now, batch_id, 0, fv.RUN_FAILED, str(error))
@@ -90,7 +111,8 @@ def run_incremental(
     """
 
     def each(docs: DataFrame, batch_id: int) -> None:
-        ingest_batch(docs, batch_id, target, f"{checkpoint}/history", f"{checkpoint}/staging")
+        state = [f"{checkpoint}/{name}" for name in ("history", "staging", "rejects")]
+        ingest_batch(docs, batch_id, target, *state)
 
     query = (
         landing_stream(spark, landing, max_files)

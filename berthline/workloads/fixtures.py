@@ -28,31 +28,34 @@ select cast(l_shipdate as date) as report_date,
   sum(cast(l_extendedprice as decimal(18,2))) as ad_spend,
   sum(cast(l_extendedprice as decimal(18,2))) * 3 as revenue,
   case when extract(day from cast(l_shipdate as date)) % 5 = 0 then 0 else count(*) end as roas
-from {lineitem} where l_returnflag = 'A' and extract(day from cast(l_shipdate as date)) % 4 <> 0
+from {lineitem} where extract(day from cast(l_shipdate as date)) % 4 <> 0
 group by cast(l_shipdate as date)
 """
 
 SEAT_LISTING = """
 select o_orderkey as ord,
-  case when o_orderkey % 97 = 0 then '' else p_name end as ship_name,
+  case when o_orderkey % 97 = 0 then '' when o_orderkey % 10 = 3 then 'hot ship'
+    when p_partkey % 4 = 0 then p_name else concat(p_name, ' ', cast(p_partkey as varchar(9))) end as ship_name,
   r_name as area_main, case when o_orderkey % 89 = 0 then '' else n_name end as area_sub,
-  case when o_orderkey % 41 = 0 then null else date '2026-01-01' + cast(o_custkey % 60 as int) end as fishing_date,
+  case when o_orderkey % 41 = 0 then null when o_orderkey % 10 = 3 then date '2026-01-25' else date '2026-01-01' + cast(o_custkey % 60 as int) end as fishing_date,
   case when o_orderkey % 2 = 0 then '05:30' else '13:00' end as depart_time,
   concat(p_type, case when o_orderkey % 4 = 0 then ', PROMO' else '' end) as fish_types,
   case when o_orderkey % 11 = 0 then 0 else cast(floor(o_totalprice) as bigint) end as price,
   case when o_orderkey % 13 = 0 then 0 else 50 end as total_seats,
   cast(o_custkey % 51 as int) as remain_seats,
   case o_orderstatus when 'O' then 'ING' when 'F' then 'END' else 'CALL' end as status_code,
-  concat('S', cast(o_custkey % 3 as varchar(9))) as schedule_no,
+  case when o_orderkey % 10 = 3 then 'S0' else concat('S', cast(o_custkey % 30 as varchar(9))) end as schedule_no,
   case when o_orderkey % 3 = 0 then 'b' else 'a' end as source
-from {orders} join {customer} on o_custkey = c_custkey join {nation} on c_nationkey = n_nationkey
-  join {region} on n_regionkey = r_regionkey join {part} on p_partkey = o_orderkey % 200
+from (select *, o_orderkey % (select count(*) from {part}) as o_partkey from {orders}) o
+  join {customer} on o_custkey = c_custkey join {nation} on c_nationkey = n_nationkey
+  join {region} on n_regionkey = r_regionkey join {part} on p_partkey = o_partkey
 """
 
 ENTITY_MAP = """
 select name, area, row_number() over (order by name, area) as ord,
   1000 + row_number() over (order by name, area) as boat_id
-from (select distinct p_name as name, concat('NATION_', cast(p_size % 3 as varchar(9))) as area
+from (select distinct case when p_partkey % 4 = 1 then concat(p_name, ' ', cast(p_partkey as varchar(9))) else p_name end as name,
+        concat('NATION_', cast(p_size % 3 as varchar(9))) as area
         from {part} where p_size % 10 in (1, 2)
  union select 'gear', 'NATION_5' union select 'red', 'NATION_1') t
 """
@@ -135,11 +138,9 @@ class Tables:
             text = text.replace(f"{{{{{name}}}}}", f"{{{name}}}")
         return self.spark.sql(text, **frames)
 
-    def spread(self, df: DataFrame, scanned: str = "orders") -> DataFrame:
-        """Deal rows out evenly where a small scan gives fewer tasks than there are cores."""
-        cores = self.spark.sparkContext.defaultParallelism
-        scans = self.table(scanned).rdd.getNumPartitions()
-        return df.repartition(cores) if scans < cores else df
+    def spread(self, df: DataFrame) -> DataFrame:
+        """Deal rows out evenly over the shuffle partitions: the tables are single files of one row group."""
+        return df.repartition(int(self.spark.conf.get("spark.sql.shuffle.partitions")))
 
     @cached_property
     def daily_metrics(self) -> DataFrame:

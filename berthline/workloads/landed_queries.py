@@ -14,23 +14,32 @@ from berthline.plans.availability import (
     unified_ships,
 )
 from berthline.session import scratch_dir
-from berthline.sinks.documents import build_manifest, daily_docs, ships_to_payload
-from berthline.sinks.tables import read_seats
+from berthline.functions.text import page_title
+from berthline.schemas import PAYLOAD_COLUMNS
+from berthline.sinks.documents import (
+    build_manifest,
+    daily_docs,
+    ships_to_payload,
+    write_daily_docs,
+    write_payload,
+)
+from berthline.sinks.tables import read_history, read_seats
 from berthline.sources.html_pages import (
     directory_ids,
     extract_calendar,
     extract_directory,
-    page_links,
-    page_titles,
+    distinct_links,
 )
 from berthline.sources.landed import (
     assemble_pages,
     explode_landed,
+    load_daily_docs,
     manifest_dates,
     normalize_aliases,
     parse_pages,
     payload_rows,
 )
+from berthline.sources.landed import payload_lines as payload_rows_of_lines
 from berthline.sources.listing import parse_listing_v1, parse_listing_v2, split_rejects
 from berthline.streaming.incremental import run_incremental
 from berthline.workloads.fixtures import Tables
@@ -120,13 +129,16 @@ LISTING_V1 = f"""
 select ord, to_json(named_struct('name', case when ord % 59 = 0 then cast(null as string) else repeat(ship_name, 12) end,
     'area_name', area_main, 'port_name', area_sub, 'sdate', case when ord % 37 = 0 then '2026-13-01' else {_DATE} end,
     'stime', concat(depart_time, ':00'), 'etime', cast(null as string),
-    'fish_type', transform(split(fish_types, ', '), x -> named_struct('name', if(ord % 61 = 0, cast(null as string), x))),
-    'price', parse_json(case when ord % 53 = 0 then concat('"', price, '"') else cast(price as string) end),
+    'fish_type', parse_json(case when ord % 67 = 0 then 'null' when ord % 73 = 0 then '"x"' else
+       to_json(transform(split(fish_types, ', '), x -> named_struct('name', if(ord % 61 = 0, cast(null as string), x))), map('ignoreNullFields', 'false')) end),
+    'price', parse_json(case when ord % 53 = 0 then concat('"', price, '"') when ord % 47 = 0 then '[5]' when ord % 43 = 0 then concat(price, '.5')
+       else cast(price as string) end),
     'embarkation_num', total_seats, 'reservation_ready_num', total_seats - 1, 'remain_embarkation_num', remain_seats,
     'schedule_status_code', status_code, 'schedule_status_name', 'x', 'ship_schedule_no', ord), map('ignoreNullFields', 'false')) as value
 from {{seat_listing}}
 """
-_V1_BAD = "(ord % 59 = 0 or ord % 61 = 0 or ord % 53 = 0)"
+_V1_REASON = """case when ord % 59 = 0 then 'name is null' when ord % 67 = 0 then 'fish_type is null' when ord % 73 = 0 then 'fish_type is no list'
+  when ord % 61 = 0 then 'fish_type without name' when ord % 53 = 0 then 'price is text' when ord % 47 = 0 then 'price is no number' end"""
 
 
 def _listing_v1(t: Tables) -> tuple[DataFrame, DataFrame]:
@@ -136,12 +148,12 @@ def _listing_v1(t: Tables) -> tuple[DataFrame, DataFrame]:
 
 @query(
     "listing_v1",
-    f"""select ord, substr(repeat(ship_name, 12), 1, 100) as ship_name, area_main as area_name, area_sub as port_name,
+    f"""select ord, repeat(ship_name, 12) as ship_name, area_main as area_name, area_sub as port_name,
       case when ord % 37 = 0 then null else fishing_date end as fishing_date, depart_time, '' as return_time, fish_types,
-      case when price = 0 then '전화문의' else concat(format('{{:,}}', price), '원') end as price,
+      case when ord % 43 = 0 then concat(format('{{:,}}', price), '.5원') when price = 0 then '전화문의' else concat(format('{{:,}}', price), '원') end as price,
       cast(total_seats as bigint) as total_seats, cast(total_seats - 1 as bigint) as reserved_seats,
       cast(remain_seats as bigint) as remain_seats, status_code, cast(ord as varchar) as schedule_no
-    from {{seat_listing}} where not {_V1_BAD}""",
+    from {{seat_listing}} where {_V1_REASON} is null""",
 )
 def listing_v1(t: Tables) -> DataFrame:
     good, _ = _listing_v1(t)
@@ -150,8 +162,7 @@ def listing_v1(t: Tables) -> DataFrame:
 
 @query(
     "listing_v1_rejects",
-    f"""select case when ord % 59 = 0 then 'name is null' when ord % 61 = 0 then 'fish_type without name' else 'price is text' end
-      as reject_reason, count(*) as rows from {{seat_listing}} where {_V1_BAD} group by 1""",
+    f"""select {_V1_REASON} as reject_reason, count(*) as rows from {{seat_listing}} where {_V1_REASON} is not null group by 1""",
 )
 def listing_v1_rejects(t: Tables) -> DataFrame:
     _, bad = _listing_v1(t)
@@ -180,11 +191,12 @@ from {{seat_listing}}
       strftime(fishing_date, '%Y-%m-%d') as sdate, depart_time as stime, fish_types as fish_type,
       cast(case when ord % 3 = 0 then 0 else remain_seats end as bigint) as remain,
       case when ord % 7 = 0 then 'ING' else status_code end as status,
-      case when ord % 4 in (0, 1) and price <> 0 then price end as price, schedule_no from {seat_listing}""",
+      case when ord % 4 in (0, 1) and price <> 0 then price end as price, schedule_no,
+      '' as etime, '' as method, '' as status_name, 'sunsang24' as source from {seat_listing}""",
 )
 def listing_v2(t: Tables) -> DataFrame:
     raw = t.spread(t.sql(LISTING_V2)).select("ord", "request_date", F.parse_json("value").alias("rec"))
-    return parse_listing_v2(raw).drop("request_date", "etime", "method", "status_name", "source")
+    return parse_listing_v2(raw).drop("request_date")
 
 
 # --- feed pages -------------------------------------------------------------------------
@@ -239,11 +251,12 @@ def page_assembly_total(t: Tables) -> DataFrame:
 # Calendar pages of up to 30 cells; some cells lack the number, the day or the link.
 CALENDAR = """
 select cast(bucket as string) as directory_id, 2026 as year, 3 as month,
-  concat('<table><tr>', array_join(transform(array_sort(collect_list(struct(ord, cell))), e -> e.cell), ''), '</tr></table>') as html
+  concat('<table><tr>', array_join(transform(array_sort(collect_list(struct(ord, cell))), e -> e.cell), ''),
+    if(bucket % 5 = 0, '<td><span class="day">27</span><span class="num">5', '</tr></table>')) as html
 from (select cast(ord div 30 as bigint) as bucket, ord, concat('<td class="c"><div class="dayline"><span class="day">',
     if(ord % 17 = 0, 'x', cast(1 + ord % 28 as string)), '</span>', if(ord % 7 = 0, '', concat('<b><span class="num a"> ',
     if(ord % 19 = 0, '마감', cast(remain_seats as string)), ' </span></b>')), '</div><ul class="schedule2"><li>',
-    replace(fish_types, ', ', '</li><li>'), '</li><li>a &amp; b<br></ul>', if(ord % 2 = 0 and fishing_date is not null,
+    replace(fish_types, ', ', '</li><li>'), if(ord % 31 = 0, repeat(' long', 40), ''), '</li><li>a &amp; b<br></ul>', if(ord % 2 = 0 and fishing_date is not null,
     concat('<a href="#" onclick="go(&#39;date=', date_format(fishing_date, 'yyyyMMdd'), '&#39;)">go</a>'), ''), '</td>') as cell
   from {seat_listing}) c
 group by bucket
@@ -257,9 +270,11 @@ group by bucket
       case when ord % 2 = 0 and fishing_date is not null then strftime(fishing_date, '%Y-%m-%d')
         else concat('2026-03-', lpad(cast(1 + ord % 28 as varchar), 2, '0')) end as sdate,
       cast(case when ord % 19 = 0 then 0 else remain_seats end as bigint) as remain,
-      concat(replace(fish_types, ', ', ' '), ' a & b') as fish_str,
+      concat(replace(fish_types, ', ', ' '), case when ord % 31 = 0 then repeat(' long', 40) else '' end, ' a & b') as fish_str,
       case when ord % 19 = 0 or remain_seats = 0 then 'FULL' else 'ING' end as status
-    from {seat_listing} where ord % 7 <> 0) x where ord % 17 <> 0""",
+    from {seat_listing} where ord % 7 <> 0) x where ord % 17 <> 0
+    union all select cast(ord // 30 as varchar), cast(count(*) filter (ord % 7 <> 0) as int), '2026-03-27', 5, '', 'ING'
+      from {seat_listing} where ord // 30 % 5 = 0 group by ord // 30""",
 )
 def calendar_extract(t: Tables) -> DataFrame:
     return extract_calendar(t.spread(t.sql(CALENDAR))).drop("year", "month")
@@ -298,7 +313,7 @@ def linked_ids(t: Tables) -> DataFrame:
         from (select cast(o_orderkey div 128 as bigint) as page_id, o_orderkey,
             concat('<a href="list.php?k=1&uid=', o_custkey % 100, '">b</a>') as link from {orders}) l group by page_id"""
     )
-    return directory_ids(pages)
+    return directory_ids(pages, 60)
 
 
 @query(
@@ -308,15 +323,14 @@ def linked_ids(t: Tables) -> DataFrame:
       regexp_extract(html, 'href=["'']/([^"'']+)["'']', 1) as first_link from {pages}""",
 )
 def link_directory(t: Tables) -> DataFrame:
-    pages = t.table("pages")
-    links = page_links(pages, r"""href=["']/([^"']+)["']""").groupBy("page_id")
-    found = links.agg(F.count("*").alias("links"), F.min_by("link", "pos").alias("first_link"))
-    joined = page_titles(pages).join(found, "page_id", "left")
-    return joined.select(
+    """Per page its title, its different links and the first one, in one projection."""
+    links = distinct_links("html", r"""href=["']/([^"']+)["']""")
+    found = t.table("pages").select("page_id", page_title("html").alias("title"), links.alias("found"))
+    return found.select(
         "page_id",
         F.coalesce("title", F.lit("")).alias("title"),
-        F.coalesce("links", F.lit(0)).alias("links"),
-        F.coalesce("first_link", F.lit("")).alias("first_link"),
+        F.coalesce(F.size("found"), F.lit(0)).cast("bigint").alias("links"),
+        F.coalesce(F.get("found", F.lit(0)), F.lit("")).alias("first_link"),
     )
 
 
@@ -325,40 +339,51 @@ def link_directory(t: Tables) -> DataFrame:
 
 @query(
     "daily_docs",
-    """select date, cast(unnest(generate_series(0, parts - 1)) as int) as part, parts, total, af_matched, total as ships from (
-      select strftime(fishing_date, '%Y-%m-%d') as date, cast(ceil(count(*) / 100000.0) as int) as parts, count(*) as total,
-        count(*) filter (price <> 0) as af_matched from {seat_listing} where fishing_date is not null group by 1) x""",
+    """select strftime(fishing_date, '%Y-%m-%d') as date, ord, ship_name, depart_time, cast(price as bigint) as price,
+      cast(remain_seats as bigint) as remain_seats, schedule_no from {seat_listing} where fishing_date is not null""",
 )
 def documents(t: Tables) -> DataFrame:
-    docs = daily_docs(
-        t.seat_listing, "now", "fishing_date", "price", order=["ord"], doc_rows=100_000
-    )
-    doc = F.parse_json("value")
-    return docs.select(
-        F.date_format("date", "yyyy-MM-dd").alias("date"),
-        "part",
-        "parts",
-        F.variant_get(doc, "$.total", "bigint").alias("total"),
-        F.variant_get(doc, "$.af_matched", "bigint").alias("af_matched"),
-        F.size(F.variant_get(doc, "$.ships", "array<variant>")).cast("bigint").alias("ships"),
-    )
+    ship = F.parse_json("value")
+    kinds = {"ord": "bigint", "ship_name": "string", "depart_time": "string", "price": "bigint", "remain_seats": "bigint", "schedule_no": "string"}
+    docs = daily_docs(t.seat_listing, "fishing_date")
+    fields = [F.variant_get(ship, f"$.{name}", kind).alias(name) for name, kind in kinds.items()]
+    return docs.select(F.date_format("date", "yyyy-MM-dd").alias("date"), *fields)
 
 
 @query(
     "daily_docs_round_trip",
     """select ord, ship_name, strftime(fishing_date, '%Y-%m-%d') as fishing_date, cast(remain_seats as bigint) as remain_seats
-      from {seat_listing} where fishing_date is not null""",
+      from {seat_listing} where fishing_date in (date '2026-01-25', date '2026-02-03')""",
 )
 def documents_round_trip(t: Tables) -> DataFrame:
-    """Documents of at most about 50 ships each, read back."""
-    docs = daily_docs(t.seat_listing, "now", "fishing_date", "price", doc_rows=50)
-    records = explode_landed(docs.select("value")).drop("pos")
+    """Documents written by date, two dates of them read back."""
+    root = scratch_dir(t.spark, "documents")
+    write_daily_docs(t.seat_listing, root, "fishing_date")
+    records = load_daily_docs(t.spark, root, ["2026-01-25", "2026-02-03"]).drop("date")
     with_ord = records.withColumn("ord", F.variant_get("rec", "$.ord", "bigint"))
     return normalize_aliases(with_ord, _run_ts()).select(
         "ord", "ship_name", "fishing_date", "remain_seats"
     )
 
 
+@query(
+    "payload_written",
+    """select ord - ord % 2 as seq, ship_name, strftime(fishing_date, '%Y-%m-%d') as fishing_date, cast(remain_seats as bigint) as remain_seats,
+      cast((select count(*) from {seat_listing}) as bigint) as row_count from {seat_listing}""",
+)
+def payload_written(t: Tables) -> DataFrame:
+    """A payload written twice to one place, the second time whole, read back with its header."""
+    root = scratch_dir(t.spark, "payload")
+    columns = [c if c in t.seat_listing.columns else "boat_id" for c in PAYLOAD_COLUMNS]
+    rows = t.seat_listing.withColumns({"boat_id": F.col("ord") - F.col("ord") % 2})
+    named = rows.select(*[F.col(c) if c in rows.columns else F.lit(None).cast("string").alias(c) for c in dict.fromkeys([*PAYLOAD_COLUMNS, "ord"])])
+    for part in (named.filter("ord % 3 = 0"), named):
+        write_payload(part, root, "now", PAYLOAD_COLUMNS, ["ord"])
+    header = t.spark.read.text(f"{root}/header").select(F.variant_get(F.parse_json("value"), "$.row_count", "bigint")).scalar()
+    back = payload_rows_of_lines(t.spark.read.text(f"{root}/rows"))
+    return back.select(F.col("boat_id").alias("seq"), "ship_name", "fishing_date", "remain_seats", header.alias("row_count"))
+
+
 @query("manifest_dates", "select distinct strftime(fishing_date, '%Y-%m-%d') as date from {seat_listing} where fishing_date is not null")
 def manifest_round_trip(t: Tables) -> DataFrame:
     manifest = build_manifest(t.seat_listing, "now", "fishing_date", "price")
@@ -391,11 +416,14 @@ def payload_read(t: Tables) -> DataFrame:
 
 # --- pipelines ----------------------------------------------------------------------------
 
+# Every page landed twice, the older snapshot with other seats and a total of 0; one page is of a date long past.
 SHIP_PAGES = """
-select fishing_date as request_date, page, concat('{"total":1000000000,"list":[',
-    array_join(transform(array_sort(collect_list(struct(ord, value))), e -> e.value), ','), ']}') as value
-from (select fishing_date, cast(1 + ord div 600 as int) as page, ord, value from {records} where fishing_date is not null) r
-group by fishing_date, page
+select run_ts, request_date, page, concat('{"total":', if(old, 0, 1000000000), ',"list":[',
+    array_join(transform(array_sort(collect_list(struct(ord, value))), e -> if(old, replace(e.value, 'remain_embarkation_num":', 'remain_embarkation_num":1'), e.value)), ','), ']}') as value
+from (select if(old, timestamp_ntz '2026-01-18 01:00:00', timestamp_ntz '2026-01-20 01:00:00') as run_ts, old,
+        if(ord div 600 = 1 and fishing_date = date '2026-02-07', date '2020-01-01', fishing_date) as request_date, cast(1 + ord div 600 as int) as page, ord, value
+      from {records} cross join (select explode(array(true, false)) as old) where fishing_date is not null) r
+group by run_ts, old, request_date, page
 """
 
 SHIP_RECORDS = f"""
@@ -412,84 +440,133 @@ def _dims(t: Tables) -> Dims:
         """select boat_id, cast(30 + boat_id % 10 as double) as lat, cast(120 + boat_id % 10 as double) as lng
         from {entity_map} where boat_id % 3 <> 0"""
     )
-    return Dims(t.entity_map, coords)
+    return Dims(t.entity_map, coords, scratch=scratch_dir(t.spark, "unified"))
 
 
 def _unified(t: Tables) -> DataFrame:
     pages = t.spread(t.sql(SHIP_PAGES, records=t.sql(SHIP_RECORDS)))
     dims = _dims(t)
-    directory = t.sql(DIRECTORY)
+    # Every boat's page landed before, under another name.
+    now, before = F.lit(RUN_TS).cast("timestamp_ntz"), F.lit(RUN_TS - dt.timedelta(days=9)).cast("timestamp_ntz")
+    boats = t.sql(DIRECTORY).withColumn("run_ts", now)
+    renamed = boats.withColumns({"html": F.replace("html", F.lit("<title>"), F.lit("<title>old ")), "run_ts": before})
     calendars = t.spread(t.sql(CALENDAR))
     spine = days_ahead(t.spark, AS_OF, 60)
-    calendar = calendar_listing(directory, calendars, dims, AS_OF)
-    return unified_ships(listing_ships(pages, dims), calendar, spine)
+    calendar = calendar_listing(boats.unionByName(renamed), calendars, dims, AS_OF)
+    return unified_ships(listing_ships(pages, dims, spine=spine), calendar, spine)
 
 
-_UNIFIED_SQL = (
+_UNIFIED = (
     "with "
     + RESOLVED.strip()
     + """,
-  listing as (select ord, ship_name, area_sub, sdate, stime, remain, schedule_no from (
-    select ord, ship_name, area_sub, strftime(fishing_date, '%Y-%m-%d') as sdate, depart_time as stime,
-      cast(remain_seats as bigint) as remain, schedule_no,
-      row_number() over (partition by ship_name, fishing_date, depart_time, schedule_no order by cast(1 + ord // 600 as int), ord) as rn
-    from {seat_listing} where fishing_date is not null) x where rn = 1),
+  listing as (select * from (
+    select *, row_number() over (partition by ship_name, fishing_date, depart_time, schedule_no order by cast(1 + ord // 600 as int), ord) as rn
+    from {seat_listing} where fishing_date >= date '2026-01-20' and fishing_date < date '2026-03-21'
+      and not (ord // 600 = 1 and fishing_date = date '2026-02-07')) x where rn = 1),
   cells as (select cast(ord // 30 as bigint) as uid, ord, cast(case when ord % 19 = 0 then 0 else remain_seats end as bigint) as remain,
+      concat(replace(fish_types, ', ', ' '), case when ord % 31 = 0 then repeat(' long', 40) else '' end, ' a & b') as fish,
       case when ord % 2 = 0 and fishing_date is not null then fishing_date else date '2026-03-01' + cast(ord % 28 as int) end as d
-    from {seat_listing} where ord % 7 <> 0 and ord % 17 <> 0),
+    from {seat_listing} where ord % 7 <> 0 and ord % 17 <> 0
+    union all select distinct cast(ord // 30 as bigint), 9000000000, 5, '', date '2026-03-27' from {seat_listing} where ord // 30 % 5 = 0),
   boats as (select c_custkey as uid, c_name as ship_name, case c_custkey % 3 when 0 then '여수' when 1 then '태안' else '' end as area_sub
     from {customer} where c_custkey % 4 <> 3),
-  calendar as (select ship_name, area_sub, d, remain, uid from (
-    select ship_name, area_sub, d, remain, b.uid, row_number() over (partition by b.uid, d order by ord) as rn
-    from cells c join boats b on c.uid = b.uid where d >= date '2026-01-20' and d < date '2026-03-21') y where rn = 1)
-select l.ship_name, l.area_sub, sdate, stime, remain, schedule_no, cast(boat_id as bigint) as ship_no,
-    case when boat_id % 3 <> 0 then cast(30 + boat_id % 10 as double) else cast(l.ord % 90 as double) end as lat, 'sunsang24' as source
+  calendar as (select * from (
+    select ship_name, area_sub, d, remain, fish, b.uid, row_number() over (partition by b.uid, d order by ord) as rn
+    from cells c join boats b on c.uid = b.uid where d >= date '2026-01-20' and d < date '2026-03-21') y where rn = 1),
+  unified as (
+select cast(boat_id as bigint) as ship_no, l.ord as feed_ship_no, null as directory_id, l.ship_name, l.area_main, l.area_sub,
+    case when boat_id % 3 <> 0 then cast(30 + boat_id % 10 as double) else cast(l.ord % 90 as double) end as lat,
+    case when boat_id % 3 <> 0 then cast(120 + boat_id % 10 as double) else cast(l.ord % 180 as double) end as lng,
+    strftime(fishing_date, '%Y-%m-%d') as sdate, depart_time as stime, '' as etime, '' as fish_type, '' as method,
+    cast(remain_seats as bigint) as remain, status_code as status, '' as status_name, nullif(cast(price as bigint), 0) as price, schedule_no,
+    'sunsang24' as source
   from listing l left join resolved r on l.ship_name = r.ship_name and l.area_sub = r.area_sub
 union all
-select ship_name, area_sub, strftime(d, '%Y-%m-%d'), '', remain, concat('tf_', uid, '_', strftime(d, '%Y-%m-%d')), null, null, 'thefishing'
-  from calendar"""
+select null, null, cast(uid as varchar), ship_name, case area_sub when '여수' then '전남' when '태안' then '충남' else '기타' end, area_sub, null, null,
+    strftime(d, '%Y-%m-%d'), '', '', fish, '', remain, case when remain > 0 then 'ING' else 'FULL' end,
+    case when remain > 0 then '예약가능' else '예약마감' end, null, concat('tf_', uid, '_', strftime(d, '%Y-%m-%d')), 'thefishing'
+  from calendar)
+"""
 )
 
 
-@query("unified_ships", _UNIFIED_SQL)
+@query("unified_ships", _UNIFIED + "select * from unified")
 def unified(t: Tables) -> DataFrame:
-    return _unified(t).select(
-        "ship_name",
-        "area_sub",
-        "sdate",
-        "stime",
-        "remain",
-        "schedule_no",
-        F.col("ship_no").cast("bigint").alias("ship_no"),
-        "lat",
-        "source",
-    )
+    return _unified(t).drop("bucket", "source_rank", "ord")
 
 
-@query("unified_payload")
+@query(
+    "unified_payload",
+    _UNIFIED
+    + """select '2026-01-20T01:00:00Z' as collected_at, ship_name, area_main as area_name, area_sub as port_name, sdate as fishing_date,
+      stime as depart_time, etime as return_time, fish_type as fish_types, method as fishing_methods, coalesce(cast(price as varchar), '') as price,
+      0 as total_seats, 0 as reserved_seats, remain as remain_seats, status as status_code, status_name, schedule_no, ship_no as boat_id, source, lat, lng
+    from unified""",
+)
 def unified_payload(t: Tables) -> DataFrame:
-    """The 20 payload columns of the unified table."""
-    return ships_to_payload(_unified(t), "2026-01-20T01:00:00Z")
+    """The 20 payload columns of the unified table, written as a payload and read back."""
+    root = scratch_dir(t.spark, "payload")
+    write_payload(ships_to_payload(_unified(t), "2026-01-20T01:00:00Z"), root, "now", PAYLOAD_COLUMNS)
+    return payload_rows_of_lines(t.spark.read.text(f"{root}/rows"))
+
+
+_INGEST = """landed as (
+  select cast(ord % 2 as int) as half, ord, ship_name, area_main as area_name, area_sub as port_name, fishing_date, depart_time,
+    case when ord % 3 = 2 then fish_types else replace(fish_types, ', ', ',') end as fish_types, cast(price as varchar) as price,
+    cast(case when ord % 3 = 2 then 0 else total_seats end as bigint) as total_seats, cast(remain_seats as bigint) as remain_seats,
+    status_code, schedule_no from {seat_listing})"""
 
 
 @query(
     "incremental_ingest",
-    """select distinct ship_name, fishing_date, depart_time, schedule_no from {seat_listing}""",
+    f"""with {_INGEST} select ship_name, area_name, port_name, fishing_date, depart_time, fish_types, price, total_seats, remain_seats, status_code, schedule_no
+      from (select *, row_number() over (partition by ship_name, fishing_date, depart_time, schedule_no order by half desc, ord desc) as rn from landed) x
+      where rn = 1""",
 )
 def incremental_ingest(t: Tables) -> DataFrame:
-    """Two landings of documents, ingested as streams, and a replay that must change nothing."""
+    """Two landings of documents, ingested as streams, and a replay that must change nothing.
+
+    A document holds all records of a key in one landing, so its last one wins.
+    """
+    root, _ = _ingested(t)
+    return read_seats(t.spark, f"{root}/seats").select(
+        "ship_name", "area_name", "port_name", "fishing_date", "depart_time", "fish_types", "price", "total_seats", "remain_seats",
+        "status_code", "schedule_no",
+    )
+
+
+@query(
+    "ingest_history",
+    """select half as batch, '성공' as status, cast(count(*) as bigint) as rows_in, cast(count(distinct (ship_name, fishing_date, depart_time, schedule_no)) as bigint) as row_count,
+      cast(2 as bigint) as rejected from (select ord % 2 as half, * from {seat_listing}) x group by half""",
+)
+def ingest_history(t: Tables) -> DataFrame:
+    """The history of two landings, each with a broken document and an odd record."""
+    root, state = _ingested(t)
+    runs = read_history(t.spark, f"{state}/history").filter("status <> 'staged'")
+    rejects = t.spark.read.parquet(f"{state}/rejects").groupBy("batch").agg(F.count("*").alias("rejected"))
+    return runs.join(rejects, runs["batch_id"].cast("int") == rejects["batch"]).select(
+        F.col("batch").cast("bigint").alias("batch"),
+        "status",
+        F.regexp_extract("note", "rows ([0-9]+)", 1).cast("bigint").alias("rows_in"),
+        "row_count",
+        "rejected",
+    )
+
+
+def _ingested(t: Tables) -> tuple[str, str]:
     root = scratch_dir(t.spark, "incremental")
     docs = t.sql(
-        """select half, concat('[', array_join(collect_list(value), ','), ']') as value
-        from (select cast(ord % 2 as int) as half, ord div 8192 as bucket, value from {aliased}) r group by half, bucket""",
-        aliased=t.sql(ALIASED),
+        """select half, concat('[', array_join(transform(array_sort(collect_list(struct(ord, value))), e -> e.value), ','), if(half = bucket, ',7]', ']')) as value
+        from (select cast(ord % 2 as int) as half, pmod(key, 16) as bucket, ord, value from {aliased}) r group by half, bucket""",
+        aliased=t.sql(ALIASED.replace("select ord,", f"select ord, crc32(concat_ws('|', ship_name, {_DATE}, depart_time, schedule_no)) as key,")),
     )
     for half in (0, 1):
         landing = docs.filter(F.col("half") == half).select("value")
-        landing.write.mode("append").option("maxRecordsPerFile", 1).text(f"{root}/landing")
+        broken = t.spark.range(1).select(F.lit('[{"name":').alias("value"))
+        files = landing.union(broken).write.mode("append").option("maxRecordsPerFile", 1)
+        files.text(f"{root}/landing")
         run_incremental(t.spark, f"{root}/landing", f"{root}/seats", f"{root}/state")
     run_incremental(t.spark, f"{root}/landing", f"{root}/seats", f"{root}/state")
-    return read_seats(t.spark, f"{root}/seats").select(
-        "ship_name", "fishing_date", "depart_time", "schedule_no"
-    )
-
+    return root, f"{root}/state"

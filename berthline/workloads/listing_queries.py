@@ -188,12 +188,17 @@ def entity_report(t: Tables) -> DataFrame:
 
 @query(
     "entity_index",
-    """select name, count(*) as entries, cast(min(ord) as bigint) as ord, cast(min_by(boat_id, ord) as bigint) as boat_id
-      from {entity_map} group by name""",
+    """select name, count(*) as entries, cast(min(ord) as bigint) as ord, cast(min_by(boat_id, ord) as bigint) as boat_id,
+      string_agg(concat(area, ':', boat_id), ',' order by ord) as boats from {entity_map} group by name""",
 )
 def index(t: Tables) -> DataFrame:
+    boats = F.transform("boats", lambda b: F.concat_ws(":", b["area"], b["boat_id"].cast("string")))
     return entity_index(t.entity_map).select(
-        "name", "entries", F.col("ord").cast("bigint"), F.col("boat_id").cast("bigint")
+        "name",
+        "entries",
+        F.col("ord").cast("bigint"),
+        F.col("boat_id").cast("bigint"),
+        F.array_join(boats, ",").alias("boats"),
     )
 
 
@@ -423,7 +428,7 @@ def fuzzy_search(t: Tables) -> DataFrame:
     "expand_terms",
     """with syn as (select n_nationkey as ord, n_name as term, concat(r_name, ',', n_name) as words from {nation} join {region} on n_regionkey = r_regionkey),
       terms as (select distinct case when o_orderkey % 3 = 0 then concat('x', n_name) when o_orderkey % 3 = 1 then n_name else p_type end as term
-        from {orders} join {customer} on o_custkey = c_custkey join {nation} on c_nationkey = n_nationkey join {part} on p_partkey = o_orderkey % 200),
+        from {orders} join {customer} on o_custkey = c_custkey join {nation} on c_nationkey = n_nationkey join {part} on p_partkey = o_orderkey % (select count(*) from {part})),
       hits as (select t.term, words, ord, case when t.term = s.term then 1 when contains(t.term, split_part(words, ',', 1)) or contains(t.term, split_part(words, ',', 2))
         or contains(split_part(words, ',', 1), t.term) or contains(split_part(words, ',', 2), t.term) then 2 end as stage from terms t, syn s)
     select t.term, coalesce(b.words, t.term) as expansion from terms t left join
@@ -433,7 +438,8 @@ def fuzzy_search(t: Tables) -> DataFrame:
 def expanded(t: Tables) -> DataFrame:
     terms = t.sql(
         """select distinct case when o_orderkey % 3 = 0 then concat('x', n_name) when o_orderkey % 3 = 1 then n_name else p_type end as term
-        from {orders} join {customer} on o_custkey = c_custkey join {nation} on c_nationkey = n_nationkey join {part} on p_partkey = o_orderkey % 200"""
+        from (select *, o_orderkey % (select count(*) from {part}) as o_partkey from {orders}) o
+          join {customer} on o_custkey = c_custkey join {nation} on c_nationkey = n_nationkey join {part} on p_partkey = o_partkey"""
     )
     synonyms = t.sql(
         """select n_nationkey as ord, n_name as term, array(r_name, n_name) as synonyms

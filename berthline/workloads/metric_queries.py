@@ -3,14 +3,22 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
+from berthline import fixed_values as fv
+from berthline.functions import dates as X
+from berthline.functions import text as S
 from berthline.operators import metrics as M
 from berthline.operators.dedup import duplicate_keys
 from berthline.operators.rollups import share_top_k, species_counts, value_counts
 from berthline.plans import report as R
-from berthline.sources.tables import read_ad_sheet
+from berthline.schemas import DAILY_METRICS
+from berthline.session import scratch_dir
+from berthline.sinks.documents import write_metrics
+from berthline.sinks.tables import full_refresh
+from berthline.sources.tables import read_ad_sheet, read_table
 from berthline.workloads.fixtures import Tables
 from berthline.workloads.registry import query
 
@@ -336,10 +344,79 @@ def ad_sheet(t: Tables) -> DataFrame:
     return read_ad_sheet(sheet, headers)
 
 
-@query("metrics_document")
+_KPI_FIELDS = "gmv_man gmv_wow_pct bookings bookings_wow_pct cvr_pct ships members total_ad_spend".split()
+_PARTS = {
+    "gmv_trend": ("label", ["gmv", "bookings", "cvr", "ships"]),
+    "booking_trend": ("label", ["bookings", "cvr"]),
+    "ship_trend": ("label", ["ships"]),
+    "cac_trend": ("label", ["cac", "aov", "naver_spend", "meta_spend", "google_spend"]),
+    "naver": ("label", ["impressions", "clicks", "conversions", "spend", "roas"]),
+    "channels": ("channel", ["spend", "pct"]),
+    "species": ("name", ["pct"]),
+    "regions": ("region", ["pct"]),
+}
+
+
+def _shares(name: str, counts: str) -> str:
+    return f"""{name}_counts as ({counts}),
+  {name}_ranked as (select name, n, row_number() over (order by n desc, name) as rn from {name}_counts),
+  {name}_parts as (select name, n, rn - 1 as pos from {name}_ranked where rn <= 5
+    union all select 'other', sum(n), 5 from {name}_ranked where rn > 5 having count(*) > 0),
+  {name} as (select pos, name as label,
+    cast((2000 * n + (select sum(n) from {name}_counts)) // (2 * (select sum(n) from {name}_counts)) as double) / 10 as pct from {name}_parts)"""
+
+
+def _long(section: str, table: str, label: str, fields: list[str]) -> str:
+    """Each field of a section's entries as a row."""
+    return "\nunion all ".join(
+        f"select '{section}' as section, cast(pos as bigint) as pos, {label} as label, '{f}' as field, cast({f} as double) as value from {table}"
+        for f in fields
+    )
+
+
+_DOCUMENT_SQL = sql(
+    """select 1""").removesuffix("select 1").rstrip() + ",\n" + ",\n  ".join(
+    [
+        """months24 as (select *, row_number() over (order by year_month) - 1 as pos from (select * from monthly_report order by year_month desc limit 24) x)""",
+        """trend as (select pos, year_month as ym, concat(substr(year_month, 6, 2), '월') as month_label, gmv_man as gmv, bookings, cvr, ships, cac, aov,
+      round(naver_spend, 0) as naver_spend, round(meta_spend, 0) as meta_spend, round(google_spend, 0) as google_spend from months24)""",
+        """ads as (select row_number() over (order by year_month) - 1 as pos, concat(substr(year_month, 6, 2), '월') as label, naver_impressions_monthly as impressions,
+      naver_clicks_monthly as clicks, naver_conversions_monthly as conversions, round(naver_spend_monthly, 0) as spend, coalesce(naver_roas_avg, 0) as roas
+      from (select * from report where naver_spend_monthly > 0 order by year_month desc limit 12) x)""",
+        """spent as (select unnest([0, 1, 2]) as pos, unnest(['Meta Ads', 'Google Ads', '네이버 쇼핑']) as label,
+      unnest([meta_spend, google_spend, naver_spend]) as spend, meta_spend + google_spend + naver_spend as total
+      from (select * from trend order by pos desc limit 1) l)""",
+        """channel_rows as (select pos, label, spend, cast((2000 * cast(spend as hugeint) + cast(total as hugeint)) // (2 * cast(total as hugeint)) as double) / 10 as pct
+      from spent where total > 0)""",
+        _shares(
+            "species",
+            "select trim(s) as name, cast(count(*) as hugeint) as n from (select unnest(string_split(fish_types, ',')) as s from {seat_listing}) x where trim(s) <> '' group by 1",
+        ),
+        _shares("regions", "select area_main as name, cast(count(*) as hugeint) as n from {seat_listing} group by 1"),
+        """head as (select 0 as pos, strftime(report_date, '%Y-%m-%d') as label, gmv_man, round(coalesce(gmv_wow_pct, 0), 1) as gmv_wow_pct, bookings,
+      round(coalesce(bookings_wow_pct, 0), 1) as bookings_wow_pct, round(cvr_pct, 2) as cvr_pct, ships, members, round(total_ad_spend, 0) as total_ad_spend from kpi)""",
+    ]
+) + "\n" + "\nunion all ".join(
+    [
+        _long("kpi", "head", "label", _KPI_FIELDS),
+        _long("gmv_trend", "trend", "month_label", _PARTS["gmv_trend"][1]),
+        _long("booking_trend", "trend", "month_label", _PARTS["booking_trend"][1]),
+        _long("ship_trend", "trend", "ym", _PARTS["ship_trend"][1]),
+        _long("cac_trend", "trend", "ym", _PARTS["cac_trend"][1]),
+        _long("naver", "ads", "label", _PARTS["naver"][1]),
+        _long("channels", "channel_rows", "label", _PARTS["channels"][1]),
+        _long("species", "species", "label", ["pct"]),
+        _long("regions", "regions", "label", ["pct"]),
+    ]
+)
+
+
+@query("metrics_document", _DOCUMENT_SQL)
 def metrics_document(t: Tables) -> DataFrame:
-    kpi, months, ad_months = R.choose_plan(t.daily_metrics, AS_OF, t.ad_daily)
-    return R.metrics_document(
+    """The document written as JSON and read back, one row for each figure in it."""
+    root = scratch_dir(t.spark, "metrics")
+    kpi, months, ad_months = R.choose_plan(t.daily_metrics, AS_OF, t.ad_daily, scratch=root)
+    document = R.metrics_document(
         kpi,
         months,
         ad_months,
@@ -349,3 +426,77 @@ def metrics_document(t: Tables) -> DataFrame:
         share_top_k(species_counts(t.seat_listing), 5),
         share_top_k(value_counts(t.seat_listing, "area_main"), 5),
     )
+    write_metrics(document, f"{root}/document")
+    text = t.spark.read.text(f"{root}/document")
+    doc = text.select(F.from_json("value", document.schema).alias("d")).select("d.*")
+    kpi_rows = doc.select(F.lit("kpi").alias("section"), F.lit(0).cast("bigint").alias("pos"), F.col("kpi").alias("e"))
+    rows = [_figures(kpi_rows, "report_date", _KPI_FIELDS)]
+    for section, (label, fields) in _PARTS.items():
+        entries = doc.select(F.lit(section).alias("section"), F.posexplode(section).alias("pos", "e"))
+        rows.append(_figures(entries, label, fields))
+    return reduce(DataFrame.unionByName, rows)
+
+
+def _figures(entries: DataFrame, label: str, fields: list[str]) -> DataFrame:
+    pairs = [F.struct(F.lit(f).alias("field"), F.col("e")[f].cast("double").alias("value")) for f in fields]
+    return entries.select("section", F.col("pos").cast("bigint").alias("pos"), F.col("e")[label].alias("label"), F.inline(F.array(*pairs)))
+
+
+@query(
+    "kpi_defaults",
+    """select n as days, case when n = 0 then 390.0 else null end as gmv_man, case when n = 0 then 765 else null end as ships, true as is_default
+      from (select count(*) as n from {daily_metrics} where date < date '1900-01-01') x""",
+)
+def kpi_defaults(t: Tables) -> DataFrame:
+    """The report of a time before all data: the given figures, marked as such."""
+    old = dt.date(1900, 1, 1)
+    kpi = M.report_kpi(M.kpi_latest(_days(t), old))
+    days = M.as_of_filter(_days(t), old).agg(F.count("*").alias("days"))
+    head = R.kpi_struct(kpi, old, fv.DEFAULT_KPI)
+    return head.crossJoin(days).select("days", "kpi.gmv_man", F.col("kpi.ships").cast("int").alias("ships"), "is_default")
+
+
+@query(
+    "plan_without_ads",
+    """select strftime(max(date), '%Y-%m-%d') as report_date, count(distinct strftime(date, '%Y-%m')) as months, 0 as ad_months from {daily_metrics}""",
+)
+def plan_without_ads(t: Tables) -> DataFrame:
+    """The report's plan where there is no ad table."""
+    kpi, months, ad_months = R.choose_plan(t.daily_metrics, AS_OF, None, n=1000)
+    counts = months.agg(F.count("*").alias("months")), ad_months.agg(F.count("*").cast("int").alias("ad_months"))
+    return kpi.select("report_date").crossJoin(counts[0]).crossJoin(counts[1])
+
+
+@query(
+    "refreshed_table",
+    """select date, cast(gmv as double) as gmv, bookings, sessions, ships, members, cast(coalesce(ad_spend_meta, 0) as double) as ad_spend_meta,
+      null as ad_roas from {daily_metrics} where date > date '1995-01-01'""",
+)
+def refreshed_table(t: Tables) -> DataFrame:
+    """A table replaced as a whole from itself, in date order, and read under its fixed schema."""
+    path = scratch_dir(t.spark, "daily")
+    kinds = {f.name: f.dataType for f in DAILY_METRICS if f.name in t.daily_metrics.columns}
+    typed = t.daily_metrics.select(*[F.col(c).cast(kind) for c, kind in kinds.items()])
+    full_refresh(typed, path, ["date"])
+    full_refresh(t.spark.read.parquet(path).filter("date > date '1995-01-01'"), path, ["date"])
+    table = read_table(t.spark, "daily_metrics", path)
+    spend = F.coalesce("ad_spend_meta", F.lit(0)).cast("double").alias("ad_spend_meta")
+    return table.select("date", F.col("gmv").cast("double"), "bookings", "sessions", "ships", "members", spend, "ad_roas")
+
+
+@query(
+    "display_columns",
+    """select ord, coalesce(strftime(fishing_date, '%Y-%m-%d') || ' (' || ['일', '월', '화', '수', '목', '금', '토'][1 + dayofweek(fishing_date)] || ')', '') as day,
+      case when ord % 3 = 0 then 'ING' else status_code end as status, case when ord % 3 = 0 then '예약가능' else 'x' end as status_name,
+      cast(timestamp '2026-01-20 00:00:00' + to_hours(cast(ord % 48 + 9 as int)) as date) as business_date from {seat_listing}""",
+)
+def display_columns(t: Tables) -> DataFrame:
+    empty = F.when(F.col("ord") % 3 == 0, F.lit(""))
+    at = F.timestamp_seconds(F.lit(1768867200) + (F.col("ord") % 48) * 3600)
+    return t.seat_listing.select(
+        "ord",
+        X.date_with_weekday("fishing_date").alias("day"),
+        S.display_status_code(empty.otherwise(F.col("status_code"))).alias("status"),
+        S.display_status_name(empty.otherwise(F.lit("x"))).alias("status_name"),
+        X.business_date_column(at).alias("business_date"),
+    )

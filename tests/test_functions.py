@@ -36,7 +36,6 @@ def test_dates(one):
     for text, want in [("2026/04/01", day), ("2026-04-01", day), ("20260401", None), ("x", None)]:
         assert one(X.sheet_date("x"), x=text) == (want,)
     assert one(X.sheet_date("x", compact=True), x="20260401") == (day,)
-    assert one(X.link_date("x"), x="go('date=20260401')") == (day,)
     assert one(X.date_with_weekday("x"), x="2026-04-01") == ("2026-04-01 (수)",)
     assert one(X.date_with_weekday("x"), x="soon") == ("soon",)
     assert one(X.date_with_weekday("x"), x=None) == ("",)

@@ -18,6 +18,7 @@ from berthline.sources.landed import (
 )
 from berthline.sources.listing import (
     calendar_ships,
+    fitted,
     parse_listing_v1,
     parse_listing_v2,
     split_rejects,
@@ -87,15 +88,28 @@ def test_listing_v1_values_and_rejects(recs):
         '{"name":null}',
         '{"name":"a","fish_type":[{"x":1}]}',
         '{"name":"a","price":"12"}',
+        '{"name":"a","fish_type":null}',
+        '{"name":"a","fish_type":"x"}',
+        '{"name":7}',
+        '{"name":"a","price":{}}',
     ]
     ok, bad = split_rejects(parse_listing_v1(recs(*texts), run_ts()))
     first, empty = ok.orderBy("n").collect()
-    assert len(first.ship_name) == 100 and first.fish_types == "x, y"
+    assert len(first.ship_name) == 101 and first.fish_types == "x, y"
     assert first.price == "12,000원" and first.fishing_date is None and first.depart_time == ""
     assert (first.total_seats, first.remain_seats, first.schedule_no) == (0, 4, "77")
     assert empty.ship_name == "" and empty.price == "전화문의"
     reasons = {r.n: r.reject_reason for r in bad.collect()}
-    assert reasons == {2: "name is null", 3: "fish_type without name", 4: "price is text"}
+    assert reasons == {
+        2: "name is null",
+        3: "fish_type without name",
+        4: "price is text",
+        5: "fish_type is null",
+        6: "fish_type is no list",
+        7: "name is no text",
+        8: "price is no number",
+    }
+    assert len(fitted(ok).orderBy("n").first().ship_name) == 100
     _, missing = split_rejects(ok, ["fishing_date"])
     assert missing.count() == 2
 
@@ -161,7 +175,7 @@ def test_calendar_rows(spark):
     )
     seats = extract_calendar(pages)
     got = {r.pos: (r.sdate, r.remain, len(r.fish_str), r.status) for r in seats.collect()}
-    assert got == {0: ("2026-04-01", 3, 0, "ING"), 2: ("2026-05-03", 0, 100, "FULL")}
+    assert got == {0: ("2026-04-01", 3, 0, "ING"), 2: ("2026-05-03", 0, 120, "FULL")}
     boats = spark.createDataFrame(
         [("7", "1", "boat", "태안")],
         "directory_id string, store_id string, ship_name string, area_sub string",
@@ -175,7 +189,7 @@ def test_calendar_rows(spark):
 def test_directory(spark):
     links = "".join(f"<a href='list.php?a=1&uid={i % 70}'>x</a>\n" for i in range(200))
     ids = directory_ids(spark.createDataFrame([(1, links)], "page_id int, html string"))
-    assert [r.directory_id for r in ids.orderBy("pos").collect()] == [str(i) for i in range(60)]
+    assert [r.directory_id for r in ids.orderBy("pos").collect()] == [str(i) for i in range(70)]
     pages = [("5", "st_uid=9&pa_uid=5 <title>x | y</title>"), ("6", "nothing")]
     rows = extract_directory(spark.createDataFrame(pages, "directory_id string, html string"))
     assert [tuple(r) for r in rows.collect()] == [("5", "9", "x", "")]
@@ -215,3 +229,14 @@ def test_files(spark, tmp_path):
     (tmp_path / "p.txt").write_text(json.dumps(payload), encoding="utf-8")
     row = read_payload(spark, str(tmp_path / "p.txt")).first()
     assert (row.ship_name, row.depart_time, row.boat_id, row.remain_seats) == ("s", "05:30", None, None)
+
+
+def test_calendar_text_at_the_end_of_a_cut_page():
+    assert page_cells("<td><span class='day'>3</span><span class='num'>5") == [("3", "5", "", "")]
+    deep = "<td>" + "<b>" * 20_000 + "<span class='day'>1</span><span class='num'>2</span>" + "</i>" * 20_000
+    assert page_cells(deep) == [("1", "2", "", "")]
+
+
+def test_decimal_prices(recs):
+    rows = parse_listing_v1(recs('{"price":12000.5}', '{"price":99999999999999999999}', '{"price":1.25e3}', '{"price":0.0}'), run_ts())
+    assert [r.price for r in rows.orderBy("n").collect()] == ["12,000.5원", "99,999,999,999,999,999,999원", "1,250원", "전화문의"]
