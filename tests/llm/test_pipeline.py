@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline as pipeline
-from tests.llm.test_decontam import brute as brute_contamination
-from tests.llm.test_simhash import brute as brute_groups
-from tests.llm.test_spans import secret
+from llm.test_decontam import brute as brute_contamination
+from llm.test_simhash import brute as brute_groups
+from llm.test_spans import secret
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 SYLLABLES = {"xx": "ba be bi bo tra".split(), "yy": "ku ke zu shi ö".split()}
