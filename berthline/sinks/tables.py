@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -65,7 +64,6 @@ def upsert(
     ord: str = "ord",
     guard_late: bool = True,
     staging: str | None = None,
-    on_staged: Callable[[], None] | None = None,
 ) -> None:
     """Upsert a batch into the parquet table partitioned by trip date.
 
@@ -73,8 +71,8 @@ def upsert(
     rewritten.  The new state of those dates is first written whole to a staging
     folder that executors share: a failure up to then leaves the table as it
     was.  The staged copy then replaces the partitions and is left in place, so
-    a run that stops half way can be finished by ``publish``; ``on_staged`` is
-    called in between to note that point.
+    a run that stops half way can be finished by ``publish``; ``is_staged``
+    tells whether it got so far.
     """
     spark = batch.sparkSession
     batch = batch.select(*SEAT_ROW.fieldNames(), *([ord] if ord not in SEAT_ROW.fieldNames() else []))
@@ -83,11 +81,14 @@ def upsert(
     after = merged(stored, batch, keys, ord, guard_late).select(*SEAT_ROW.fieldNames())
     staging = staging or scratch_dir(spark, "upsert")
     after.write.mode("overwrite").parquet(staging)
-    if on_staged:
-        on_staged()
     publish(spark, staging, path)
 
 
+def is_staged(spark: SparkSession, staging: str) -> bool:
+    """Whether the staged copy is whole: its writer's mark is there."""
+    return path_exists(spark, f"{staging}/_SUCCESS")
+
+
 def publish(spark: SparkSession, staging: str, path: str) -> None:
     """Replace the table's partitions by the staged rows.
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -97,11 +98,16 @@ def page_links(pages: DataFrame, pattern: str, limit: int | None = None) -> Data
 
 
 def newest_page(pages: DataFrame, keys: list[str], run_ts: str = "run_ts") -> DataFrame:
-    """The newest snapshot of each page, equal times by the greater text; as is without run times."""
+    """The newest snapshot of each page; as is without run times.
+
+    The newest run per page is found from the narrow columns and joined back, so texts are not
+    sorted; a page that one run landed twice stays twice.
+    """
     if run_ts not in pages.columns:
         return pages
-    text = "html" if "html" in pages.columns else "value"
-    return dedup_last(pages, keys, [run_ts, text])
+    newest = pages.groupBy(*keys).agg(F.max(run_ts).alias(run_ts))
+    same = [pages[c].eqNullSafe(newest[c]) for c in (*keys, run_ts)]
+    return pages.join(newest, reduce(lambda x, y: x & y, same), "left_semi")
 
 
 def extract_directory(pages: DataFrame) -> DataFrame:
@@ -109,12 +115,16 @@ def extract_directory(pages: DataFrame) -> DataFrame:
 
     Of a page that landed more than once the newest counts.
     """
-    facts = newest_page(pages, ["directory_id"]).select(
+    facts = pages.select(
         "directory_id",
         page_store_id("html", "directory_id").alias("store_id"),
         F.coalesce(page_title("html"), F.lit("")).alias("ship_name"),
         F.coalesce(page_area("html"), F.lit("")).alias("area_sub"),
+        *[c for c in ("run_ts",) if c in pages.columns],
     )
+    if "run_ts" in pages.columns:
+        order = ["run_ts", "store_id", "ship_name", "area_sub"]
+        facts = dedup_last(facts, ["directory_id"], order).drop("run_ts")
     return facts.filter(F.col("store_id").isNotNull())
 
 

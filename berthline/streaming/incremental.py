@@ -10,10 +10,9 @@ from berthline import fixed_values as fv
 from berthline.functions.dates import iso_date
 from berthline.operators.dedup import dedup_last
 from berthline.schemas import NATURAL_KEY, SEAT_COLUMNS
-from berthline.sinks.tables import append_history, publish, read_history, upsert
+from berthline.sinks.tables import append_history, is_staged, publish, read_history, upsert
 from berthline.sources.landed import broken_docs, explode_landed, normalize_aliases, odd_records
 
-STAGED = "staged"
 NO_JSON, NO_OBJECT = "no JSON", "record is no object"
 
 
@@ -56,24 +55,19 @@ def ingest_batch(
         return
     staging = f"{staging_root}/batch-{batch_id}"
     now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)
-    if STAGED in done:
+    if is_staged(spark, f"{staging}/state"):
         publish(spark, f"{staging}/state", target)
         append_history(spark, history, now, batch_id, 0, note="published from staging")
         return
     try:
         rows, counts = _stage_rows(docs, f"{staging}/rows")
-        upsert(
-            target,
-            rows,
-            staging=f"{staging}/state",
-            on_staged=lambda: append_history(spark, history, now, batch_id, 0, STAGED),
-        )
         note = f"rows {counts[0]}, after dedup {counts[1]}"
         if rejects:
             refused = Observation()
             out = rejected_rows(docs).observe(refused, F.count(F.lit(1)).alias("n"))
             out.write.mode("overwrite").parquet(f"{rejects}/batch={batch_id}")
             note += f", rejected {refused.get['n']}"
+        upsert(target, rows, staging=f"{staging}/state")
         append_history(spark, history, now, batch_id, counts[1], note=note)
     except Exception as error:
         append_history(spark, history, now, batch_id, 0, fv.RUN_FAILED, str(error))

@@ -544,7 +544,7 @@ def incremental_ingest(t: Tables) -> DataFrame:
 def ingest_history(t: Tables) -> DataFrame:
     """The history of two landings, each with a broken document and an odd record."""
     root, state = _ingested(t)
-    runs = read_history(t.spark, f"{state}/history").filter("status <> 'staged'")
+    runs = read_history(t.spark, f"{state}/history")
     rejects = t.spark.read.parquet(f"{state}/rejects").groupBy("batch").agg(F.count("*").alias("rejected"))
     return runs.join(rejects, runs["batch_id"].cast("int") == rejects["batch"]).select(
         F.col("batch").cast("bigint").alias("batch"),

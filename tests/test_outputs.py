@@ -292,7 +292,6 @@ def test_replayed_and_half_done_batches(spark, tmp_path):
     # a batch that stopped after staging is published from there
     staged = explode_landed(docs)
     assert staged.count() == 1
-    T.append_history(spark, history, TS, "1", 0, X.STAGED)
     seat(spark, (1, "z", DAY, 0, 8)).drop("ord").write.parquet(f"{staging}/batch-1/state")
     X.ingest_batch(docs.filter("false"), 1, target, history, staging)
     assert state(T.read_seats(spark, target)) == {("z", DAY): 8}
