@@ -147,6 +147,20 @@ def resolve_entities(
     return df.join(resolved, ["ship_name", "area_sub"], "left")
 
 
+def matched_per_date(df: DataFrame, entities: DataFrame, date: str = "fishing_date", strict: bool = True) -> DataFrame:
+    """(date, total, af_matched): listings per date and those with a boat, without joining the listings.
+
+    Listings are counted per date and pair first; the counts meet the resolved pairs.
+    """
+    counts = df.filter(F.col(date).isNotNull()).groupBy(F.col(date).alias("date"), "ship_name", "area_sub")
+    counts = counts.agg(F.count("*").alias("n"))
+    pairs = counts.select("ship_name", "area_sub").distinct()
+    found = resolve_pairs(pairs, entities, strict).select("ship_name", "area_sub", "boat_id")
+    joined = counts.join(found, ["ship_name", "area_sub"], "left")
+    matched = F.sum(F.when(F.coalesce("boat_id", F.lit(0)) != 0, F.col("n")).otherwise(0))
+    return joined.groupBy("date").agg(F.sum("n").alias("total"), matched.alias("af_matched"))
+
+
 def resolve_exact(df: DataFrame, entities: DataFrame) -> DataFrame:
     """Stage 1 alone: listings whose name and area are both in the map."""
     keyed = entities.groupBy(F.col("name").alias("ship_name"), F.col("area").alias("area_sub")).agg(

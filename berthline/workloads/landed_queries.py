@@ -13,7 +13,7 @@ from berthline.plans.availability import (
     listing_ships,
     unified_ships,
 )
-from berthline.session import scratch_dir
+from berthline.session import scratch_dir, stored
 from berthline.functions.text import page_title
 from berthline.schemas import PAYLOAD_COLUMNS
 from berthline.sinks.documents import (
@@ -222,7 +222,8 @@ join cuts c on p.request_date = c.request_date where c.last_page is null or p.pa
 
 
 def _assembled(t: Tables, rule: str) -> DataFrame:
-    rows = assemble_pages(parse_pages(t.sql(PAGES)), rule)
+    landed = stored(parse_pages(t.sql(PAGES)), scratch_dir(t.spark, "pages"))
+    rows = assemble_pages(landed, rule)
     return rows.select("request_date", "page", "pos", F.variant_get("rec", "$.ord", "bigint").alias("ord"))
 
 

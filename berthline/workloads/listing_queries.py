@@ -310,7 +310,7 @@ def summary_cards(t: Tables) -> DataFrame:
     ),
 )
 def daily_doc_counts(t: Tables) -> DataFrame:
-    return C.daily_doc_counts(E.resolve_entities(t.seat_listing, t.entity_map))
+    return E.matched_per_date(t.seat_listing, t.entity_map)
 
 
 @query(

@@ -24,3 +24,30 @@ def test_flagship(spark):
 @pytest.mark.parametrize("name", ["entity_staged", "unified_ships", "metrics_document"])
 def test_smoke(spark, name):
     assert entry.queries()[name](spark, SMOKE).count() > 0
+
+
+@needs_data
+def test_reports_read_their_tables_once(spark):
+    """The stored days and months are what the parts of the document start from."""
+    from berthline.plans import report
+    from berthline.session import scratch_dir
+    from berthline.workloads.fixtures import Tables
+    from berthline.workloads.metric_queries import AS_OF
+
+    t = Tables(spark, SMOKE)
+    kpi, months, ads = report.choose_plan(t.daily_metrics, AS_OF, t.ad_daily, scratch=scratch_dir(spark, "plan"))
+    doc = report.metrics_document(kpi, months, ads, report.channel_share(months), AS_OF, "x")
+    plan = doc._jdf.queryExecution().optimizedPlan().toString()
+    assert "lineitem" not in plan and "orders" not in plan
+    assert len(kpi.inputFiles()) and all("/days/" in f for f in kpi.inputFiles())
+
+
+@needs_data
+def test_shares_read_their_counts_once(spark):
+    from conftest import plan_of
+
+    from berthline.operators.rollups import share_top_k, value_counts
+    from berthline.workloads.fixtures import Tables
+
+    table = Tables(spark, SMOKE).table("pages")
+    assert plan_of(share_top_k(value_counts(table, "url"), 3)).split("Initial Plan")[-1].count("FileScan") == 1
