@@ -44,7 +44,8 @@ class Coder:
         unit = sample / np.linalg.norm(sample, axis=1, keepdims=True)
         dims = sample.shape[1]
         self.mean = unit.mean(axis=0)
-        _, _, axes = np.linalg.svd(unit - self.mean, full_matrices=True)
+        # Principal axes from the covariance: dims x dims, whatever the size of the sample.
+        axes = np.linalg.eigh((unit - self.mean).T @ (unit - self.mean))[1][:, ::-1].T
         rng = np.random.default_rng(SEED)
         turns = []
         # As many rotations as it takes to have BITS signs from `dims` axes.
