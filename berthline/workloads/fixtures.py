@@ -34,7 +34,7 @@ group by cast(l_shipdate as date)
 
 SEAT_LISTING = """
 select o_orderkey as ord,
-  case when o_orderkey % 97 = 0 then '' when o_orderkey % 10 = 3 then 'hot ship'
+  case when o_orderkey % 97 = 0 then '' when o_orderkey % 10 = 3 then '만선호' when o_orderkey % 47 = 5 then concat('레드호 ', cast(o_orderkey % 5 as varchar(9)))
     when p_partkey % 4 = 0 then p_name else concat(p_name, ' ', cast(p_partkey as varchar(9))) end as ship_name,
   r_name as area_main, case when o_orderkey % 89 = 0 then '' else n_name end as area_sub,
   case when o_orderkey % 41 = 0 then null when o_orderkey % 10 = 3 then date '2026-01-25' else date '2026-01-01' + cast(o_custkey % 60 as int) end as fishing_date,

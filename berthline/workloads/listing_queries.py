@@ -244,12 +244,14 @@ def area_lookup(t: Tables) -> DataFrame:
 
 @query(
     "date_spine",
-    """select cast(unnest(generate_series((select min(fishing_date) from {seat_listing}),
-      (select max(fishing_date) from {seat_listing}), interval 1 day)) as date) as date""",
+    """select date, count(ord) as rows from (select cast(unnest(generate_series(date '2026-01-01', date '2026-04-30', interval 1 day)) as date) as date) s
+      left join {seat_listing} on fishing_date = date group by date""",
 )
 def date_spine(t: Tables) -> DataFrame:
-    ends = t.seat_listing.agg(F.min("fishing_date").alias("a"), F.max("fishing_date").alias("b"))
-    return ends.select(F.explode(F.sequence("a", "b", F.expr("interval 1 day"))).alias("date"))
+    """Rows of every day of a spine, 0 for days without any."""
+    counts = t.seat_listing.groupBy(F.col("fishing_date").alias("date")).agg(F.count("*").alias("rows"))
+    spine = C.date_spine(t.spark, START, dt.date(2026, 4, 30))
+    return spine.join(counts, "date", "left").select("date", F.coalesce("rows", F.lit(0)).alias("rows"))
 
 
 @query(

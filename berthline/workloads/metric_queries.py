@@ -444,7 +444,7 @@ def _figures(entries: DataFrame, label: str, fields: list[str]) -> DataFrame:
 
 @query(
     "kpi_defaults",
-    """select n as days, case when n = 0 then 390.0 else null end as gmv_man, case when n = 0 then 765 else null end as ships, true as is_default
+    """select n as days, case when n = 0 then cast(390 as double) end as gmv_man, case when n = 0 then 765 end as ships, true as is_default
       from (select count(*) as n from {daily_metrics} where date < date '1900-01-01') x""",
 )
 def kpi_defaults(t: Tables) -> DataFrame:
