@@ -69,12 +69,6 @@ def explode_landed(docs: DataFrame, value: str = "value") -> DataFrame:
     return rows.filter(_is_object(F.col("rec")))
 
 
-def odd_records(docs: DataFrame, value: str = "value") -> DataFrame:
-    """The records that ``explode_landed`` leaves out: those that are no object."""
-    rows = _every_record(docs, value)
-    return rows.filter(~F.coalesce(_is_object(F.col("rec")), F.lit(False)))
-
-
 def _every_record(docs: DataFrame, value: str) -> DataFrame:
     keep = [c for c in docs.columns if c != value]
     parsed = docs.withColumn("__doc", F.try_parse_json(value))
@@ -82,6 +76,28 @@ def _every_record(docs: DataFrame, value: str) -> DataFrame:
     return parsed.select(*keep, F.posexplode(records).alias("pos", "rec"))
 
 
+NO_JSON, NO_OBJECT = "no JSON", "record is no object"
+
+
+def judged_records(docs: DataFrame, value: str = "value") -> DataFrame:
+    """Every record once, parsed once: the other columns, ``pos``, ``rec``, ``reason`` and ``raw``.
+
+    Good records have no reason.  A document that is no JSON is one row without position, a record that is no
+    object keeps its place; both have their reason and their text in ``raw``.
+    """
+    keep = [c for c in docs.columns if c != value]
+    parsed = docs.withColumn("__doc", F.try_parse_json(value))
+    broken = F.col("__doc").isNull()
+    entries = F.when(~broken, records_of(F.col(value), F.col("__doc")))
+    text = F.when(broken, F.col(value)).alias("__text")
+    rows = parsed.select(*keep, broken.alias("__broken"), text, F.posexplode_outer(entries).alias("pos", "rec"))
+    rows = rows.filter(F.col("__broken") | F.col("pos").isNotNull())
+    good = F.coalesce(_is_object(F.col("rec")), F.lit(False))
+    reason = F.when(F.col("__broken"), F.lit(NO_JSON)).when(~good, F.lit(NO_OBJECT))
+    raw = F.when(F.col("__broken"), F.col("__text")).when(~good, F.to_json("rec"))
+    return rows.select(*keep, "pos", F.when(good, F.col("rec")).alias("rec"), reason.alias("reason"), raw.alias("raw"))
+
+
 def broken_docs(docs: DataFrame, value: str = "value") -> DataFrame:
     """Documents that are no JSON."""
     return docs.filter(F.try_parse_json(value).isNull())

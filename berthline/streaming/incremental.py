@@ -8,28 +8,15 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 
 from berthline import fixed_values as fv
 from berthline.functions.dates import iso_date
-from berthline.operators.dedup import dedup_last
 from berthline.schemas import NATURAL_KEY, SEAT_COLUMNS
 from berthline.sinks.tables import append_history, is_staged, publish, read_history, upsert
-from berthline.sources.landed import broken_docs, explode_landed, normalize_aliases, odd_records
-
-NO_JSON, NO_OBJECT = "no JSON", "record is no object"
-
-
-def rejected_rows(docs: DataFrame) -> DataFrame:
-    """(file, pos, reason, value): documents that are no JSON, and records that are no object."""
-    broken = broken_docs(docs).select("file", F.lit(None).cast("int").alias("pos"), F.lit(NO_JSON).alias("reason"), "value")
-    odd = odd_records(docs.select("file", "value")).select(
-        "file", "pos", F.lit(NO_OBJECT).alias("reason"), F.to_json("rec").alias("value")
-    )
-    return broken.unionByName(odd)
-
+from berthline.sources.landed import judged_records, normalize_aliases
 
 def seat_rows(docs: DataFrame, run_ts: Column) -> DataFrame:
-    """Landed documents (file, landed_at, value) to snapshot rows with an order."""
-    rows = normalize_aliases(explode_landed(docs), run_ts)
+    """Landed documents (file, landed_at, value) to snapshot rows with an order, and rejects with ``reason`` and ``raw``."""
+    rows = normalize_aliases(judged_records(docs), run_ts)
     typed = rows.withColumn("fishing_date", iso_date("fishing_date"))
-    return typed.select(*SEAT_COLUMNS, F.struct("file", "pos").alias("ord"))
+    return typed.select(*SEAT_COLUMNS, F.struct("file", "pos").alias("ord"), "reason", "raw")
 
 
 def _pending(history: DataFrame, batch_id: str) -> set[str]:
@@ -61,28 +48,27 @@ def ingest_batch(
         return
     try:
         rows, counts = _stage_rows(docs, f"{staging}/rows")
-        note = f"rows {counts[0]}, after dedup {counts[1]}"
+        good = rows.filter("reason is null").drop("reason", "raw")
+        keys = good.select(*NATURAL_KEY).distinct().count()
+        note = f"rows {counts['good']}, after dedup {keys}"
         if rejects:
-            refused = Observation()
-            out = rejected_rows(docs).observe(refused, F.count(F.lit(1)).alias("n"))
-            out.write.mode("overwrite").parquet(f"{rejects}/batch={batch_id}")
-            note += f", rejected {refused.get['n']}"
-        upsert(target, rows, staging=f"{staging}/state")
-        append_history(spark, history, now, batch_id, counts[1], note=note)
+            refused = rows.filter("reason is not null").select("ord.file", "ord.pos", "reason", "raw")
+            refused.write.mode("overwrite").parquet(f"{rejects}/batch={batch_id}")
+            note += f", rejected {counts['bad']}"
+        upsert(target, good, staging=f"{staging}/state")
+        append_history(spark, history, now, batch_id, keys, note=note)
     except Exception as error:
         append_history(spark, history, now, batch_id, 0, fv.RUN_FAILED, str(error))
         raise
 
 
-def _stage_rows(docs: DataFrame, path: str) -> tuple[DataFrame, tuple[int, int]]:
-    """Parse a batch once, keep its last row per key, and write it; row counts before and after."""
-    before, after = Observation(), Observation()
-    run_ts = F.col("landed_at").cast("timestamp_ntz")
-    rows = seat_rows(docs, run_ts).observe(before, F.count(F.lit(1)).alias("n"))
-    last = dedup_last(rows, NATURAL_KEY, ["collected_at", "ord"])
-    last.observe(after, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
-    staged = docs.sparkSession.read.schema(last.schema).parquet(path)
-    return staged, (before.get["n"], after.get["n"])
+def _stage_rows(docs: DataFrame, path: str) -> tuple[DataFrame, dict[str, int]]:
+    """Parse a batch once and write all of it, good rows and rejects; their counts."""
+    counted = Observation()
+    rows = seat_rows(docs, F.col("landed_at").cast("timestamp_ntz"))
+    good, bad = F.count_if(F.col("reason").isNull()), F.count_if(F.col("reason").isNotNull())
+    rows.observe(counted, good.alias("good"), bad.alias("bad")).write.mode("overwrite").parquet(path)
+    return docs.sparkSession.read.schema(rows.schema).parquet(path), counted.get
 
 
 def landing_stream(spark: SparkSession, landing: str, max_files: int = 10_000) -> DataFrame:

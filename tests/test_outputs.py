@@ -13,7 +13,7 @@ from berthline.plans import report as R
 from berthline.schemas import SEAT_COLUMNS, SEAT_ROW
 from berthline.sinks import documents as S
 from berthline.sinks import tables as T
-from berthline.sources.landed import explode_landed, load_daily_docs, payload_lines, read_payload
+from berthline.sources.landed import NO_JSON, explode_landed, load_daily_docs, payload_lines, read_payload
 from berthline.streaming import incremental as X
 
 DAY = dt.date(2026, 4, 1)
@@ -277,7 +277,7 @@ def test_incremental(spark, tmp_path):
         "rows 3, after dedup 2, rejected 0",
     ]
     rejects = spark.read.parquet(f"{state_dir}/rejects")
-    assert [(r.reason, r.value) for r in rejects.collect()] == [(X.NO_JSON, '[{"name":')]
+    assert [(r.reason, r.raw) for r in rejects.collect()] == [(NO_JSON, '[{"name":')]
 
 
 def test_replayed_and_half_done_batches(spark, tmp_path):
