@@ -90,7 +90,9 @@ def judged_records(docs: DataFrame, value: str = "value") -> DataFrame:
     broken = F.col("__doc").isNull()
     entries = F.when(~broken, records_of(F.col(value), F.col("__doc")))
     text = F.when(broken, F.col(value)).alias("__text")
-    rows = parsed.select(*keep, broken.alias("__broken"), text, F.posexplode_outer(entries).alias("pos", "rec"))
+    # What is needed of the document is taken before it is exploded: no record drags its document along.
+    flat = parsed.select(*keep, broken.alias("__broken"), text, entries.alias("__entries"))
+    rows = flat.select(*keep, "__broken", "__text", F.posexplode_outer("__entries").alias("pos", "rec"))
     rows = rows.filter(F.col("__broken") | F.col("pos").isNotNull())
     good = F.coalesce(_is_object(F.col("rec")), F.lit(False))
     reason = F.when(F.col("__broken"), F.lit(NO_JSON)).when(~good, F.lit(NO_OBJECT))

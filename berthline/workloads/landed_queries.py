@@ -445,8 +445,9 @@ def _dims(t: Tables) -> Dims:
 
 
 def _unified(t: Tables) -> DataFrame:
-    pages = t.spread(t.sql(SHIP_PAGES, records=t.sql(SHIP_RECORDS)))
     dims = _dims(t)
+    # The pages land as a table; the pipeline starts from there.
+    pages = stored(t.spread(t.sql(SHIP_PAGES, records=t.sql(SHIP_RECORDS))), dims.path("landed"))
     # Every boat's page landed before, under another name.
     now, before = F.lit(RUN_TS).cast("timestamp_ntz"), F.lit(RUN_TS - dt.timedelta(days=9)).cast("timestamp_ntz")
     boats = t.sql(DIRECTORY).withColumn("run_ts", now)
