@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from berthline import fixed_values as fv
-from berthline.dims import area_table, entity_index
+from berthline.dims import area_table
 from berthline.functions.text import _col
 from berthline.session import stored
 
@@ -46,58 +46,73 @@ def _with_empty(parts: Column, strict: bool) -> Column:
     return parts if strict else F.array_append(parts, F.lit(""))
 
 
-def _candidates(pairs: DataFrame, entities: DataFrame, strict: bool) -> DataFrame:
-    """(kind, k1, k2) -> best (stage, ord, boat_id): one row per probe key.
+def _staged_key(kind: str, k1: Column, k2: Column, stage: int) -> Column:
+    return F.struct(
+        F.lit(kind).alias("kind"), k1.alias("k1"), k2.alias("k2"), F.lit(stage).alias("stage")
+    )
+
+
+def _best(keys: DataFrame) -> DataFrame:
+    best = F.min(F.struct("stage", "ord", "boat_id"))
+    return keys.groupBy("kind", "k1", "k2").agg(best.alias("hit"))
+
+
+def _area_candidates(pairs: DataFrame, entities: DataFrame, strict: bool) -> DataFrame:
+    """(kind, k1, k2) -> best (stage, ord, boat_id) of name and area: one row per probe key.
 
     Parts of the map's texts count only in the lengths that the pairs' texts have.
     """
-    name, area, none = F.col("name"), F.col("area"), F.lit("")
-
-    def key(kind: str, k1: Column, k2: Column, stage: int) -> Column:
-        return F.struct(
-            F.lit(kind).alias("kind"), k1.alias("k1"), k2.alias("k2"), F.lit(stage).alias("stage")
-        )
-
-    area_parts = _with_empty(substrings(area, "lengths.area_sub"), strict)
-    name_parts = _with_empty(substrings(name, "lengths.ship_name"), strict)
-    by_area = F.concat(
-        F.array(key("x", name, area, EXACT), key(_AREA_IN, name, area, AREA_PART)),
-        F.transform(area_parts, lambda part: key(_AREA_OF, name, part, AREA_PART)),
+    name, area = F.col("name"), F.col("area")
+    parts = _with_empty(substrings(area, "lengths.area_sub"), strict)
+    keys = F.concat(
+        F.array(_staged_key("x", name, area, EXACT), _staged_key(_AREA_IN, name, area, AREA_PART)),
+        F.transform(parts, lambda part: _staged_key(_AREA_OF, name, part, AREA_PART)),
     )
-    by_name = F.concat(
-        F.array(key("u", name, none, UNIQUE_NAME), key(_NAME_IN, name, none, NAME_PART)),
-        F.transform(name_parts, lambda part: key(_NAME_OF, part, none, NAME_PART)),
+    sized = entities.withColumn("lengths", _lengths(pairs, "area_sub"))
+    return _best(sized.select("ord", "boat_id", F.inline(keys)))
+
+
+def _name_candidates(pairs: DataFrame, entities: DataFrame, strict: bool) -> DataFrame:
+    """The same of names alone: those that the map lists once."""
+    name, none = F.col("name"), F.lit("")
+    single = entities.groupBy("name").agg(
+        F.count("*").alias("entries"), F.min("ord").alias("ord"), F.min("boat_id").alias("boat_id")
     )
-    single = entity_index(entities).filter("entries = 1").select("name", F.lit(True).alias("single"))
-    sized = entities.withColumn("lengths", _lengths(pairs, "ship_name", "area_sub"))
-    keys = sized.join(single, "name", "left").select(
-        "ord",
-        "boat_id",
-        F.inline(F.when(F.col("single"), F.concat(by_area, by_name)).otherwise(by_area)),
+    parts = _with_empty(substrings(name, "lengths.ship_name"), strict)
+    keys = F.concat(
+        F.array(_staged_key("u", name, none, UNIQUE_NAME), _staged_key(_NAME_IN, name, none, NAME_PART)),
+        F.transform(parts, lambda part: _staged_key(_NAME_OF, part, none, NAME_PART)),
     )
-    best = F.min(F.struct("stage", "ord", "boat_id"))
-    return keys.groupBy("kind", "k1", "k2").agg(best.alias("hit"))
+    sized = single.filter("entries = 1").withColumn("lengths", _lengths(pairs, "ship_name"))
+    return _best(sized.select("ord", "boat_id", F.inline(keys)))
 
 
-def _probes(pairs: DataFrame, entities: DataFrame, strict: bool) -> DataFrame:
-    """Every key under which a (name, area) pair may be found."""
-    name, area, none = F.col("ship_name"), F.col("area_sub"), F.lit("")
-    sized = pairs.withColumn("lengths", _lengths(entities, "name", "area"))
+def _key(kind: str, k1: Column, k2: Column) -> Column:
+    return F.struct(F.lit(kind).alias("kind"), k1.alias("k1"), k2.alias("k2"))
 
-    def key(kind: str, k1: Column, k2: Column) -> Column:
-        return F.struct(F.lit(kind).alias("kind"), k1.alias("k1"), k2.alias("k2"))
 
-    in_area = _with_empty(substrings(area, "lengths.area"), strict)
-    in_name = _with_empty(substrings(name, "lengths.name"), strict)
+def _name_probes(pairs: DataFrame, entities: DataFrame, strict: bool) -> DataFrame:
+    """Every key under which a name alone may be found; a name has them once, whatever its areas."""
+    name, none = F.col("ship_name"), F.lit("")
+    sized = pairs.select("ship_name").distinct().withColumn("lengths", _lengths(entities, "name"))
+    parts = _with_empty(substrings(name, "lengths.name"), strict)
     keys = F.concat(
-        F.array(
-            key("x", name, area),
-            key(_AREA_OF, name, area),
-            key("u", name, none),
-            key(_NAME_OF, name, none),
-        ),
-        F.transform(in_area, lambda part: key(_AREA_IN, name, part)),
-        F.transform(in_name, lambda part: key(_NAME_IN, part, none)),
+        F.array(_key("u", name, none), _key(_NAME_OF, name, none)),
+        F.transform(parts, lambda part: _key(_NAME_IN, part, none)),
+    )
+    return sized.select("ship_name", F.inline(keys))
+
+
+def _area_probes(pairs: DataFrame, entities: DataFrame, strict: bool) -> DataFrame:
+    """Every key under which a (name, area) pair may be found: only names that the map has."""
+    name, area = F.col("ship_name"), F.col("area_sub")
+    known = entities.select(F.col("name").alias("ship_name")).distinct()
+    named = pairs.join(known, "ship_name", "left_semi")
+    sized = named.withColumn("lengths", _lengths(entities, "area"))
+    parts = _with_empty(substrings(area, "lengths.area"), strict)
+    keys = F.concat(
+        F.array(_key("x", name, area), _key(_AREA_OF, name, area)),
+        F.transform(parts, lambda part: _key(_AREA_IN, name, part)),
     )
     return sized.select("ship_name", "area_sub", F.inline(keys))
 
@@ -110,10 +125,15 @@ def resolve_pairs(pairs: DataFrame, entities: DataFrame, strict: bool = True) ->
     stage the map's order decides.  ``strict=False`` also lets an empty area or
     name count as part of everything.
     """
-    hits = _probes(pairs, entities, strict).join(
-        _candidates(pairs, entities, strict), ["kind", "k1", "k2"], "inner"
-    )
-    best = hits.groupBy("ship_name", "area_sub").agg(F.min("hit").alias("hit"))
+    # A map's row becomes many keys: its rows are dealt out before that.
+    parts = int(entities.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    entities, on = entities.repartition(parts, "name"), ["kind", "k1", "k2"]
+    least = F.min("hit").alias("hit")
+    by_name = _name_probes(pairs, entities, strict).join(_name_candidates(pairs, entities, strict), on)
+    by_name = by_name.groupBy("ship_name").agg(least)
+    by_area = _area_probes(pairs, entities, strict).join(_area_candidates(pairs, entities, strict), on)
+    hits = by_area.groupBy("ship_name", "area_sub").agg(least).unionByName(pairs.join(by_name, "ship_name"))
+    best = hits.groupBy("ship_name", "area_sub").agg(least)
     return best.select(
         "ship_name",
         "area_sub",
