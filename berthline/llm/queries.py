@@ -134,7 +134,7 @@ def _contaminated(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("op9_best_fit_packing")
 def _packed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"))
+    return packing.pack(table(spark, sf_dir, "documents"), near_copies=True)
 
 
 @_query("op10_simhash_groups")

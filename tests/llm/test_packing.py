@@ -1,6 +1,6 @@
 import random
 
-from berthline.llm import packing
+from berthline.llm import packing, simhash
 
 
 def plain_best_fit(sizes, sources, clusters, capacity):
@@ -60,3 +60,43 @@ def test_whole_table(spark):
     assert max(full.values()) <= 512
     assert {r.piece for r in got if r.doc_id == next(i for i, t, _ in rows if len(t or "") == 2000)} == set(range(8))
     assert packing.pack(df.limit(0)).collect() == []
+
+
+def by_bin(rows):
+    held = {}
+    for r in rows:
+        held.setdefault(r.bin, []).append(r)
+    return held
+
+
+def test_bins_do_not_depend_on_the_layout(spark):
+    rng = random.Random(8)
+    rows = [(i, f"{i} " + "x" * rng.randint(80, 120), f"s{i % 4}") for i in range(200)] + [(5, "same", "s1")] * 3
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    # A partition for each source: none has a row of another source to fill its bins.
+    layouts = [df.repartitionByRange(4, "source"), df.coalesce(1), df.repartition(40)]
+    got = [sorted(map(tuple, packing.pack(d, capacity=512).collect())) for d in layouts]
+    assert got[0] == got[1] == got[2] and len(got[0]) == len(rows)
+    assert len({r[3] for r in got[0]}) <= 60
+
+
+def test_open_bins_of_all_groups_are_packed_again(spark):
+    rng = random.Random(9)
+    rows = [(i, f"{i} " + "x" * rng.randint(10, 300), f"s{i % 9}") for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(30)
+    whole = by_bin(packing.pack(df, capacity=512).collect())
+    small = by_bin(packing.pack(df, capacity=512, window_rows=25).collect())
+    assert sum(map(len, small.values())) == len(rows)
+    assert all(sum(r.n_bytes for r in b) <= 512 and len({r.source for r in b}) == len(b) for b in small.values())
+    assert len(small) <= 1.1 * len(whole)
+
+
+def test_near_copies_are_not_packed_together(spark):
+    words = [f"word{i}" for i in range(400)]
+    rows = [(i, " ".join(words[:399] + [f"end{i}"]), f"s{i}") for i in range(6)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    linked = simhash.near_duplicates(df)
+    of = {r.doc_id: r.component_id for r in linked.collect()}
+    assert len(set(of.values())) < 6
+    for b in by_bin(packing.pack(df, capacity=1 << 20, near_copies=True).collect()).values():
+        assert len({of[r.doc_id] for r in b}) == len(b)
