@@ -351,6 +351,13 @@ def documents(t: Tables) -> DataFrame:
     return docs.select(F.date_format("date", "yyyy-MM-dd").alias("date"), *fields)
 
 
+def _read_back(docs: DataFrame) -> DataFrame:
+    with_ord = docs.drop("date").withColumn("ord", F.variant_get("rec", "$.ord", "bigint"))
+    return normalize_aliases(with_ord, _run_ts()).select(
+        "ord", "ship_name", "fishing_date", "remain_seats"
+    )
+
+
 @query(
     "daily_docs_round_trip",
     """select ord, ship_name, strftime(fishing_date, '%Y-%m-%d') as fishing_date, cast(remain_seats as bigint) as remain_seats
@@ -360,11 +367,19 @@ def documents_round_trip(t: Tables) -> DataFrame:
     """Documents written by date, two dates of them read back."""
     root = scratch_dir(t.spark, "documents")
     write_daily_docs(t.seat_listing, root, "fishing_date")
-    records = load_daily_docs(t.spark, root, ["2026-01-25", "2026-02-03"]).drop("date")
-    with_ord = records.withColumn("ord", F.variant_get("rec", "$.ord", "bigint"))
-    return normalize_aliases(with_ord, _run_ts()).select(
-        "ord", "ship_name", "fishing_date", "remain_seats"
-    )
+    return _read_back(load_daily_docs(t.spark, root, ["2026-01-25", "2026-02-03"]))
+
+
+@query(
+    "daily_docs_whole_round_trip",
+    """select ord, ship_name, strftime(fishing_date, '%Y-%m-%d') as fishing_date, cast(remain_seats as bigint) as remain_seats
+      from {seat_listing} where fishing_date is not null""",
+)
+def documents_whole_round_trip(t: Tables) -> DataFrame:
+    """Documents written by date, all dates read back."""
+    root = scratch_dir(t.spark, "documents")
+    write_daily_docs(t.seat_listing, root, "fishing_date")
+    return _read_back(load_daily_docs(t.spark, root))
 
 
 @query(

@@ -51,3 +51,14 @@ def test_shares_read_their_counts_once(spark):
 
     table = Tables(spark, SMOKE).table("pages")
     assert plan_of(share_top_k(value_counts(table, "url"), 3)).split("Initial Plan")[-1].count("FileScan") == 1
+
+
+@needs_data
+def test_all_written_dates_are_read_back(spark):
+    from berthline.workloads.fixtures import Tables
+
+    written = Tables(spark, SMOKE).seat_listing.filter("fishing_date is not null")
+    want = sorted((r["ord"], str(r["fishing_date"])) for r in written.select("ord", "fishing_date").collect())
+    read = [run(spark, SMOKE) for name, run in entry.queries().items() if name.startswith("daily_docs_") and name.endswith("round_trip")]
+    assert len({d for _, d in want}) > 2
+    assert any(sorted((r["ord"], r["fishing_date"]) for r in df.collect()) == want for df in read)
