@@ -22,17 +22,18 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from berthline.llm.base import fold
+from berthline.llm.base import fold, keep
 
 # Bounds of the labelled sample, by label.
 TOXIC_DOCS = 10_000
 OTHER_DOCS = 30_000
 # Bound of the lexicon.
 MAX_TERMS = 2000
-# A term stands in this many toxic sample texts at least, in this share of them, and this many times as often as in others.
+# A term stands in this many toxic sample texts at least, and this many times as often as in others.
 LEAST_DOCS = 4
-LEAST_SHARE = 0.015
 LEAST_RATIO = 10.0
+# Terms that may pass by chance, of all words and stems tested.
+CHANCE_TERMS = 1.0
 LEAST_STEM = 4
 THRESHOLD = 0.7
 NEAR_WORDS = 8
@@ -42,6 +43,7 @@ KNOWN_WORDS = 500_000
 REPORTING = "said says say wrote writes quote quoted called calls term word phrase reported claims dit écrit mot citation sagte schrieb wort zitat dijo escribió palabra cita".split()
 ADDRESS = "you your youre yourself u ur tu toi vous votre ton ta du dich dein deine ihr euch usted tú ti vosotros su".split()
 QUOTES = "\"“”„«»"
+_REPORTING, _ADDRESS, _QUOTES = frozenset(REPORTING), frozenset(ADDRESS), frozenset(QUOTES)
 
 _WORD = re.compile(r"\w+(?:[@$!*]\w+)*")
 _QUOTE_OR_WORD = re.compile(rf"[{QUOTES}]|\w+(?:[@$!*]\w+)*")
@@ -182,19 +184,16 @@ class Scorer:
         if not words & self.found.keys():
             return out
         units = _QUOTE_OR_WORD.findall(low)
-        marks = np.cumsum([u in QUOTES for u in units])
-        for i, u in enumerate(units):
-            if u in self.found:
-                kind, weight = self.found[u]
-                near = units[max(0, i - NEAR_WORDS) : i + NEAR_WORDS + 1]
-                left, right = max(0, i - NEAR_WORDS), min(len(units) - 1, i + NEAR_WORDS)
-                marked = marks[i] > marks[left] - (units[left] in QUOTES) and marks[right] > marks[i]
-                quoted = 1.0 * marked + 0.5 * any(w in REPORTING for w in near)
-                abuse = 1.0 + 0.5 * any(w in ADDRESS for w in near)
-                share = min(1.0, quoted / (quoted + abuse)) if quoted else 0.0
-                at = KINDS.index(kind)
-                out[at] += weight * (1 - share)
-                out[len(KINDS) + at] += weight * share
+        for i in [i for i, u in enumerate(units) if u in self.found]:
+            kind, weight = self.found[units[i]]
+            before, after = units[max(0, i - NEAR_WORDS) : i + 1], units[i + 1 : i + NEAR_WORDS + 1]
+            marked = not _QUOTES.isdisjoint(before) and not _QUOTES.isdisjoint(after)
+            quoted = 1.0 * marked + 0.5 * (not (_REPORTING.isdisjoint(before) and _REPORTING.isdisjoint(after)))
+            abuse = 1.0 + 0.5 * (not (_ADDRESS.isdisjoint(before) and _ADDRESS.isdisjoint(after)))
+            share = min(1.0, quoted / (quoted + abuse)) if quoted else 0.0
+            at = KINDS.index(kind)
+            out[at] += weight * (1 - share)
+            out[len(KINDS) + at] += weight * share
         total = out.sum()
         rate = np.log1p(1000 * total / len(units))
         return np.concatenate((np.minimum(out[: 2 * len(KINDS)], MOST), [float(total > 0), rate, min(total, MOST) * rate]))
@@ -225,13 +224,25 @@ def _stems_and_words(texts: Iterator[str]) -> set[str]:
     return found
 
 
-def choose_terms(counts: pd.DataFrame, toxic: int, other: int, max_terms: int = MAX_TERMS) -> tuple[dict[str, float], dict[str, float]]:
+def sure(counts: pd.DataFrame, toxic: int, other: int, tested: int) -> pd.Series:
+    """Whether chance would hardly put a part's texts into the toxic sample as often, however rare it is.
+
+    The bound (Chernoff) on the chance of so many toxic texts, at the sample's share of them, times the parts tested.
+    """
+    a, b = counts["toxic"].astype(float), counts["other"].astype(float)
+    base, n = toxic / (toxic + other), a + b
+    surprise = a * np.log(np.maximum(a, 1) / n / base) + b * np.log(np.maximum(b, 1) / n / (1 - base))
+    return (a / n > base) & (surprise >= np.log(max(1, tested) / CHANCE_TERMS))
+
+
+def choose_terms(counts: pd.DataFrame, toxic: int, other: int, max_terms: int = MAX_TERMS, tested: int | None = None) -> tuple[dict[str, float], dict[str, float]]:
     """Terms and stems with weights (log odds, 1 for the surest) from (part, toxic, other): texts of the sample that hold a word ('word$') or a word with that start.
 
+    `tested`: the parts that `counts` was chosen from (default: its own).
     A start is kept as the longest one that loses almost no texts: if that ends a word it's a term, else a stem.
     """
     odds = ((counts["toxic"] + 0.5) / (toxic + 1)) / ((counts["other"] + 0.5) / (other + 1))
-    good = counts[(counts["toxic"] >= max(LEAST_DOCS, LEAST_SHARE * toxic)) & (odds >= LEAST_RATIO)]
+    good = counts[(counts["toxic"] >= LEAST_DOCS) & (odds >= LEAST_RATIO) & sure(counts, toxic, other, len(counts) if tested is None else tested)]
     seen = dict(zip(good["part"], good["toxic"]))
     weight = dict(zip(good["part"], np.log(odds[good.index]) / np.log(max(LEAST_RATIO, odds.max() if len(odds) else 1))))
     terms, stems, covered = [], [], set()
@@ -299,10 +310,15 @@ def train(docs: DataFrame, labels: DataFrame, toxic_docs: int = TOXIC_DOCS, othe
     if not toxic or not other:
         return Model(Lexicon({}, {}), np.r_[-30.0, np.zeros(FEATURES)])
     counted = sample.mapInPandas(parts, "part string, toxic long, other long").groupBy("part").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
+    counted = keep(counted.filter(F.col("toxic") + F.col("other") >= LEAST_DOCS), "parts")
+    tested = counted.count()
     ratio = ((F.col("toxic") + 0.5) / (toxic + 1)) / ((F.col("other") + 0.5) / (other + 1))
-    # What passes stands in a share of the toxic texts of a bounded sample; the most frequent are enough for max_terms.
-    good = counted.filter((F.col("toxic") >= max(LEAST_DOCS, LEAST_SHARE * toxic)) & (ratio >= LEAST_RATIO)).orderBy(F.desc("toxic"), "part").limit(50 * MAX_TERMS)
-    terms, stems = choose_terms(good.toPandas(), toxic, other)
+    # The same test as in choose_terms; the most frequent of what passes are enough for max_terms.
+    n, base = F.col("toxic") + F.col("other"), toxic / (toxic + other)
+    surprise = F.col("toxic") * F.log(F.col("toxic") / n / base) + F.when(F.col("other") > 0, F.col("other") * F.log(F.col("other") / n / (1 - base))).otherwise(0.0)
+    passed = (F.col("toxic") >= LEAST_DOCS) & (ratio >= LEAST_RATIO) & (surprise >= float(np.log(max(1, tested) / CHANCE_TERMS)) - 1e-6)
+    good = counted.filter(passed).orderBy(F.desc("toxic"), "part").limit(50 * MAX_TERMS)
+    terms, stems = choose_terms(good.toPandas(), toxic, other, tested=tested)
     rough = Lexicon(terms, stems)
 
     def near_forms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

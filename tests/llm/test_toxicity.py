@@ -1,6 +1,7 @@
 import random
 import zlib
 
+import pandas as pd
 import pytest
 
 from berthline.llm import toxicity
@@ -83,3 +84,25 @@ def test_empty(spark, rows):
     b = spark.createDataFrame(labels, "doc_id long, toxic int")
     assert {r.predicted for r in toxicity.toxicity(d, b.limit(0)).collect()} == {0}
     assert toxicity.toxicity(d.limit(0), b).collect() == []
+
+
+def test_rare_but_sure_terms_are_learned(spark):
+    rng = random.Random(11)
+    # Each stands in 1 % of the toxic texts or less.
+    terms = ["".join(rng.sample("qwxzvkjghp", 8)) for _ in range(120)]
+    docs, labels = [], []
+    for i in range(6000):
+        words = ["".join(rng.choice(["ba", "re", "ti", "no", "lu"]) for _ in range(3)) for _ in range(rng.randint(5, 30))]
+        if i % 4 == 0:
+            words.insert(rng.randint(0, len(words)), terms[i // 4 % 120])
+        docs.append((i, " ".join(words)))
+        labels.append((i, int(i % 4 == 0)))
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    held = [r for r in toxicity.toxicity(d, b).collect() if r.held_out]
+    assert sum(r.predicted for r in held if r.doc_id % 4 == 0) >= 0.9 * sum(r.doc_id % 4 == 0 for r in held)
+    assert sum(r.predicted for r in held if r.doc_id % 4) <= 0.01 * len(held)
+
+
+def test_chance_is_no_evidence():
+    counts = pd.DataFrame({"part": ["rare$", "sure$", "both$"], "toxic": [4, 100, 60], "other": [0, 0, 180]})
+    assert set(toxicity.choose_terms(counts, 10_000, 30_000, tested=50_000)[0]) == {"sure"}
