@@ -1,4 +1,8 @@
 import os
+import shutil
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 
@@ -14,6 +18,24 @@ def test_every_oracle_has_a_query():
     assert not [n for n in set(queries) - set(oracle) if not n.startswith("op") and n != "pipeline"]
 
 
+@pytest.mark.parametrize("pipeline_stays", [True, False])
+def test_entry_without_the_optional_folders(tmp_path, pipeline_stays):
+    top = Path(entry.__file__).resolve().parent
+    gone = ["llm", "__pycache__"] + ([] if pipeline_stays else ["corpus_pipeline.py"])
+    for name in ("berthline", "__spark_entry__.py", "corpus_pipeline.py"):
+        if name in gone or not (top / name).exists():
+            continue
+        if (top / name).is_dir():
+            shutil.copytree(top / name, tmp_path / name, ignore=shutil.ignore_patterns(*gone))
+        else:
+            shutil.copy(top / name, tmp_path)
+    code = "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()), any(n.startswith('op') or n == 'pipeline' for n in e.queries()))"
+    said = subprocess.run([sys.executable, "-B", "-c", code], cwd=tmp_path, env=os.environ | {"PYTHONPATH": str(tmp_path)}, capture_output=True, text=True)
+    assert said.returncode == 0, said.stderr
+    queries, oracle, optional = said.stdout.split()
+    assert int(queries) == int(oracle) > 80 and optional == "False"
+
+
 @needs_data
 def test_flagship(spark):
     report = entry.entry(spark)
