@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import sys
+
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from berthline.session import apply_recommended, scratch_dir, stored
@@ -12,6 +15,11 @@ BATCH_ROWS = 1000
 BATCH_BYTES = 2 << 20
 
 
+def by_value(module: str) -> None:
+    """Send what runs in workers by value, so that they need not have this package."""
+    cloudpickle.register_pickle_by_value(sys.modules[module])
+
+
 def prepared(spark: SparkSession) -> SparkSession:
     """Session settings the operators rely on."""
     apply_recommended(spark)

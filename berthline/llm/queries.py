@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from berthline.llm import ann, chat, decontam, langid, packing, pii, secret_scan, sharding, simhash, toxicity
+from berthline.llm import ann, chat, decontam, langid, negatives, packing, pii, prefix_trie, secret_scan, sharding, simhash, toxicity
 from berthline.llm.base import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -141,3 +141,76 @@ def _packed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), words_per_shingle=4, max_bits=4)
     return found.select("doc_id", simhash.fingerprint_hex(found["fp"]).alias("fingerprint"), "component_id")
+
+
+@_query(
+    "op11_hard_negatives",
+    """
+with parts as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, [floor(256 * cast(x as double)) for x in embedding] as c
+  from embeddings
+  where vec_id is not null and label is not null and embedding is not null
+    and len([x for x in embedding if x is null or isnan(x) or isinf(x)]) = 0),
+scored as (
+  select a.vec_id as anchor_id, a.label = r.label as same, r.vec_id, cast(list_dot_product(a.c, r.c) as bigint) as score
+  from parts a join parts r on a.vec_id <> r.vec_id where a.vec_id % 100 = 0),
+positives as (
+  select anchor_id, vec_id as positive_id, score as positive_score from scored where same
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5)
+select anchor_id, positive_id, cast(row_number() over (partition by anchor_id, positive_id order by score desc, vec_id) as integer) as rank,
+  vec_id as negative_id, positive_score, score as negative_score
+from positives join scored using (anchor_id)
+where not same and 30 * positive_score <= 100 * score and 100 * score <= 90 * positive_score
+qualify row_number() over (partition by anchor_id, positive_id order by score desc, vec_id) <= 10
+""",
+)
+def _negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(vectors.withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
+# crc32 of a decimal in SQL: a byte is put in by xor, each -1 takes one bit out.
+_CRC32 = """xor(list_reduce(
+    flatten([[4294967295]] || [[cast(ascii(ch) as bigint), -1, -1, -1, -1, -1, -1, -1, -1] for ch in string_split(cast(conv_id as varchar), '')]),
+    lambda crc, t: case when t >= 0 then xor(crc, t) when crc % 2 = 1 then xor(crc // 2, 3988292384) else crc // 2 end), 4294967295)"""
+
+
+@_query(
+    "op13_prefix_trie",
+    f"""
+with told as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations where conv_id is not null),
+own as (
+  select *, row_number() over (partition by conv_id order by turn nulls first, role, sha256(length(role) || ':' || role || text)) as place from told),
+ids as (
+  select conv_id, conv_id - conv_id % 5 as head_id, {_CRC32} % 9 as h from (select distinct conv_id from told)),
+rebuilt as (
+  select i.conv_id, place, role, text from ids i join own o on o.conv_id = i.head_id and place <= h
+  union all select i.conv_id, place + least(h, coalesce(n, 0)) - h, role, text
+  from ids i join own o on o.conv_id = i.conv_id and place > h left join (select conv_id, count(*) as n from own group by conv_id) c on c.conv_id = head_id),
+chained as (
+  select conv_id, place as depth, octet_length(encode(text)) as bytes,
+    sha256(string_agg(sha256(length(role) || ':' || role || text), ',') over (partition by conv_id order by place rows unbounded preceding)) as node
+  from rebuilt
+  union all select conv_id, 0, 0, 'root' from ids),
+lengths as (select conv_id, max(depth) as length from chained group by conv_id),
+linked as (
+  select c.*, l.length, lag(node) over (partition by c.conv_id order by depth) as parent from chained c join lengths l using (conv_id)),
+nodes as (
+  select node, any_value(depth) as depth, min(conv_id) as conv_id, any_value(parent) as parent, count(*) as n_convs,
+    any_value(bytes) as bytes, sha256(coalesce(string_agg(cast(conv_id as varchar), ',' order by conv_id) filter (depth = length), '')) as ends_sha256
+  from linked group by node),
+childless as (select node, node not in (select parent from nodes where parent is not null) as leaf from nodes),
+below as (
+  select up.node, count(*) filter (leaf) as n_leaves, sum((n.n_convs - 1) * n.bytes) as saved_tokens
+  from nodes n join childless using (node) join linked up on up.conv_id = n.conv_id and up.depth <= n.depth group by up.node),
+families as (select parent as node, count(*) as n_children from nodes where parent is not null group by parent)
+select n.conv_id, cast(n.depth as bigint) as depth, p.conv_id as parent_conv_id, n.n_convs, coalesce(n_children, 0) as n_children, n_leaves,
+  cast(saved_tokens as bigint) as saved_tokens, n.ends_sha256
+from nodes n join below using (node) left join families using (node) left join nodes p on p.node = n.parent
+""",
+)
+def _trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    convs = prefix_trie.sequences(table(spark, sf_dir, "conversations"))
+    return prefix_trie.trie(prefix_trie.with_shared_heads(convs)).drop("digest")
