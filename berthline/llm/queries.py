@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from berthline.llm import ann, chat, decontam, langid, negatives, packing, pii, prefix_trie, secret_scan, sharding, simhash, toxicity
+from berthline.llm import ann, chat, decontam, langid, negatives, packing, pii, prefix_trie, secret_scan, sharding, simhash, toxicity, url_rules
 from berthline.llm.base import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -170,6 +170,60 @@ def _negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.hard_negatives(vectors.withColumn("label", label), F.col("vec_id") % 100 == 0)
 
 
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
+
+@_query(
+    "op12_url_filter",
+    f"""
+with given(rule_host, rule_path, rule_verdict) as (values {", ".join(map(str, URL_RULES))}),
+cut as (
+  select url, [{", ".join(f"regexp_extract(url, '{url_rules.URL}', {n})" for n in range(1, 6))}] as part, url like '%://%' as whole
+  from (select distinct url from pages where url is not null)),
+lowered as (
+  select url, translate(part[2], '{url_rules.UPPER}', '{url_rules.LOWER}') as host, part[3] as path,
+    list_distinct(case when whole then ['s:' || x for x in [translate(part[1], '{url_rules.UPPER}', '{url_rules.LOWER}')] if x <> '']
+      || ['h:' || x for x in string_split(translate(part[2], '{url_rules.UPPER}', '{url_rules.LOWER}'), '.') if x <> '']
+      || ['p:' || x for x in string_split(part[3], '/') if x <> ''] || ['q:' || x for x in string_split(part[4], '&') if x <> '']
+      || ['f:' || x for x in [part[5]] if x <> ''] else [] end) as tokens
+  from cut),
+fitting as (
+  select url, rule_host || rule_path as rule, rule_verdict from lowered join given
+    on (host = rule_host or ends_with(host, '.' || rule_host)) and starts_with(path, rule_path)
+  qualify row_number() over (partition by url order by length(rule) desc, rule desc, rule_verdict desc) = 1),
+urls as (select * from lowered left join fitting using (url)),
+totals as (
+  select count(*) as total, count(*) filter (rule_verdict = 'block') as blocked, count(*) filter (rule_verdict = 'allow') as allowed,
+    greatest({url_rules.LEAST_URLS}, cast(ceil(count(*) * {url_rules.LEAST_PER_MILLE} / 1000.0) as bigint)) as least from urls),
+each as (select url, rule_verdict, unnest(tokens) as token from urls),
+frequent as (
+  select token, greatest(
+      case when any_value(blocked) > 0 then abs(cast(count(*) filter (rule_verdict = 'block') as double) * any_value(total) - cast(count(*) as double) * any_value(blocked)) end,
+      case when any_value(allowed) > 0 then abs(cast(count(*) filter (rule_verdict = 'allow') as double) * any_value(total) - cast(count(*) as double) * any_value(allowed)) end) as telling
+  from each, totals group by token having count(*) >= any_value(least)),
+transactions as (
+  select url, any_value(rule_verdict) as rule_verdict, list_sort(list(token)) as items from (
+    select url, rule_verdict, token from each join frequent using (token)
+    qualify row_number() over (partition by url order by telling desc, token) <= {url_rules.TOKENS_PER_URL}) group by url),
+subsets as (
+  select rule_verdict, [items[i] for i in range(1, len(items) + 1) if (mask >> (i - 1)) & 1 = 1] as needed
+  from transactions, unnest(range(1, 1 << len(items))) as t(mask)),
+counted as (
+  select needed, count(*) as n, count(*) filter (rule_verdict = 'block') as block, count(*) filter (rule_verdict = 'allow') as allow from subsets group by needed),
+mined as (
+  select needed, n, verdict, hits from (unpivot counted on block, allow into name verdict value hits), totals
+  where hits >= least and 100 * hits >= {url_rules.CONFIDENCE} * n),
+guessed as (
+  select url, verdict as guess, array_to_string(needed, ' ') as evidence from urls join mined on rule is null and list_has_all(tokens, needed)
+  qualify row_number() over (partition by url order by cast(hits as double) / cast(n as double) desc, hits desc, verdict desc, evidence desc) = 1)
+select page_id, coalesce(host, '') as host, coalesce(path, '') as path, rule, coalesce(rule_verdict, guess, 'allow') as verdict, evidence
+from pages left join urls using (url) left join guessed using (url)
+""",
+)
+def _urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_rules.judge(table(spark, sf_dir, "pages"), url_rules.rule_table(spark, URL_RULES))
+
+
 # crc32 of a decimal in SQL: a byte is put in by xor, each -1 takes one bit out.
 _CRC32 = """xor(list_reduce(
     flatten([[4294967295]] || [[cast(ascii(ch) as bigint), -1, -1, -1, -1, -1, -1, -1, -1] for ch in string_split(cast(conv_id as varchar), '')]),
