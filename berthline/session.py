@@ -36,10 +36,55 @@ def shared_mount(spark: SparkSession) -> bool:
     return spark.conf.get(SHARED_MOUNT, "false").lower() == "true"
 
 
+def _located(spark: SparkSession, path: str):
+    """A path and the file system that it names."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether there is a file or folder, asked from the file system that the path names."""
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+    where, files = _located(spark, path)
+    return files.exists(where)
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder; none where there is no folder."""
+    where, files = _located(spark, path)
+    return [status.getPath().getName() for status in files.listStatus(where)] if files.exists(where) else []
+
+
+def read_small(spark: SparkSession, path: str) -> str:
+    """A small text file, whole."""
+    where, files = _located(spark, path)
+    stream = files.open(where)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small text file that readers see whole or not at all; False where the path is taken.
+
+    Of two writers at once one loses where a rename refuses a taken name (HDFS does); elsewhere let one writer run.
+    """
+    where, files = _located(spark, path)
+    part, _ = _located(spark, f"{path}.{uuid.uuid4().hex}.tmp")
+    stream = files.create(part, False)
+    try:
+        stream.write(bytearray(text, "utf-8"))
+    finally:
+        stream.close()
+    if files.exists(where) or not files.rename(part, where):
+        files.delete(part, False)
+        return False
+    return True
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    where, files = _located(spark, path)
+    files.delete(where, True)
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:

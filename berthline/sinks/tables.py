@@ -1,4 +1,4 @@
-"""Table outputs: keyed upsert, run history, full refresh."""
+"""Table outputs: keyed upsert, run history, full refresh; tables are published all at once."""
 
 from __future__ import annotations
 
@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from berthline import fixed_values as fv
 from berthline.operators.dedup import dedup_last
 from berthline.schemas import NATURAL_KEY, RUN_HISTORY, SEAT_ROW
-from berthline.session import path_exists, scratch_dir
+from berthline.session import path_exists
+from berthline.sinks.versions import VersionedTable
 
 PARTITION = "fishing_date"
 
@@ -37,9 +38,14 @@ def merged(
     return dedup_last(rows, keys, order).drop("__new", "__ord", *extra)
 
 
-def read_seats(spark: SparkSession, path: str) -> DataFrame | None:
-    """The stored table, or None where there is none yet."""
-    return spark.read.schema(SEAT_ROW).parquet(path) if path_exists(spark, path) else None
+def seats(spark: SparkSession, path: str) -> VersionedTable:
+    """The snapshot table, partitioned by trip date."""
+    return VersionedTable(spark, path, SEAT_ROW, PARTITION)
+
+
+def read_seats(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    """The published rows, of the newest version or a given one; empty where there is none yet."""
+    return seats(spark, path).read(version)
 
 
 def _touched(target: DataFrame, batch: DataFrame) -> DataFrame:
@@ -63,41 +69,23 @@ def upsert(
     keys: list[str] | None = None,
     ord: str = "ord",
     guard_late: bool = True,
-    staging: str | None = None,
-) -> None:
-    """Upsert a batch into the parquet table partitioned by trip date.
-
-    The date is part of the key, so only the dates of the batch are read and
-    rewritten.  The new state of those dates is first written whole to a staging
-    folder that executors share: a failure up to then leaves the table as it
-    was.  The staged copy then replaces the partitions and is left in place, so
-    a run that stops half way can be finished by ``publish``; ``is_staged``
-    tells whether it got so far.
+    name: str | None = None,
+) -> int:
+    """Upsert a batch into the table partitioned by trip date; the version that holds it.
+
+    The date is part of the key, so only the dates of the batch are read and written.  Their new state goes to
+    a folder of its own, once; the pointer that follows makes it current all at once.  A run that fails before
+    that leaves the table as it was.  A batch with a ``name`` that was written whole on the same
+    version, but not published, is published from what was written.
     """
-    spark = batch.sparkSession
-    batch = batch.select(*SEAT_ROW.fieldNames(), *([ord] if ord not in SEAT_ROW.fieldNames() else []))
-    target = read_seats(spark, path)
-    stored = _touched(target, batch) if target is not None else None
-    after = merged(stored, batch, keys, ord, guard_late).select(*SEAT_ROW.fieldNames())
-    staging = staging or scratch_dir(spark, "upsert")
-    after.write.mode("overwrite").parquet(staging)
-    publish(spark, staging, path)
-
-
-def is_staged(spark: SparkSession, staging: str) -> bool:
-    """Whether the staged copy is whole: its writer's mark is there."""
-    return path_exists(spark, f"{staging}/_SUCCESS")
-
-
-def publish(spark: SparkSession, staging: str, path: str) -> None:
-    """Replace the table's partitions by the staged rows.
-
-    The rebalance hint lets AQE size the files: small dates share a task, a hot
-    date is split over several.
-    """
-    staged = spark.read.schema(SEAT_ROW).parquet(staging).hint("rebalance", PARTITION)
-    out = staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    out.partitionBy(PARTITION).parquet(path)
+    table = seats(batch.sparkSession, path)
+    base = table.pointer().version
+    folder = name and f"{name}-on-{base}"
+    if folder is None or not table.is_written(folder):
+        batch = batch.select(*SEAT_ROW.fieldNames(), *([ord] if ord not in SEAT_ROW.fieldNames() else []))
+        stored = _touched(table.read(base), batch) if base else None
+        folder = table.write(merged(stored, batch, keys, ord, guard_late), folder)
+    return table.publish(folder, base, label=name)
 
 
 def append_history(
@@ -120,9 +108,14 @@ def read_history(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RUN_HISTORY).parquet(path)
 
 
-def full_refresh(df: DataFrame, path: str, order_by: list[str] | None = None) -> None:
-    """Replace a table as a whole; ``df`` may read from it, so it is staged first."""
-    spark = df.sparkSession
-    staging = scratch_dir(spark, "refresh")
-    (df.orderBy(*order_by) if order_by else df).write.parquet(staging)
-    spark.read.schema(df.schema).parquet(staging).write.mode("overwrite").parquet(path)
+def full_refresh(df: DataFrame, path: str, order_by: list[str] | None = None) -> int:
+    """Replace a table as a whole, all at once; ``df`` may read from it.  The version that holds it.
+
+    Rows are written in the given order: file by file, and within each file.
+    """
+    return VersionedTable(df.sparkSession, path, df.schema).replace(df, order_by)
+
+
+def read_refreshed(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    """A table that ``full_refresh`` wrote."""
+    return VersionedTable(spark, path).read(version)

@@ -8,16 +8,26 @@ from berthline import fixed_values as fv
 from berthline.functions.dates import sheet_date
 from berthline.functions.numbers import tolerant_float, tolerant_int
 from berthline.schemas import AD_DAILY, DAILY_METRICS
+from berthline.session import path_exists
+from berthline.sinks.versions import VersionedTable
 
 _TABLES = {"daily_metrics": DAILY_METRICS, "ad_daily": AD_DAILY}
 _COUNTS = ("impressions", "clicks", "conversions")
 
 
 def read_table(spark: SparkSession, name: str, path: str) -> DataFrame:
-    """A known table from parquet; the schema is fixed, columns it lacks read as null."""
+    """A known table, published or plain Parquet; the schema is fixed, columns it lacks read as null."""
+    if path_exists(spark, f"{path}/versions"):
+        return with_schema(VersionedTable(spark, path).read(), name)
     return spark.read.schema(_TABLES[name]).parquet(path)
 
 
+def with_schema(df: DataFrame, name: str) -> DataFrame:
+    """Rows under a known table's columns and types; columns they lack are null."""
+    have = set(df.columns)
+    return df.select(*[(F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in _TABLES[name]])
+
+
 def read_ad_sheet_csv(spark: SparkSession, path: str, **options) -> DataFrame:
     raw = spark.read.option("header", True).options(**options).csv(path)
     return read_ad_sheet(raw)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 from berthline import fixed_values as fv
 from berthline.functions.dates import iso_date
 from berthline.schemas import NATURAL_KEY, SEAT_COLUMNS
-from berthline.sinks.tables import append_history, is_staged, publish, read_history, upsert
+from berthline.sinks.tables import append_history, read_history, seats, upsert
 from berthline.sources.landed import judged_records, normalize_aliases
 
 def seat_rows(docs: DataFrame, run_ts: Column) -> DataFrame:
@@ -33,8 +33,9 @@ def ingest_batch(
 ) -> None:
     """Upsert one batch and note it in the history; a batch that is noted as done is skipped.
 
-    A batch that was staged but not published is published from its staged copy.  With ``rejects``
-    what could not be read is written there by batch, and the history's note counts it.
+    A batch that was published but not noted is noted; one that was written but not published is published from what was
+    written, unless the table has moved on since.  With ``rejects`` what could not be read is
+    written there by batch, and the history's note counts it.
     """
     spark, batch_id = docs.sparkSession, str(batch_id)
     done = _pending(read_history(spark, history), batch_id)
@@ -42,9 +43,8 @@ def ingest_batch(
         return
     staging = f"{staging_root}/batch-{batch_id}"
     now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)
-    if is_staged(spark, f"{staging}/state"):
-        publish(spark, f"{staging}/state", target)
-        append_history(spark, history, now, batch_id, 0, note="published from staging")
+    if seats(spark, target).published(batch_id):
+        append_history(spark, history, now, batch_id, 0, note="published before")
         return
     try:
         rows, counts = _stage_rows(docs, f"{staging}/rows")
@@ -55,7 +55,7 @@ def ingest_batch(
             refused = rows.filter("reason is not null").select("ord.file", "ord.pos", "reason", "raw")
             refused.write.mode("overwrite").parquet(f"{rejects}/batch={batch_id}")
             note += f", rejected {counts['bad']}"
-        upsert(target, good, staging=f"{staging}/state")
+        upsert(target, good, name=batch_id)
         append_history(spark, history, now, batch_id, keys, note=note)
     except Exception as error:
         append_history(spark, history, now, batch_id, 0, fv.RUN_FAILED, str(error))
@@ -87,7 +87,7 @@ def run_incremental(
     """Process all files that landed since the last run, then stop.
 
     ``checkpoint`` is a folder on shared storage; it also holds the run history
-    and the staged batches.
+    and the batches' parsed rows.
     """
 
     def each(docs: DataFrame, batch_id: int) -> None:

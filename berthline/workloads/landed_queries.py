@@ -574,9 +574,11 @@ def ingest_history(t: Tables) -> DataFrame:
 
 def _ingested(t: Tables) -> tuple[str, str]:
     root = scratch_dir(t.spark, "incremental")
+    # A document holds some two thousand records, however many there are; the first two have the odd ones.
+    buckets = max(2, t.table("orders").count() // 4000)
     docs = t.sql(
-        """select half, concat('[', array_join(transform(array_sort(collect_list(struct(ord, value))), e -> e.value), ','), if(half = bucket, ',7]', ']')) as value
-        from (select cast(ord % 2 as int) as half, pmod(key, 16) as bucket, ord, value from {aliased}) r group by half, bucket""",
+        f"""select half, concat('[', array_join(transform(array_sort(collect_list(struct(ord, value))), e -> e.value), ','), if(half = bucket, ',7]', ']')) as value
+        from (select cast(ord % 2 as int) as half, pmod(key, {buckets}) as bucket, ord, value from {{aliased}}) r group by half, bucket""",
         aliased=t.sql(ALIASED.replace("select ord,", f"select ord, crc32(concat_ws('|', ship_name, {_DATE}, depart_time, schedule_no)) as key,")),
     )
     for half in (0, 1):

@@ -17,7 +17,7 @@ from berthline.plans import report as R
 from berthline.schemas import DAILY_METRICS
 from berthline.session import scratch_dir
 from berthline.sinks.documents import write_metrics
-from berthline.sinks.tables import full_refresh
+from berthline.sinks.tables import full_refresh, read_refreshed
 from berthline.sources.tables import read_ad_sheet, read_table
 from berthline.workloads.fixtures import Tables
 from berthline.workloads.registry import query
@@ -478,7 +478,7 @@ def refreshed_table(t: Tables) -> DataFrame:
     kinds = {f.name: f.dataType for f in DAILY_METRICS if f.name in t.daily_metrics.columns}
     typed = t.daily_metrics.select(*[F.col(c).cast(kind) for c, kind in kinds.items()])
     full_refresh(typed, path, ["date"])
-    full_refresh(t.spark.read.parquet(path).filter("date > date '1995-01-01'"), path, ["date"])
+    full_refresh(read_refreshed(t.spark, path).filter("date > date '1995-01-01'"), path, ["date"])
     table = read_table(t.spark, "daily_metrics", path)
     spend = F.coalesce("ad_spend_meta", F.lit(0)).cast("double").alias("ad_spend_meta")
     return table.select("date", F.col("gmv").cast("double"), "bookings", "sessions", "ships", "members", spend, "ad_roas")

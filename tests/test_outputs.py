@@ -88,8 +88,8 @@ def test_history_and_refresh(spark, tmp_path):
     assert [(r.row_count, r.status, len(r.note)) for r in rows] == [(5, fv.RUN_OK, 300), (0, fv.RUN_FAILED, 0)]
     table = str(tmp_path / "t")
     T.full_refresh(spark.range(3), table)
-    T.full_refresh(spark.read.parquet(table).filter("id > 0"), table)
-    assert sorted(r.id for r in spark.read.parquet(table).collect()) == [1, 2]
+    T.full_refresh(T.read_refreshed(spark, table).filter("id > 0"), table)
+    assert sorted(r.id for r in T.read_refreshed(spark, table).collect()) == [1, 2]
 
 
 @pytest.fixture
@@ -289,12 +289,17 @@ def test_replayed_and_half_done_batches(spark, tmp_path):
     X.ingest_batch(docs, 0, target, history, staging)
     X.ingest_batch(docs.filter("false"), 0, target, history, staging)
     assert T.read_seats(spark, target).count() == 1
-    # a batch that stopped after staging is published from there
-    staged = explode_landed(docs)
-    assert staged.count() == 1
-    seat(spark, (1, "z", DAY, 0, 8)).drop("ord").write.parquet(f"{staging}/batch-1/state")
+    # a batch that was written but not published is published from what was written
+    assert explode_landed(docs).count() == 1
+    table = T.seats(spark, target)
+    table.write(seat(spark, (1, "z", DAY, 0, 8)).drop("ord"), "1-on-1")
+    assert state(T.read_seats(spark, target)) == {("a", DAY): 1}
     X.ingest_batch(docs.filter("false"), 1, target, history, staging)
     assert state(T.read_seats(spark, target)) == {("z", DAY): 8}
+    # published but not noted
+    table.publish(table.write(seat(spark, (1, "z", DAY, 0, 9)).drop("ord")), 2, label="7")
+    X.ingest_batch(docs, 7, target, history, staging)
+    assert state(T.read_seats(spark, target)) == {("z", DAY): 9} and max(table.versions()) == 3
     broken = docs.withColumn("landed_at", F.raise_error(F.lit("broken")).cast("timestamp"))
     with pytest.raises(Exception, match="broken"):
         X.ingest_batch(broken, 2, target, history, staging)
