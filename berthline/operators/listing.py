@@ -47,15 +47,17 @@ def _all(conditions: list[Column]) -> Column:
     return reduce(and_, conditions, F.lit(True))
 
 
-def _search_text(cols: tuple[str, ...]) -> Column:
+def search_text(cols: tuple[str, ...] = SEARCH_COLUMNS) -> Column:
+    """What a search looks at: the columns in lower case, joined by spaces."""
     return F.lower(F.concat_ws(" ", *[F.coalesce(F.col(c), F.lit("")) for c in cols]))
 
 
-def words_condition(
-    query: str, synonyms: Synonyms | None = None, cols: tuple[str, ...] = SEARCH_COLUMNS
-) -> Column:
-    """Every word occurs, itself or as one of its synonyms, somewhere in the columns."""
-    text = _search_text(cols)
+def text_tokens(text: Column) -> Column:
+    return F.filter(F.split(text, r"[\s,]+"), lambda t: t != "")
+
+
+def words_text_condition(text: Column, query: str, synonyms: Synonyms | None = None) -> Column:
+    """Every word occurs, itself or as one of its synonyms, somewhere in a search text."""
     return _all(
         [
             _any([text.contains(s.lower()) for s in expand_synonyms(word, synonyms)])
@@ -64,6 +66,13 @@ def words_condition(
     )
 
 
+def words_condition(
+    query: str, synonyms: Synonyms | None = None, cols: tuple[str, ...] = SEARCH_COLUMNS
+) -> Column:
+    """Every word occurs, itself or as one of its synonyms, somewhere in the columns."""
+    return words_text_condition(search_text(cols), query, synonyms)
+
+
 def search_words(
     df: DataFrame,
     query: str,
@@ -73,18 +82,16 @@ def search_words(
     return df.filter(words_condition(query, synonyms, cols))
 
 
-def fuzzy_condition(
+def fuzzy_text_condition(
+    text: Column,
     query: str,
     synonyms: Synonyms | None = None,
-    cols: tuple[str, ...] = SEARCH_COLUMNS,
     tolerance: float = fv.FUZZY_TOLERANCE,
 ) -> Column:
-    """As ``words_condition``, a token within floor(tolerance * length) edits also counts.
+    """As ``words_text_condition``, a token within floor(tolerance * length) edits also counts.
 
     A plain row filter: query terms are few, so no shuffle of tokens is needed.
     """
-    text = _search_text(cols)
-    tokens = F.filter(F.split(text, r"[\s,]+"), lambda t: t != "")
 
     def near(term: str) -> Column:
         limit = math.floor(tolerance * len(term))
@@ -92,7 +99,7 @@ def fuzzy_condition(
         if not limit:
             return exact
         return exact | F.exists(
-            tokens, lambda t: F.levenshtein(t, F.lit(term), limit) >= F.lit(0)
+            text_tokens(text), lambda t: F.levenshtein(t, F.lit(term), limit) >= F.lit(0)
         )
 
     return _all(
@@ -103,6 +110,16 @@ def fuzzy_condition(
     )
 
 
+def fuzzy_condition(
+    query: str,
+    synonyms: Synonyms | None = None,
+    cols: tuple[str, ...] = SEARCH_COLUMNS,
+    tolerance: float = fv.FUZZY_TOLERANCE,
+) -> Column:
+    """As ``words_condition``, a token within floor(tolerance * length) edits also counts."""
+    return fuzzy_text_condition(search_text(cols), query, synonyms, tolerance)
+
+
 def fuzzy_search(
     df: DataFrame,
     query: str,

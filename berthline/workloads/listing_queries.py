@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -17,9 +18,11 @@ from berthline.operators.dedup import (
     merge_sources,
 )
 from berthline.dims import entity_index
+from berthline.operators.search_index import SearchIndex
 from berthline.operators.synonyms import expand_terms
 from berthline.plans.availability import listing_query
 from berthline.schemas import NATURAL_KEY
+from berthline.session import scratch_dir
 from berthline.sinks.documents import build_manifest, payload_lines
 from berthline.sinks.tables import merged
 from berthline.workloads.fixtures import Tables
@@ -426,6 +429,44 @@ def fuzzy_search(t: Tables) -> DataFrame:
     return L.fuzzy_search(seats(t), "widgt", SYNONYMS).select("ord", "ship_name")
 
 
+def _index(t: Tables) -> SearchIndex:
+    return SearchIndex.build(t.spread(seats(t)), scratch_dir(t.spark, "search"))
+
+
+@query(
+    "search_indexed",
+    f"""select 'words' as search, ord, ship_name, fish_types from {{seat_listing}}
+      where (contains({_TEXT}, 'economy') or contains({_TEXT}, 'large')) and contains({_TEXT}, 'gear')
+    union all select 'short', ord, ship_name, fish_types from {{seat_listing}} where contains({_TEXT}, '9') and contains({_TEXT}, 'ro')
+    union all select 'korean', ord, ship_name, fish_types from {{seat_listing}} where contains({_TEXT}, '만선호')""",
+)
+def search_indexed(t: Tables) -> DataFrame:
+    """Searches by posting lists: two words with synonyms, two short words, a frequent word; one more finds nothing."""
+    index = _index(t)
+    asked = {"words": " ECONOMY  Gear ", "short": "9 Ro", "korean": "만선호", "nothing": "gear qqqq"}
+    found = [index.search_words(q, SYNONYMS).select(F.lit(name).alias("search"), "ord", "ship_name", "fish_types") for name, q in asked.items()]
+    return reduce(DataFrame.unionByName, found)
+
+
+def _near(term: str, edits: int) -> str:
+    tokens = f"regexp_split_to_array({_TEXT}, '[\\s,]+')"
+    return f"(contains({_TEXT}, '{term}') or len(list_filter({tokens}, lambda w: w <> '' and levenshtein(w, '{term}') <= {edits})) > 0)"
+
+
+@query(
+    "fuzzy_indexed",
+    f"""select 'one' as search, ord, ship_name from {{seat_listing}} where {_near("widgt", 1)}
+    union all select 'two', ord, ship_name from {{seat_listing}} where {_near("geer", 1)} and {_near("ntion_77", 2)}
+    union all select 'long', ord, ship_name from {{seat_listing}} where {_near("natiion_119", 3)}""",
+)
+def fuzzy_indexed(t: Tables) -> DataFrame:
+    """Misspelled words by deletion neighbourhoods, a longer one against the different tokens."""
+    index = _index(t)
+    asked = {"one": "widgt", "two": "geer Ntion_77", "long": "natiion_119"}
+    found = [index.fuzzy_search(q, SYNONYMS).select(F.lit(name).alias("search"), "ord", "ship_name") for name, q in asked.items()]
+    return reduce(DataFrame.unionByName, found)
+
+
 @query(
     "expand_terms",
     """with syn as (select n_nationkey as ord, n_name as term, concat(r_name, ',', n_name) as words from {nation} join {region} on n_regionkey = r_regionkey),
