@@ -14,6 +14,13 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def runs(text: Column | str, n: int) -> Column:
+    """The n-letter pieces of a name or line, in order."""
+    c = _col(text)
+    starts = F.when(F.length(c) >= n, F.sequence(F.lit(1), F.length(c) - (n - 1))).otherwise(F.array().cast("array<int>"))
+    return F.transform(starts, lambda i: F.substring(c, i, F.lit(n)))
+
+
 def join_names(names: Column | str, sep: str = ", ") -> Column:
     """Join the ``name`` of each struct in an array; '' for no array."""
     return F.coalesce(F.concat_ws(sep, F.transform(_col(names), lambda n: n["name"])), F.lit(""))

@@ -1,24 +1,27 @@
 """Matching listings to known boats, coordinates and areas.
 
-Containment ("one text is part of the other") is turned into equality: every
-substring of one side is a key that the other side may equal.  All stages are
-therefore one equi-join on a build side with unique keys, so no pairs are
-compared that do not match, no key fans out, and Spark is free to broadcast the
-build side below its size threshold or to shuffle both sides above it.
+Containment ("one text is part of the other") is a join on the rarest piece of the contained text, see
+``containment``; its keys grow with the length of the names, not with its square.  All four kinds of
+it, of names and of areas either way, go through one such join.  Listings are only
+read for their distinct (name, area) pairs, and once more for the rows that get the result.
 """
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from berthline import fixed_values as fv
 from berthline.dims import area_table
 from berthline.functions.text import _col
+from berthline.operators.containment import contained
 from berthline.session import stored
 
 EXACT, AREA_PART, UNIQUE_NAME, NAME_PART = 1, 2, 3, 4
-# probe kinds: the map's text lies in the listing's, or is the larger one
-_AREA_IN, _AREA_OF, _NAME_IN, _NAME_OF = "a<", "a>", "n<", "n>"
+# Whose text is part of the other's: the map's or the listing's, of names or of areas below one name.
+_NAME_IN, _NAME_OF, _AREA_IN, _AREA_OF = "n<", "n>", "a<", "a>"
 
 
 def substrings(text: Column | str, lengths: Column | str | None = None) -> Column:
@@ -42,99 +45,59 @@ def _lengths(df: DataFrame, *columns: str) -> Column:
     return df.agg(F.struct(*sets).alias("lengths")).scalar()
 
 
-def _with_empty(parts: Column, strict: bool) -> Column:
-    return parts if strict else F.array_append(parts, F.lit(""))
-
-
-def _staged_key(kind: str, k1: Column, k2: Column, stage: int) -> Column:
-    return F.struct(
-        F.lit(kind).alias("kind"), k1.alias("k1"), k2.alias("k2"), F.lit(stage).alias("stage")
-    )
+Keep = Callable[[DataFrame, str], DataFrame]
 
 
-def _best(keys: DataFrame) -> DataFrame:
-    best = F.min(F.struct("stage", "ord", "boat_id"))
-    return keys.groupBy("kind", "k1", "k2").agg(best.alias("hit"))
+def _hit(stage: int) -> Column:
+    return F.struct(F.lit(stage).alias("stage"), "ord", "boat_id")
 
 
-def _area_candidates(pairs: DataFrame, entities: DataFrame, strict: bool) -> DataFrame:
-    """(kind, k1, k2) -> best (stage, ord, boat_id) of name and area: one row per probe key.
+def _either_way(own: DataFrame, listed: DataFrame, by: Column, name: str, inner: str, outer: str) -> tuple[DataFrame, DataFrame]:
+    """The two sides of containment: the map's texts in the listing's (`inner`) and the other way round (`outer`).
 
-    Parts of the map's texts count only in the lengths that the pairs' texts have.
+    `own` are the map's (by, text, hit), `listed` the listing's texts of column `name` below `by`.
     """
-    name, area = F.col("name"), F.col("area")
-    parts = _with_empty(substrings(area, "lengths.area_sub"), strict)
-    keys = F.concat(
-        F.array(_staged_key("x", name, area, EXACT), _staged_key(_AREA_IN, name, area, AREA_PART)),
-        F.transform(parts, lambda part: _staged_key(_AREA_OF, name, part, AREA_PART)),
-    )
-    sized = entities.withColumn("lengths", _lengths(pairs, "area_sub"))
-    return _best(sized.select("ord", "boat_id", F.inline(keys)))
-
-
-def _name_candidates(pairs: DataFrame, entities: DataFrame, strict: bool) -> DataFrame:
-    """The same of names alone: those that the map lists once."""
-    name, none = F.col("name"), F.lit("")
-    single = entities.groupBy("name").agg(
-        F.count("*").alias("entries"), F.min("ord").alias("ord"), F.min("boat_id").alias("boat_id")
-    )
-    parts = _with_empty(substrings(name, "lengths.ship_name"), strict)
-    keys = F.concat(
-        F.array(_staged_key("u", name, none, UNIQUE_NAME), _staged_key(_NAME_IN, name, none, NAME_PART)),
-        F.transform(parts, lambda part: _staged_key(_NAME_OF, part, none, NAME_PART)),
-    )
-    sized = single.filter("entries = 1").withColumn("lengths", _lengths(pairs, "ship_name"))
-    return _best(sized.select("ord", "boat_id", F.inline(keys)))
-
-
-def _key(kind: str, k1: Column, k2: Column) -> Column:
-    return F.struct(F.lit(kind).alias("kind"), k1.alias("k1"), k2.alias("k2"))
+    none = F.lit(None).cast(own.schema["hit"].dataType)
 
+    def side(kind: str, as_: str, of_map: bool) -> DataFrame:
+        df, key, text, hit = (own, F.col("by"), "text", F.col("hit")) if of_map else (listed, by, name, none)
+        return df.select(F.lit(kind).alias("kind"), key.alias("by"), F.col(text).alias(as_), hit.alias(f"{as_}_hit"))
 
-def _name_probes(pairs: DataFrame, entities: DataFrame, strict: bool) -> DataFrame:
-    """Every key under which a name alone may be found; a name has them once, whatever its areas."""
-    name, none = F.col("ship_name"), F.lit("")
-    sized = pairs.select("ship_name").distinct().withColumn("lengths", _lengths(entities, "name"))
-    parts = _with_empty(substrings(name, "lengths.name"), strict)
-    keys = F.concat(
-        F.array(_key("u", name, none), _key(_NAME_OF, name, none)),
-        F.transform(parts, lambda part: _key(_NAME_IN, part, none)),
-    )
-    return sized.select("ship_name", F.inline(keys))
-
-
-def _area_probes(pairs: DataFrame, entities: DataFrame, strict: bool) -> DataFrame:
-    """Every key under which a (name, area) pair may be found: only names that the map has."""
-    name, area = F.col("ship_name"), F.col("area_sub")
-    known = entities.select(F.col("name").alias("ship_name")).distinct()
-    named = pairs.join(known, "ship_name", "left_semi")
-    sized = named.withColumn("lengths", _lengths(entities, "area"))
-    parts = _with_empty(substrings(area, "lengths.area"), strict)
-    keys = F.concat(
-        F.array(_key("x", name, area), _key(_AREA_OF, name, area)),
-        F.transform(parts, lambda part: _key(_AREA_IN, name, part)),
-    )
-    return sized.select("ship_name", "area_sub", F.inline(keys))
+    parts = side(inner, "part", True).unionByName(side(outer, "part", False))
+    return parts, side(inner, "whole", False).unionByName(side(outer, "whole", True))
 
 
-def resolve_pairs(pairs: DataFrame, entities: DataFrame, strict: bool = True) -> DataFrame:
+def resolve_pairs(pairs: DataFrame, entities: DataFrame, strict: bool = True, keep: Keep = lambda df, label: df) -> DataFrame:
     """Boat id and stage of distinct (ship_name, area_sub) pairs; pairs without a match are absent.
 
     Stages: exact name and area; same name and one area part of the other; name
     that the map lists once; such a name part of the other name.  Within a
     stage the map's order decides.  ``strict=False`` also lets an empty area or
-    name count as part of everything.
+    name count as part of everything.  ``keep`` may store what several later steps read.
     """
-    # A map's row becomes many keys: its rows are dealt out before that.
-    parts = int(entities.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    entities, on = entities.repartition(parts, "name"), ["kind", "k1", "k2"]
+    named = entities.groupBy("name").agg(F.count("*").alias("entries"), F.min("ord").alias("ord"), F.min("boat_id").alias("boat_id"))
+    named = keep(named, "names")
+    once, ship = named.filter("entries = 1"), F.col("ship_name")
+    listed = pairs.select("ship_name").distinct()
+    by_name = _either_way(once.select(F.lit("").alias("by"), F.col("name").alias("text"), _hit(NAME_PART).alias("hit")), listed, F.lit(""), "ship_name", _NAME_IN, _NAME_OF)
+    # Areas matter only below names that the map has.
+    known = pairs.join(named.select(F.col("name").alias("ship_name")), "ship_name", "left_semi")
+    by_area = _either_way(entities.select(F.col("name").alias("by"), F.col("area").alias("text"), _hit(AREA_PART).alias("hit")), known, ship, "area_sub", _AREA_IN, _AREA_OF)
+    parts, wholes = (a.unionByName(b) for a, b in zip(by_name, by_area))
+    found = contained(parts, keep(wholes, "wholes"), ["kind", "by"], empty=not strict)
+    own = F.when(F.col("kind").isin(_NAME_IN, _AREA_IN), F.col("whole")).otherwise(F.col("part"))
+    met = found.select(F.col("kind").isin(_NAME_IN, _NAME_OF).alias("of_name"), "by", own.alias("own"), F.coalesce("part_hit", "whole_hit").alias("hit"))
     least = F.min("hit").alias("hit")
-    by_name = _name_probes(pairs, entities, strict).join(_name_candidates(pairs, entities, strict), on)
-    by_name = by_name.groupBy("ship_name").agg(least)
-    by_area = _area_probes(pairs, entities, strict).join(_area_candidates(pairs, entities, strict), on)
-    hits = by_area.groupBy("ship_name", "area_sub").agg(least).unionByName(pairs.join(by_name, "ship_name"))
-    best = hits.groupBy("ship_name", "area_sub").agg(least)
-    return best.select(
+    best = keep(met.groupBy("of_name", "by", "own").agg(least), "contained")
+    unique = once.select(F.col("name").alias("ship_name"), _hit(UNIQUE_NAME).alias("hit"))
+    names = best.filter("of_name").select(F.col("own").alias("ship_name"), "hit").unionByName(unique).groupBy("ship_name").agg(least)
+    exact = entities.select(F.col("name").alias("ship_name"), F.col("area").alias("area_sub"), _hit(EXACT).alias("hit"))
+    areas = best.filter("not of_name").select(F.col("by").alias("ship_name"), F.col("own").alias("area_sub"), "hit")
+    areas = areas.unionByName(exact).groupBy("ship_name", "area_sub").agg(least)
+    # A pair's best hit by name and area, and by name alone.
+    met = pairs.join(areas, ["ship_name", "area_sub"], "left").join(names.withColumnRenamed("hit", "name_hit"), "ship_name", "left")
+    chosen = met.select("ship_name", "area_sub", F.least("hit", "name_hit").alias("hit")).filter("hit is not null")
+    return chosen.select(
         "ship_name",
         "area_sub",
         F.col("hit.boat_id").alias("boat_id"),
@@ -142,12 +105,24 @@ def resolve_pairs(pairs: DataFrame, entities: DataFrame, strict: bool = True) ->
     )
 
 
+def _resolved(pairs: DataFrame, entities: DataFrame, strict: bool, coords: DataFrame | None, scratch: str | None) -> DataFrame:
+    """The pairs' boats; with ``scratch`` pairs, map and result are tables there, so that nothing before them runs twice."""
+
+    def kept(df: DataFrame, label: str) -> DataFrame:
+        return stored(df, f"{scratch}/{label}-{uuid.uuid4().hex}") if scratch else df
+
+    resolved = resolve_pairs(kept(pairs, "pairs"), kept(entities, "map"), strict, kept).withColumnRenamed("stage", "match_stage")
+    if coords is not None:
+        resolved = resolved.join(_known(coords), "boat_id", "left")
+    return kept(resolved, "resolved")
+
+
 def resolve_entities(
     df: DataFrame,
     entities: DataFrame,
     strict: bool = True,
     coords: DataFrame | None = None,
-    pairs_path: str | None = None,
+    scratch: str | None = None,
 ) -> DataFrame:
     """Add ``boat_id`` and ``match_stage`` to listings; both null where nothing matches.
 
@@ -155,27 +130,28 @@ def resolve_entities(
     a hot boat is split by AQE's skew join, since its build row can be copied.
     With ``coords`` the boat's coordinates come along as the struct ``known``;
     they are looked up per pair too, so unmatched rows never meet on a null key.
-    With ``pairs_path`` the resolved pairs are stored there first: the join then
-    knows their real size and leaves the rows unshuffled while they are small.
+    With ``scratch``, a folder that executors share, pairs and result are stored below it: the
+    listing is read twice, and the join knows the pairs' real size and leaves the rows unshuffled while they are small.
     """
     pairs = df.select("ship_name", "area_sub").distinct()
-    resolved = resolve_pairs(pairs, entities, strict).withColumnRenamed("stage", "match_stage")
-    if coords is not None:
-        resolved = resolved.join(_known(coords), "boat_id", "left")
-    if pairs_path:
-        resolved = stored(resolved, pairs_path)
+    resolved = _resolved(pairs, entities, strict, coords, scratch)
     return df.join(resolved, ["ship_name", "area_sub"], "left")
 
 
-def matched_per_date(df: DataFrame, entities: DataFrame, date: str = "fishing_date", strict: bool = True) -> DataFrame:
+def matched_per_date(
+    df: DataFrame, entities: DataFrame, date: str = "fishing_date", strict: bool = True, scratch: str | None = None
+) -> DataFrame:
     """(date, total, af_matched): listings per date and those with a boat, without joining the listings.
 
-    Listings are counted per date and pair first; the counts meet the resolved pairs.
+    Listings are counted per date and pair first; the counts meet the resolved pairs.  With ``scratch`` the counts are stored
+    there, so the listing is read once.
     """
     counts = df.filter(F.col(date).isNotNull()).groupBy(F.col(date).alias("date"), "ship_name", "area_sub")
     counts = counts.agg(F.count("*").alias("n"))
+    if scratch:
+        counts = stored(counts, f"{scratch}/counts-{uuid.uuid4().hex}")
     pairs = counts.select("ship_name", "area_sub").distinct()
-    found = resolve_pairs(pairs, entities, strict).select("ship_name", "area_sub", "boat_id")
+    found = _resolved(pairs, entities, strict, None, scratch).select("ship_name", "area_sub", "boat_id")
     joined = counts.join(found, ["ship_name", "area_sub"], "left")
     matched = F.sum(F.when(F.coalesce("boat_id", F.lit(0)) != 0, F.col("n")).otherwise(0))
     return joined.groupBy("date").agg(F.sum("n").alias("total"), matched.alias("af_matched"))

@@ -27,7 +27,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from berthline import fixed_values as fv
-from berthline.functions.text import expand_synonyms
+from berthline.functions.text import expand_synonyms, runs
 from berthline.operators.listing import SEARCH_COLUMNS, Synonyms, fuzzy_text_condition, search_text, text_tokens, words_text_condition
 from berthline.session import read_small, write_new
 
@@ -42,20 +42,9 @@ SLOTS = (16, 4096)
 SKIP = 16
 
 
-def _letters(text: Column | str) -> Column:
-    """Code points, as Python counts them."""
-    return F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0))
-
-
 def _pieces(text: Column) -> Column:
     """All different pieces of one to PIECE letters."""
-    letters = _letters(text)
-    return F.array_distinct(F.concat(*(_runs(letters, n) for n in range(1, PIECE + 1))))
-
-
-def _runs(letters: Column, n: int) -> Column:
-    starts = F.when(F.size(letters) >= n, F.sequence(F.lit(1), F.size(letters) - (n - 1))).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.array_join(F.slice(letters, i, n), ""))
+    return F.array_distinct(F.concat(*(runs(text, n) for n in range(1, PIECE + 1))))
 
 
 def _shorter(words: Column) -> Column:

@@ -47,8 +47,7 @@ class Dims:
 
 def _enrich(ships: DataFrame, dims: Dims, strict: bool, feed: tuple[str, str] | None) -> DataFrame:
     located = lookup_area(ships, dims.areas)
-    pairs_path = dims.path("pairs")
-    resolved = resolve_entities(located, dims.entities, strict, dims.coords, pairs_path)
+    resolved = resolve_entities(located, dims.entities, strict, dims.coords, dims.scratch)
     return choose_coordinates(resolved.drop("match_stage"), feed).withColumnRenamed(
         "boat_id", "ship_no"
     )

@@ -171,7 +171,7 @@ def entity_exact(t: Tables) -> DataFrame:
     ),
 )
 def entity_staged(t: Tables) -> DataFrame:
-    return E.resolve_entities(t.seat_listing, t.entity_map).select(
+    return E.resolve_entities(t.seat_listing, t.entity_map, scratch=scratch_dir(t.spark, "entities")).select(
         "ord", "ship_name", "area_sub", F.col("boat_id").cast("bigint"), "match_stage"
     )
 
@@ -185,7 +185,7 @@ def entity_staged(t: Tables) -> DataFrame:
     ),
 )
 def entity_report(t: Tables) -> DataFrame:
-    report = E.entity_report(E.resolve_entities(t.seat_listing, t.entity_map))
+    report = E.entity_report(E.resolve_entities(t.seat_listing, t.entity_map, scratch=scratch_dir(t.spark, "entities")))
     return report.withColumn("boat_id", F.col("boat_id").cast("bigint"))
 
 
@@ -225,7 +225,7 @@ def coordinates(t: Tables) -> DataFrame:
             "feed_lng": (F.col("ord") % 180).cast("double"),
         }
     )
-    found = E.resolve_entities(feed, t.entity_map, coords=coords)
+    found = E.resolve_entities(feed, t.entity_map, coords=coords, scratch=scratch_dir(t.spark, "entities"))
     located = E.choose_coordinates(found, ("feed_lat", "feed_lng"))
     return located.select("ord", F.col("boat_id").cast("bigint"), "lat", "lng")
 
@@ -315,7 +315,7 @@ def summary_cards(t: Tables) -> DataFrame:
     ),
 )
 def daily_doc_counts(t: Tables) -> DataFrame:
-    return E.matched_per_date(t.seat_listing, t.entity_map)
+    return E.matched_per_date(t.seat_listing, t.entity_map, scratch=scratch_dir(t.spark, "entities"))
 
 
 @query(

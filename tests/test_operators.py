@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from berthline import dims
 from berthline.operators import entities as E
+from berthline.operators.containment import _keys, contained
 from berthline.operators import listing as L
 from berthline.operators import metrics as M
 from berthline.operators import rollups as C
@@ -124,6 +125,41 @@ def test_resolution_compares_no_pairs(spark):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+def test_resolution_reads_the_listing_twice(spark, tmp_path, monkeypatch):
+    """Once for its distinct pairs, once for the rows that get the result; the counts of a date once."""
+    spark.conf.set("spark.sql.maxMetadataStringLength", 2000)
+    listing = spark.range(40).selectExpr("concat('s', id % 7) as ship_name", "concat('a', id % 3) as area_sub", "date '2026-04-01' as fishing_date")
+    listing.write.parquet(str(tmp_path / "listing"))
+    df, known, plans = spark.read.parquet(str(tmp_path / "listing")), spark.createDataFrame([(0, "s1", "a1", 5), (1, "s", "", 6)], dims.ENTITY_SCHEMA), []
+    store = E.stored
+    monkeypatch.setattr(E, "stored", lambda frame, path: plans.append(frame) or store(frame, path))
+
+    def scans(last):
+        return [plan_of(frame).split("Initial Plan")[-1].count("/listing]") for frame in [*plans, last]]
+
+    assert sum(scans(E.resolve_entities(df, known, scratch=str(tmp_path / "x")))) == 2
+    plans.clear()
+    assert sum(scans(E.matched_per_date(df, known, scratch=str(tmp_path / "y")))) == 1
+
+
+@pytest.mark.parametrize(("q", "empty"), [(3, False), (2, True), (1, False)])
+def test_containment_equals_brute_force(spark, q, empty):
+    texts = ["", "a", "ab", "abc", "bca", "abcabc", "xabcx", "\U0001f41f\U0001f41fab", "\U0001f41f", "zz", "zzz", "z z", None, "x" * 300, "x" * 299]
+    rows = [(by, text, hit) for hit, (by, text) in enumerate(itertools.product(["k", "l", None], texts))]
+    parts = spark.createDataFrame(rows + [("k", "ab", 0)], "by string, part string, part_hit int")
+    wholes = spark.createDataFrame([r for r in rows if r[1] != "zz" or r[0] == "k"], "by string, whole string, whole_hit int")
+    found = contained(parts, wholes, ["by"], q, empty)
+    want = {
+        (by, part, whole) for by, part, whole in itertools.product(["k", "l"], texts, texts)
+        if part is not None and whole is not None and part in whole and (part or empty) and (whole != "zz" or by == "k")
+    }
+    got = [(r.by, r.part, r.whole) for r in found.collect()]
+    assert set(got) == want and len(got) == len(want)
+    assert found.filter("by = 'k' and part = 'ab'").first().part_hit == 0
+    # a text has at most q keys a letter, a part one key
+    assert wholes.select(F.max(F.size(_keys(F.col("whole"), q, empty)) - q * F.length("whole"))).first()[0] <= 1
+
+
 def test_coordinates_come_as_a_pair(spark):
     rows = [(64, 1.0, None), (None, 1.0, 2.0), (9, None, 2.0)]
     df = spark.createDataFrame(rows, "boat_id bigint, feed_lat double, feed_lng double")
