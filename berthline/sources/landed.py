@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from berthline import fixed_values as fv
 from berthline.functions.text import join_variant_names
 from berthline.schemas import PAYLOAD_COLUMNS, PAYLOAD_TYPES, SEAT_COLUMNS
+from berthline.session import list_names
 
 _FALSY = ("null", "false", "0", '""', "{}", "[]")
 _FILE_DATE = r"(\d{4}-\d{2}-\d{2})[^/]*$"
@@ -257,6 +258,33 @@ def load_daily_docs(
     return rows.filter(_is_object(F.col("rec")))
 
 
+def manifest_paths(
+    spark: SparkSession, root: str, manifest: str, mode: str = "all", dates: list[dt.date | str] | None = None
+) -> tuple[list[str], list[str]]:
+    """Folders below ``root`` of the dates that a manifest names, and the named dates that have none.
+
+    ``dates`` narrows what is asked for; a date that the manifest does not name is not read.  A manifest has an entry per calendar date.
+    """
+    named = {r.date for r in manifest_dates(spark.read.text(manifest, wholetext=True), mode).collect()}
+    if dates is not None:
+        named &= {str(d) for d in dates}
+    there = set(list_names(spark, root))
+    found = sorted(d for d in named if f"date={d}" in there)
+    return [f"{root}/date={d}" for d in found], sorted(named - set(found))
+
+
+def load_manifest(
+    spark: SparkSession, root: str, manifest: str, mode: str = "all", dates: list[dt.date | str] | None = None
+) -> DataFrame:
+    """(date, rec): records of the dates that a manifest names, all or the latest; only their folders are listed and read."""
+    paths, _ = manifest_paths(spark, root, manifest, mode, dates)
+    if not paths:
+        return spark.createDataFrame([], "date string, rec variant")
+    docs = spark.read.schema("value string, date string").option("basePath", root).text(paths)
+    rows = docs.select("date", F.try_parse_json("value").alias("rec"))
+    return rows.filter(_is_object(F.col("rec")))
+
+
 # --- dashboard payload ------------------------------------------------------------
 
 

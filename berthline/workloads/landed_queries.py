@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -21,6 +22,7 @@ from berthline.sinks.documents import (
     daily_docs,
     ships_to_payload,
     write_daily_docs,
+    write_manifest,
     write_payload,
 )
 from berthline.sinks.tables import read_history, read_seats
@@ -34,6 +36,7 @@ from berthline.sources.landed import (
     assemble_pages,
     explode_landed,
     load_daily_docs,
+    load_manifest,
     manifest_dates,
     normalize_aliases,
     parse_pages,
@@ -382,6 +385,25 @@ def documents_whole_round_trip(t: Tables) -> DataFrame:
     return _read_back(load_daily_docs(t.spark, root))
 
 
+@query(
+    "manifest_read",
+    """with rows as (select ord, ship_name, strftime(fishing_date, '%Y-%m-%d') as fishing_date, cast(remain_seats as bigint) as remain_seats
+        from {seat_listing} where fishing_date is not null)
+      select 'three' as asked, * from rows where fishing_date in ('2026-01-02', '2026-01-25', '2026-02-03')
+      union all select 'latest', * from rows where fishing_date = (select max(fishing_date) from rows)
+      union all select 'all', * from rows where extract(day from cast(fishing_date as date)) <> 7""",
+)
+def manifest_read(t: Tables) -> DataFrame:
+    """Documents read as a manifest says: three of its dates, the latest, and all though a day of each month was lost."""
+    root = scratch_dir(t.spark, "documents")
+    lost = F.dayofmonth("fishing_date") == 7
+    write_daily_docs(t.seat_listing.filter(~lost), f"{root}/docs", "fishing_date")
+    write_manifest(t.seat_listing, f"{root}/manifest", "now", date="fishing_date", boat="price")
+    asked = {"three": {"dates": ["2026-01-02", "2026-01-25", "2026-02-03", "1999-01-01"]}, "latest": {"mode": "latest"}, "all": {}}
+    read = [_read_back(load_manifest(t.spark, f"{root}/docs", f"{root}/manifest", **how)).withColumn("asked", F.lit(name)) for name, how in asked.items()]
+    return reduce(DataFrame.unionByName, read)
+
+
 @query(
     "payload_written",
     """select ord - ord % 2 as seq, ship_name, strftime(fishing_date, '%Y-%m-%d') as fishing_date, cast(remain_seats as bigint) as remain_seats,

@@ -18,6 +18,7 @@ from berthline.operators.dedup import (
     merge_sources,
 )
 from berthline.dims import entity_index
+from berthline.operators.page_index import PageIndex
 from berthline.operators.search_index import SearchIndex
 from berthline.operators.synonyms import expand_terms
 from berthline.plans.availability import listing_query
@@ -525,6 +526,25 @@ def page_after(t: Tables) -> DataFrame:
     return page.withColumnRenamed("port_name", "area_sub").select(*_NAMES)
 
 
+@query(
+    "deep_pages",
+    f"""with sized as (select count(*) as n from {{seat_listing}}),
+      named as (select *, row_number() over (order by ship_name collate ko desc, ord) - 1 as place from {{seat_listing}}),
+      dated as (select *, row_number() over (order by fishing_date nulls first, ord) - 1 as place from {{seat_listing}})
+    select 'names' as sorted, cast(place // 50 + 1 as int) as page, {_typed()} from named, sized where place // 50 in ((n - 1) // 50, n // 100)
+    union all select 'dates', cast(place // 50 + 1 as int), {_typed()} from dated, sized where place // 50 in ((n - 1) // 50, n // 100, 0)""",
+)
+def deep_pages(t: Tables) -> DataFrame:
+    """The first, middle and last pages of two orders, read from their ranges."""
+    out = []
+    for name, col, asc in (("names", "ship_name", False), ("dates", "fishing_date", True)):
+        index = PageIndex.build(seats(t), scratch_dir(t.spark, "pages"), col, asc, TIES, range_rows=1000)
+        wanted = {index.rows // 100 + 1, index.page_count(), *([1] if asc else [])}
+        pages = [index.page(n).withColumn("page", F.lit(n)) for n in sorted(wanted | {index.page_count() + 1})]
+        out += [p.withColumnRenamed("port_name", "area_sub").select(F.lit(name).alias("sorted"), "page", *_NAMES) for p in pages]
+    return reduce(DataFrame.unionByName, out)
+
+
 @query("page_count", "select cast(ceil(count(*) / 50.0) as bigint) as pages from {seat_listing}")
 def page_count(t: Tables) -> DataFrame:
     return L.page_count(t.seat_listing)
