@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import pickle
 import sys
+from collections.abc import Callable
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -20,6 +22,18 @@ def by_value(module: str) -> None:
     cloudpickle.register_pickle_by_value(sys.modules[module])
 
 
+def shared_by_value(spark: SparkSession, value: object) -> Callable[[], object]:
+    """A broadcast of an object whose class workers need not have; what is returned gets it there, once a process."""
+    sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    def get(held=[]):  # noqa: B006
+        if not held:
+            held.append(pickle.loads(sent.value))
+        return held[0]
+
+    return get
+
+
 def prepared(spark: SparkSession) -> SparkSession:
     """Session settings the operators rely on."""
     apply_recommended(spark)

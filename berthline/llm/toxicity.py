@@ -22,19 +22,21 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from berthline.llm.base import fold, keep
+from berthline.llm.base import by_value, fold, keep, shared_by_value
+
+by_value(__name__)
 
 # Bounds of the labelled sample, by label.
 TOXIC_DOCS = 10_000
 OTHER_DOCS = 30_000
-# Bound of the lexicon.
-MAX_TERMS = 2000
 # A term stands in this many toxic sample texts at least, and this many times as often as in others.
 LEAST_DOCS = 4
 LEAST_RATIO = 10.0
 # Terms that may pass by chance, of all words and stems tested.
 CHANCE_TERMS = 1.0
 LEAST_STEM = 4
+# No stem is longer: longer than any word of a language, while strings without an end have as many starts as letters.
+LONGEST_STEM = 64
 THRESHOLD = 0.7
 NEAR_WORDS = 8
 KNOWN_WORDS = 500_000
@@ -220,7 +222,7 @@ def _stems_and_words(texts: Iterator[str]) -> set[str]:
     found = set()
     for word in set(_WORD.findall(texts.lower())):
         found.add(word + "$")
-        found.update(word[:n] for n in range(LEAST_STEM, min(len(word), 12) + 1))
+        found.update(word[:n] for n in range(LEAST_STEM, min(len(word), LONGEST_STEM) + 1))
     return found
 
 
@@ -235,7 +237,7 @@ def sure(counts: pd.DataFrame, toxic: int, other: int, tested: int) -> pd.Series
     return (a / n > base) & (surprise >= np.log(max(1, tested) / CHANCE_TERMS))
 
 
-def choose_terms(counts: pd.DataFrame, toxic: int, other: int, max_terms: int = MAX_TERMS, tested: int | None = None) -> tuple[dict[str, float], dict[str, float]]:
+def choose_terms(counts: pd.DataFrame, toxic: int, other: int, tested: int | None = None) -> tuple[dict[str, float], dict[str, float]]:
     """Terms and stems with weights (log odds, 1 for the surest) from (part, toxic, other): texts of the sample that hold a word ('word$') or a word with that start.
 
     `tested`: the parts that `counts` was chosen from (default: its own).
@@ -243,6 +245,7 @@ def choose_terms(counts: pd.DataFrame, toxic: int, other: int, max_terms: int =
     """
     odds = ((counts["toxic"] + 0.5) / (toxic + 1)) / ((counts["other"] + 0.5) / (other + 1))
     good = counts[(counts["toxic"] >= LEAST_DOCS) & (odds >= LEAST_RATIO) & sure(counts, toxic, other, len(counts) if tested is None else tested)]
+    good = good.sort_values(["toxic", "part"], ascending=[False, True])
     seen = dict(zip(good["part"], good["toxic"]))
     weight = dict(zip(good["part"], np.log(odds[good.index]) / np.log(max(LEAST_RATIO, odds.max() if len(odds) else 1))))
     terms, stems, covered = [], [], set()
@@ -266,8 +269,7 @@ def choose_terms(counts: pd.DataFrame, toxic: int, other: int, max_terms: int =
             if end.endswith("$"):
                 break
         (terms if end.endswith("$") else stems).append((seen[part], end.rstrip("$")))
-    ranked = sorted([(-n, t, False) for n, t in terms] + [(-n, s, True) for n, s in stems])[:max_terms]
-    return {t: float(weight[t + "$"]) for _, t, stem in ranked if not stem}, {t: float(weight[t]) for _, t, stem in ranked if stem}
+    return {t: float(weight[t + "$"]) for _, t in sorted(terms)}, {s: float(weight[s]) for _, s in sorted(stems)}
 
 
 class Model:
@@ -313,11 +315,11 @@ def train(docs: DataFrame, labels: DataFrame, toxic_docs: int = TOXIC_DOCS, othe
     counted = keep(counted.filter(F.col("toxic") + F.col("other") >= LEAST_DOCS), "parts")
     tested = counted.count()
     ratio = ((F.col("toxic") + 0.5) / (toxic + 1)) / ((F.col("other") + 0.5) / (other + 1))
-    # The same test as in choose_terms; the most frequent of what passes are enough for max_terms.
+    # The same test as in choose_terms, so that only what passes leaves Spark: parts of the bounded sample.
     n, base = F.col("toxic") + F.col("other"), toxic / (toxic + other)
     surprise = F.col("toxic") * F.log(F.col("toxic") / n / base) + F.when(F.col("other") > 0, F.col("other") * F.log(F.col("other") / n / (1 - base))).otherwise(0.0)
     passed = (F.col("toxic") >= LEAST_DOCS) & (ratio >= LEAST_RATIO) & (surprise >= float(np.log(max(1, tested) / CHANCE_TERMS)) - 1e-6)
-    good = counted.filter(passed).orderBy(F.desc("toxic"), "part").limit(50 * MAX_TERMS)
+    good = counted.filter(passed)
     terms, stems = choose_terms(good.toPandas(), toxic, other, tested=tested)
     rough = Lexicon(terms, stems)
 
@@ -326,8 +328,9 @@ def train(docs: DataFrame, labels: DataFrame, toxic_docs: int = TOXIC_DOCS, othe
             words = {w for text in batch["text"] for w in _WORD.findall(text.lower())}
             yield pd.DataFrame({"word": [w for w in words if rough.match(w) == "near"]}, dtype=object)
 
-    harmless = sample.filter("toxic = 0").mapInPandas(near_forms, "word string").distinct().limit(100_000).toPandas()["word"]
-    lexicon = Lexicon(terms, stems, harmless.tolist())
+    harmless = sample.filter("toxic = 0").mapInPandas(near_forms, "word string").distinct().toPandas()["word"]
+    # Forms of the bounded sample's other texts alone.
+    lexicon = Lexicon(terms, stems, sorted(harmless))
 
     def described(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         scorer = Scorer(lexicon)
@@ -344,20 +347,24 @@ def score(docs: DataFrame, model: Model, text: str = "text", threshold: float =
 
     Columns of those names in `docs` are replaced; repeated rows get equal scores.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most MAX_TERMS terms
+    shared = shared_by_value(docs.sparkSession, model)  # the terms of the bounded sample
 
     @F.pandas_udf("double")
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        scorer = Scorer(shared.value.lexicon)
+        scorer = Scorer(shared().lexicon)
         for texts in batches:
-            yield pd.Series(shared.value.scores([t if isinstance(t, str) else None for t in texts], scorer))
+            yield pd.Series(shared().scores([t if isinstance(t, str) else None for t in texts], scorer))
 
     out = docs.withColumn("score", scored(F.col(text)))
     return out.withColumn("predicted", F.when(F.col("score") >= threshold, 1).otherwise(0))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """One row a document; labels whose fold (crc32 of the id, modulo 3) is 1 are held out of training."""
+    """One row for each row of `docs`: doc_id, held_out, score, predicted; labels whose fold (crc32 of the id, modulo 3) is 1 are held out of training.
+
+    Null and empty texts have no match and the score that goes with it; a null id is not held out and trains nothing; repeated rows get
+    equal scores; an empty table gives no rows; without labels of both kinds every score is 0; other columns are not read.
+    """
     named = docs.select("doc_id", "text")
     model = train(named, labels.filter(fold("doc_id", 3) != 1).select("doc_id", "toxic"))
     held = F.coalesce(fold("doc_id", 3) == 1, F.lit(False))

@@ -106,3 +106,13 @@ def test_rare_but_sure_terms_are_learned(spark):
 def test_chance_is_no_evidence():
     counts = pd.DataFrame({"part": ["rare$", "sure$", "both$"], "toxic": [4, 100, 60], "other": [0, 0, 180]})
     assert set(toxicity.choose_terms(counts, 10_000, 30_000, tested=50_000)[0]) == {"sure"}
+
+
+def test_all_sure_terms_and_long_stems_are_kept():
+    words = [f"w{i:05d}$" for i in range(3000)]
+    counts = pd.DataFrame({"part": words, "toxic": 50, "other": 0})
+    terms, _ = toxicity.choose_terms(counts, 10_000, 30_000, tested=50_000)
+    assert len(terms) == 3000
+    assert toxicity.choose_terms(counts.sample(frac=1, random_state=1), 10_000, 30_000, tested=50_000)[0] == terms
+    parts = toxicity._stems_and_words("donaudampfschifffahrtsgesellschaft x" + "y" * 500)
+    assert "donaudampfschifffahrtsgesellschaf" in parts and max(map(len, parts - {"x" + "y" * 500 + "$"})) == toxicity.LONGEST_STEM
