@@ -22,7 +22,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
-from berthline.llm.base import keep
+from berthline.llm.base import by_value, keep
+
+by_value(__name__)
 
 BITS = 64
 PARTS = 4

@@ -22,7 +22,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from berthline.llm import simhash
-from berthline.llm.base import keep, prepared
+from berthline.llm.base import by_value, keep, prepared
+
+by_value(__name__)
 
 CAPACITY = 8192
 # Rows of a group on average, at most.

@@ -120,7 +120,10 @@ def with_secrets(docs: DataFrame, model: Model, text: str = "text") -> DataFrame
 
 
 def redacted(docs: DataFrame, model: Model, mark: str = "[SECRET]") -> DataFrame:
-    """`docs` with every found span of `text` replaced by `mark`; `n_chars` follows, null texts stay null."""
+    """`docs` (text, n_chars and others) with every found span of `text` replaced by `mark`; `n_chars` follows.
+
+    Null and empty texts have no span and stay; repeated rows get equal texts; other columns come along whatever their names.
+    """
 
     def parts(found: Column) -> Column:
         # Overlapping spans are replaced as one: a span counts from where those before it end.
@@ -132,10 +135,14 @@ def redacted(docs: DataFrame, model: Model, mark: str = "[SECRET]") -> DataFrame
         start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
         return F.aggregate(found, start, kept, lambda state: F.concat(state["out"], F.substring(F.col("text"), state["at"] + 1, F.length("text"))))
 
-    found = with_secrets(docs, model)
+    # The rows' own columns travel as one, so that none can clash with those made here.
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    found = with_secrets(docs.select(row, "text", "n_chars"), model)
     spans_ = by_start(F.concat("base", "extra"), [*KINDS, "markov"])
-    out = found.withColumn("text", F.when(F.size(F.concat("base", "extra")) == 0, F.col("text")).otherwise(parts(spans_)))
-    return out.withColumn("n_chars", F.when(F.size(F.concat("base", "extra")) == 0, F.col("n_chars")).otherwise(F.length("text").cast("long"))).drop("base", "extra")
+    none = F.size(F.concat("base", "extra")) == 0
+    out = found.withColumn("text", F.when(none, F.col("text")).otherwise(parts(spans_)))
+    out = out.withColumn("n_chars", F.when(none, F.col("n_chars")).otherwise(F.length("text").cast("long")))
+    return out.select(*[(F.col(c) if c in ("text", "n_chars") else F.col("row").getField(c)).alias(c) for c in docs.columns])
 
 
 def secrets(docs: DataFrame) -> DataFrame:

@@ -29,7 +29,9 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from berthline.llm.base import keep
+from berthline.llm.base import by_value, keep
+
+by_value(__name__)
 
 SEED = 42
 GROUP_ROWS = 2048
@@ -39,7 +41,6 @@ MEAN_GROUP = 64
 HASH_CHUNK = 100_000
 # Rows that may be broadcast; more are joined by a shuffle.
 BROADCAST_ROWS = 500_000
-# Rows that may be broadcast; more are joined by a shuffle.
 
 
 def fingerprint(text: str | None, words_per_shingle: int) -> int:
@@ -281,6 +282,7 @@ def fingerprint_hex(fp: Column) -> Column:
 def one_of_each(docs: DataFrame, words_per_shingle: int = 4, max_bits: int = 4) -> DataFrame:
     """The rows of `docs` (doc_id, text and others) without near copies: of each component the row with the least doc_id.
 
+    Null and empty texts are linked like any other, an empty table gives no rows, and other columns come along whatever their names.
     Null ids come last.  Of repeated ids the row with the least text hash stays, of rows equal in id and text one.
     """
     key = [F.xxhash64("text").alias("_hash"), F.col("doc_id").alias("_id")]
@@ -294,12 +296,14 @@ def one_of_each(docs: DataFrame, words_per_shingle: int = 4, max_bits: int = 4)
     judged = rooted.join(first, "root").select("_id", "_hash", "times", (F.struct(F.col("_id").isNull().alias("none"), "_id", "_hash") != F.col("first")).alias("dropped"))
     judged = keep(judged.filter("dropped or times > 1"), "judged")
     marks = judged.select(F.coalesce("_id", F.lit(0)).alias("_id"), F.col("_id").isNull().alias("_none"), "_hash", "dropped")
-    told = docs.withColumns({"_id": F.coalesce("doc_id", F.lit(0)), "_none": F.col("doc_id").isNull(), "_hash": F.xxhash64("text")})
+    # The rows' own columns travel as one, so that none can clash with those made here.
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    told = docs.select(row, F.coalesce("doc_id", F.lit(0)).alias("_id"), F.col("doc_id").isNull().alias("_none"), F.xxhash64("text").alias("_hash"))
     own = ["_id", "_none", "_hash"]
     few = marks.count() <= BROADCAST_ROWS
     found = told.join(F.broadcast(marks) if few else marks, own, "left")
     # Rows that stay and are repeated: one of each, the others never leave their task.
-    once = found.filter("dropped is null").drop("dropped", *own)
+    once = found.filter("dropped is null").select("row.*")
     if judged.filter("not dropped").isEmpty():
         return once
-    return once.unionByName(found.filter("not dropped").dropDuplicates(own).drop("dropped", *own))
+    return once.unionByName(found.filter("not dropped").dropDuplicates(own).select("row.*"))

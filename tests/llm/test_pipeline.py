@@ -91,5 +91,5 @@ def test_empty_table(spark, corpus):
 @pytest.mark.skipif(not os.path.isdir(entry.SMOKE_DIR), reason="no driver data")
 def test_every_operator_has_a_query(spark):
     names = [n for n in entry.queries() if re.match(r"op\d+_", n)]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert entry.queries()["op6_chat_format"](spark, entry.SMOKE_DIR).filter("conv_id = -1").first().loss_chars == 21

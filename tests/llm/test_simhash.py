@@ -124,3 +124,13 @@ def test_empty_table_and_clashing_columns(spark):
     shingle = F.xxhash64(F.lit("a b c d"))
     one = simhash.near_duplicates(df.withColumn("text", F.lit("A b\tc D"))).first()
     assert one.fp == df.select(shingle).first()[0]
+
+
+def test_one_of_each_keeps_columns_of_any_name(spark):
+    names = ["dropped", "_id", "_none", "_hash", "fp", "root", "times", "first", "row", "a.b"]
+    rows = [(1, "a b c d e f"), (2, "A b c d e f"), (3, None), (4, ""), (None, "z y x w"), (None, "z y x w"), (5, "q r s t"), (5, "q r s t"), (6, "word " * 200_000)]
+    df = spark.createDataFrame([(*r, *range(len(names))) for r in rows], "doc_id long, text string, " + ", ".join(f"`{n}` int" for n in names))
+    got = simhash.one_of_each(df)
+    assert got.columns == df.columns
+    kept = got.collect()
+    assert sorted((r.doc_id or 0) for r in kept) == [0, 1, 3, 5, 6] and all(tuple(r)[2:] == tuple(range(len(names))) for r in kept)

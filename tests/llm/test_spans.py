@@ -141,3 +141,15 @@ def test_redaction_and_empty_tables(spark):
     assert got[2].text == "clean" and got[3].text is None and got[3].n_chars is None
     none = df.limit(0)
     assert secret_scan.secrets(none).collect() == [] and pii.personal_data(none).collect() == []
+
+
+def test_redaction_keeps_columns_of_any_name(spark):
+    names = ["base", "extra", "row", "spans", "a.b"]
+    long = "x " * 300_000 + "AKIA" + "Z" * 14
+    rows = [(1, "AKIA" + "Q" * 16 + " end", 24), (1, "AKIA" + "Q" * 16 + " end", 24), (2, "clean", 5), (3, long, len(long))]
+    df = spark.createDataFrame([(*r, *range(len(names))) for r in rows], "doc_id long, text string, n_chars long, " + ", ".join(f"`{n}` int" for n in names))
+    got = secret_scan.redacted(df, secret_scan.Model([]))
+    assert got.columns == df.columns
+    kept = sorted(map(tuple, got.collect()))
+    assert [(r[0], r[1][-12:], r[2]) for r in kept] == [(1, "[SECRET] end", 12)] * 2 + [(2, "clean", 5), (3, "x x [SECRET]", 600_008)]
+    assert all(r[3:] == tuple(range(len(names))) for r in kept)
