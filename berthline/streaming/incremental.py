@@ -81,21 +81,39 @@ def landing_stream(spark: SparkSession, landing: str, max_files: int = 10_000) -
     )
 
 
+def without_repeats(docs: DataFrame, within: str, run: Column | None = None) -> DataFrame:
+    """A stream of documents without those whose text came before, under whatever name, less than ``within`` ago.
+
+    The stream's state holds a digest of each text, and of the run time that ``run`` tells from a document if it can,
+    since two runs may land the same text.  Time is when a document is first seen, which never runs backwards: an
+    old file is not late, and nothing is lost.
+    """
+    told = [F.coalesce("value", F.lit(""))] + ([F.coalesce(run.cast("string"), F.lit(""))] if run is not None else [])
+    marked = docs.withColumns({"content": F.sha2(F.concat_ws("\n", *told), 256), "seen_at": F.current_timestamp()})
+    return marked.withWatermark("seen_at", within).dropDuplicatesWithinWatermark(["content"]).drop("content", "seen_at")
+
+
 def run_incremental(
-    spark: SparkSession, landing: str, target: str, checkpoint: str, max_files: int = 10_000
+    spark: SparkSession, landing: str, target: str, checkpoint: str, max_files: int = 10_000, repeats_within: str | None = None
 ) -> None:
     """Process all files that landed since the last run, then stop.
 
+    With ``repeats_within`` (a duration) a text that lands again within that time changes nothing; a batch of nothing else
+    makes no version of the table and no note.
+
     ``checkpoint`` is a folder on shared storage; it also holds the run history
     and the batches' parsed rows.
     """
 
     def each(docs: DataFrame, batch_id: int) -> None:
+        if repeats_within and docs.isEmpty():
+            return
         state = [f"{checkpoint}/{name}" for name in ("history", "staging", "rejects")]
         ingest_batch(docs, batch_id, target, *state)
 
+    docs = landing_stream(spark, landing, max_files)
     query = (
-        landing_stream(spark, landing, max_files)
+        (without_repeats(docs, repeats_within) if repeats_within else docs)
         .writeStream.foreachBatch(each)
         .option("checkpointLocation", f"{checkpoint}/stream")
         .trigger(availableNow=True)

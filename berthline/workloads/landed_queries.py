@@ -25,7 +25,7 @@ from berthline.sinks.documents import (
     write_manifest,
     write_payload,
 )
-from berthline.sinks.tables import read_history, read_seats
+from berthline.sinks.tables import read_history, read_seats, seats
 from berthline.sources.html_pages import (
     directory_ids,
     extract_calendar,
@@ -575,6 +575,22 @@ def incremental_ingest(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    "ingest_repeats",
+    f"""with {_INGEST} select ship_name, area_name, port_name, fishing_date, depart_time, fish_types, price, total_seats, remain_seats, status_code, schedule_no, 2 as versions
+      from (select *, row_number() over (partition by ship_name, fishing_date, depart_time, schedule_no order by half desc, ord desc) as rn from landed) x
+      where rn = 1""",
+)
+def ingest_repeats(t: Tables) -> DataFrame:
+    """Two landings, then the first one's texts again in new files: no merge, and no older rows over newer ones."""
+    root, _ = _ingested(t, (0, 1, 0), repeats_within="1 day")
+    versions = F.lit(len(seats(t.spark, f"{root}/seats").versions()))
+    return read_seats(t.spark, f"{root}/seats").select(
+        "ship_name", "area_name", "port_name", "fishing_date", "depart_time", "fish_types", "price", "total_seats", "remain_seats",
+        "status_code", "schedule_no", versions.alias("versions"),
+    )
+
+
 @query(
     "ingest_history",
     """select half as batch, '성공' as status, cast(count(*) as bigint) as rows_in, cast(count(distinct (ship_name, fishing_date, depart_time, schedule_no)) as bigint) as row_count,
@@ -594,7 +610,7 @@ def ingest_history(t: Tables) -> DataFrame:
     )
 
 
-def _ingested(t: Tables) -> tuple[str, str]:
+def _ingested(t: Tables, halves: tuple[int, ...] = (0, 1), repeats_within: str | None = None) -> tuple[str, str]:
     root = scratch_dir(t.spark, "incremental")
     # A document holds some two thousand records, however many there are; the first two have the odd ones.
     buckets = max(2, t.table("orders").count() // 4000)
@@ -603,11 +619,11 @@ def _ingested(t: Tables) -> tuple[str, str]:
         from (select cast(ord % 2 as int) as half, pmod(key, {buckets}) as bucket, ord, value from {{aliased}}) r group by half, bucket""",
         aliased=t.sql(ALIASED.replace("select ord,", f"select ord, crc32(concat_ws('|', ship_name, {_DATE}, depart_time, schedule_no)) as key,")),
     )
-    for half in (0, 1):
+    for half in halves:
         landing = docs.filter(F.col("half") == half).select("value")
         broken = t.spark.range(1).select(F.lit('[{"name":').alias("value"))
         files = landing.union(broken).write.mode("append").option("maxRecordsPerFile", 1)
         files.text(f"{root}/landing")
-        run_incremental(t.spark, f"{root}/landing", f"{root}/seats", f"{root}/state")
-    run_incremental(t.spark, f"{root}/landing", f"{root}/seats", f"{root}/state")
+        run_incremental(t.spark, f"{root}/landing", f"{root}/seats", f"{root}/state", repeats_within=repeats_within)
+    run_incremental(t.spark, f"{root}/landing", f"{root}/seats", f"{root}/state", repeats_within=repeats_within)
     return root, f"{root}/state"

@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import os
 from decimal import Decimal as D
 
 import pytest
@@ -280,6 +281,33 @@ def test_incremental(spark, tmp_path):
     assert [(r.reason, r.raw) for r in rejects.collect()] == [(NO_JSON, '[{"name":')]
 
 
+def test_a_text_that_lands_again_changes_nothing(spark, tmp_path):
+    landing, target, state_dir = (str(tmp_path / n) for n in ("in", "seats", "state"))
+    (tmp_path / "in").mkdir()
+
+    def land(name, remain):
+        (tmp_path / "in" / name).write_text(json.dumps([{"name": "a", "sdate": "2026-04-01", "remain": remain}]))
+
+    def run():
+        X.run_incremental(spark, landing, target, state_dir, repeats_within="1 day")
+        return [r.remain_seats for r in T.read_seats(spark, target).collect()], T.seats(spark, target).versions()
+
+    land("1.json", 5)
+    assert run() == ([5], [1])
+    land("2.json", 4)
+    assert run() == ([4], [1, 2])
+    land("again.json", 5)
+    assert run() == ([4], [1, 2])
+    # an old file that was not seen before is not late
+    land("3.json", 3)
+    old = os.path.getmtime(tmp_path / "in" / "1.json") - 3 * 86400
+    os.utime(tmp_path / "in" / "3.json", (old, old))
+    X.run_incremental(spark, landing, target, state_dir, repeats_within="1 day")
+    assert T.seats(spark, target).versions() == [1, 2, 3]
+    done = T.read_history(spark, f"{state_dir}/history")
+    assert done.count() == 3
+
+
 def test_replayed_and_half_done_batches(spark, tmp_path):
     target, history, staging = (str(tmp_path / n) for n in ("seats", "history", "staging"))
     docs = spark.createDataFrame(
