@@ -70,13 +70,16 @@ def upsert(
     ord: str = "ord",
     guard_late: bool = True,
     name: str | None = None,
+    cluster_by: list[str] | None = None,
+    **options: object,
 ) -> int:
     """Upsert a batch into the table partitioned by trip date; the version that holds it.
 
     The date is part of the key, so only the dates of the batch are read and written.  Their new state goes to
     a folder of its own, once; the pointer that follows makes it current all at once.  A run that fails before
     that leaves the table as it was.  A batch with a ``name`` that was written whole on the same
-    version, but not published, is published from what was written.
+    version, but not published, is published from what was written.  ``cluster_by`` names columns
+    whose filters shall skip row groups within a date; ``options`` are the writer's.
     """
     table = seats(batch.sparkSession, path)
     base = table.pointer().version
@@ -84,7 +87,7 @@ def upsert(
     if folder is None or not table.is_written(folder):
         batch = batch.select(*SEAT_ROW.fieldNames(), *([ord] if ord not in SEAT_ROW.fieldNames() else []))
         stored = _touched(table.read(base), batch) if base else None
-        folder = table.write(merged(stored, batch, keys, ord, guard_late), folder)
+        folder = table.write(merged(stored, batch, keys, ord, guard_late), folder, cluster_by=cluster_by, **options)
     return table.publish(folder, base, label=name)
 
 

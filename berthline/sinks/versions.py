@@ -21,7 +21,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from berthline.session import delete_path, list_names, path_exists, read_small, write_new
+from berthline.operators.interleave import interleaved
+from berthline.session import delete_path, list_names, path_exists, read_small, scratch_dir, stored, write_new
 
 DIGITS = 10
 # Labels of published batches that a pointer remembers, newest last.
@@ -121,19 +122,32 @@ class VersionedTable:
         """Whether a batch's folder is whole: its writer's mark is there."""
         return path_exists(self.spark, f"{self.root}/data/batch={batch}/_SUCCESS")
 
-    def write(self, rows: DataFrame, batch: str | None = None, order_by: list[Column | str] | None = None) -> str:
+    def write(
+        self,
+        rows: DataFrame,
+        batch: str | None = None,
+        order_by: list[Column | str] | None = None,
+        cluster_by: list[str] | None = None,
+        **options: object,
+    ) -> str:
         """Write a batch's rows to a folder of its own; nobody reads it before `publish`.
 
         Without an order the rebalance hint lets AQE size the files: small partitions share a task, a hot one is
-        split over several.
+        split over several.  ``cluster_by`` lays the rows of each file in an order that lets filters on any of these
+        columns skip row groups; such rows are stored first, as their order is made from them.
         """
         batch = batch or uuid.uuid4().hex
         rows = rows.select(*self._schema_of(rows).fieldNames())
         if order_by:
             rows = rows.orderBy(*order_by)
+        elif cluster_by:
+            rows = stored(rows, scratch_dir(self.spark, "unclustered"))
+            place = interleaved(rows, cluster_by)
+            dealt = rows.hint("rebalance", *([self.partition] if self.partition else []))
+            rows = dealt.sortWithinPartitions(*([self.partition] if self.partition else []), place)
         elif self.partition:
             rows = rows.hint("rebalance", self.partition)
-        out = rows.write.mode("overwrite")
+        out = rows.write.mode("overwrite").options(**options)
         (out.partitionBy(self.partition) if self.partition else out).parquet(f"{self.root}/data/batch={batch}")
         return batch
 

@@ -115,6 +115,26 @@ def facets_kept(t: Tables) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+@query(
+    "clustered_filters",
+    f"""with {_VERSIONS} select 'area' as asked, {_SHOWN} from second where area_name = 'ASIA'
+      union all select 'seats', {_SHOWN} from second where remain_seats between 20 and 22
+      union all select 'both', {_SHOWN} from second where area_name = 'EUROPE' and port_name = 'NATION_7' and remain_seats > 45""",
+)
+def clustered_filters(t: Tables) -> DataFrame:
+    """Filters on secondary columns of a table whose dates are written in interleaved order."""
+    path, rows = scratch_dir(t.spark, "clustered"), snapshot(t)
+    for batch in (0, 1):
+        upsert(path, rows.filter(F.col("ord") % 2 == batch), cluster_by=["area_name", "port_name", "remain_seats"])
+    asked = {
+        "area": F.col("area_name") == "ASIA",
+        "seats": F.col("remain_seats").between(20, 22),
+        "both": (F.col("area_name") == "EUROPE") & (F.col("port_name") == "NATION_7") & (F.col("remain_seats") > 45),
+    }
+    found = [read_seats(t.spark, path).filter(where).select(F.lit(name).alias("asked"), *_SHOWN.split(", ")) for name, where in asked.items()]
+    return reduce(DataFrame.unionByName, found)
+
+
 @query("refreshed_order", "select date, bookings, cast(row_number() over (order by date) as bigint) as place from {daily_metrics}")
 def refreshed_order(t: Tables) -> DataFrame:
     """Where a full refresh in date order put each row: counted over its files, in the order of their names."""
