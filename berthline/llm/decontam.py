@@ -58,8 +58,15 @@ class Index:
         items = keep(named.filter(F.size("words") > 0).distinct().withColumn("item", F.monotonically_increasing_id()), "items")
         terms = items.select(F.explode("words").alias("word")).distinct()
         self.terms = keep(terms.withColumn("term", F.monotonically_increasing_id()), "terms")
-        tokens = _keyed(docs).select(F.col("key").alias("doc_id"), "text_hash", F.posexplode(words(F.col("text"))).alias("pos", "word"))
-        self.postings = keep(tokens.join(_small(self.terms), "word").select(*DOC, "pos", "term"), "postings")
+        # The one pass over the texts: a row for each document with its number of words, then its postings.
+        cut = _keyed(docs).select(F.col("key").alias("doc_id"), F.col("doc_id").isNull().alias("none"), "text_hash", words(F.col("text")).alias("words"))
+        headed = cut.select(*DOC, "none", F.size("words").alias("n"), F.concat(F.array(F.lit(None).cast("string")), "words").alias("words"))
+        tokens = headed.select(*DOC, "none", "n", F.posexplode("words").alias("place", "word"))
+        n_words = F.when(F.col("place") == 0, F.col("n")).cast("long").alias("n_words")
+        found = tokens.join(_small(self.terms), "word", "left").filter("term is not null or place = 0")
+        stored = keep(found.select(*DOC, "none", n_words, (F.col("place") - 1).alias("pos"), "term"), "postings")
+        self.documents = stored.filter("n_words is not null").select(*DOC, "none", "n_words")
+        self.postings = stored.filter("term is not null").select(*DOC, "pos", "term")
         counts = self.postings.groupBy("term").agg(F.count("*").alias("df"))
         known = keep(self.terms.join(counts, "term", "left").select("word", "term", F.coalesce("df", F.lit(0)).alias("df")), "counts")
         places = items.select("item", "item_id", F.posexplode("words").alias("place", "word")).join(_small(known), "word")
@@ -96,14 +103,14 @@ class Index:
         return keep(found.groupBy(*DOC, "item", "shift").agg(F.max("exact").alias("exact")), "alignments")
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, slop: int = SLOP) -> tuple[DataFrame, DataFrame]:
+def matches(index: Index, slop: int = SLOP) -> tuple[DataFrame, DataFrame]:
     """Exact and proximity matches.
 
-    Exact: (doc_id, text_hash, item_id, covered), covered the document's word positions inside windows of the item
+    `index` is of the documents and the benchmark.  Exact: (doc_id, text_hash, item_id, covered), covered the document's word positions inside windows of the item
     at one alignment.  Near: (doc_id, text_hash, item_id) where a window's rarest terms stand within `slop`
     words of their offsets.
     """
-    index = Index(docs, benchmark, window)
+    window = index.window
     aligned = index.alignments(slop)
     exact = aligned.filter("exact").select(*DOC, "item", "shift")
     held = index.postings.join(_small(exact.select(*DOC).distinct()), DOC, "left_semi")
@@ -126,13 +133,13 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
     contaminated: some word is hit, and at least one word in `share`.  A null or empty text has no words; items without
     words match nothing, null item_ids are named 'null'.  Repeated rows are repeated; an empty benchmark hits nothing.
     """
-    hits, near = matches(docs, benchmark, window, slop)
+    index = Index(docs, benchmark, window)
+    hits, near = matches(index, slop)
     n_hit = hits.select(*DOC, F.explode("covered").alias("pos")).distinct().groupBy(*DOC).agg(F.count("*").alias("n_hit"))
     items = hits.groupBy(*DOC).agg(F.array_sort(F.collect_set("item_id")).alias("items"))
     nearly = near.groupBy(*DOC).agg(F.count("*").alias("n_near_items"))
-    found = keep(nearly.join(n_hit.join(items, DOC), DOC, "left"), "found").withColumnRenamed("doc_id", "key")
-    every = _keyed(docs).select("doc_id", "key", "text_hash", F.size(words(F.col("text"))).cast("long").alias("n_words"))
-    out = every.join(found, ["key", "text_hash"], "left")
+    found = keep(nearly.join(n_hit.join(items, DOC), DOC, "left"), "found")
+    out = index.documents.join(found, DOC, "left").withColumn("doc_id", F.when(~F.col("none"), F.col("doc_id")))
     hit = F.coalesce("n_hit", F.lit(0))
     return out.select(
         "doc_id",
@@ -153,9 +160,13 @@ def digests(found: DataFrame) -> DataFrame:
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """The rows of `docs` that aren't contaminated, with their columns."""
+    """The rows of `docs` (doc_id, text and others) that aren't contaminated, with their columns, whatever their names.
+
+    Null and empty texts stay, repeated rows stay or go together, an empty table gives no rows and an empty benchmark drops none.
+    """
     named = docs.select("doc_id", "text")
     foul = keep(contamination(named, benchmark, window).filter("contaminated").select(F.col("text_hash").alias("_foul")).distinct(), "foul")
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
-    marked = docs.withColumn("_foul", F.xxhash64(F.coalesce("text", F.lit("")), F.col("text").isNull(), key))
-    return marked.join(_small(foul), "_foul", "left_anti").drop("_foul")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    marked = docs.select(row, F.xxhash64(F.coalesce("text", F.lit("")), F.col("text").isNull(), key).alias("_foul"))
+    return marked.join(_small(foul), "_foul", "left_anti").select("row.*")

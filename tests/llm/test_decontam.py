@@ -55,11 +55,20 @@ def test_against_brute_force(spark, tables):
 
 def test_clean_keeps_the_rest(spark, tables):
     docs, items = tables
-    d = spark.createDataFrame([(*x, 9) for x in docs], "doc_id long, text string, _foul int").drop("_foul")
+    d = spark.createDataFrame([(*x, 9) for x in docs], "doc_id long, text string, _foul int")
     b = spark.createDataFrame(items, "item_id long, text string")
     foul = {(i, t) for (i, t), r in zip(sorted(docs, key=str), sorted(docs, key=str)) if brute([(i, t)], items, 8)[0][4]}
     kept = sorted((tuple(r) for r in decontam.clean(d, b, window=8).collect()), key=str)
-    assert kept == sorted((x for x in docs if x not in foul), key=str)
+    assert kept == sorted(((*x, 9) for x in docs if x not in foul), key=str)
+
+
+def test_the_texts_are_cut_once(spark, tables, monkeypatch):
+    docs, items = tables
+    cut = []
+    words = decontam.words
+    monkeypatch.setattr(decontam, "words", lambda column: cut.append(1) or words(column))
+    got = decontam.contamination(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"), window=8)
+    assert len(cut) == 2 and "regexp_extract_all" not in got._jdf.queryExecution().optimizedPlan().toString()
 
 
 def test_proximity(spark):
