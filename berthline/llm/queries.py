@@ -34,6 +34,8 @@ def oracle_sql() -> dict[str, str]:
 
 
 SHARD_BYTES = 64 << 20
+# A limit that small tables reach, so that buckets split.
+SMALL_SHARD_BYTES = 64 << 10
 
 _CONVERSATIONS = """
 conversations_and_planted as (
@@ -48,6 +50,12 @@ def _shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"), SHARD_BYTES, key=["source"], spread=["doc_id"])
 
 
+@_query("small_shards", sharding.oracle(SMALL_SHARD_BYTES))
+def _small_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shards under a limit that splits buckets at any size of the table."""
+    return sharding.shard(table(spark, sf_dir, "documents"), SMALL_SHARD_BYTES, key=["source"], spread=["doc_id"])
+
+
 @_query("op2_multi_index_neighbours")
 def _neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
