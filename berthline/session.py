@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -82,6 +83,17 @@ def write_new(spark: SparkSession, path: str, text: str) -> bool:
     return True
 
 
+def write_bytes(spark: SparkSession, path: str, pieces: Iterable[bytes]) -> None:
+    """Write a new binary file, piece by piece."""
+    where, files = _located(spark, path)
+    stream = files.create(where, False)
+    try:
+        for piece in pieces:
+            stream.write(bytearray(piece))
+    finally:
+        stream.close()
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     where, files = _located(spark, path)
     files.delete(where, True)
