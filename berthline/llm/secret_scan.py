@@ -87,13 +87,14 @@ class Model:
         return cls([(r["random"], r["pair"], r["n"]) for r in pair_counts(docs).collect()])
 
     def score(self, token: Column) -> Column:
-        """Sum of the pairs' bits."""
+        """Sum of the different pairs' bits: a pair that a token repeats speaks once, so runs of one character tell nothing."""
         table_ = F.split(F.lit(",".join(map(str, self.bits))), ",").cast("array<double>")
         places = F.transform(F.regexp_extract_all(token, F.lit("(?s)."), F.lit(0)), lambda c: F.instr(F.lit(ALPHABET), c) - 1)
 
         def total(at: Column) -> Column:
             later = F.slice(at, 2, F.size(at))
-            return F.aggregate(F.transform(later, lambda c, i: table_[at[i] * len(ALPHABET) + c]), F.lit(0.0), lambda s, x: s + x)
+            pairs = F.array_distinct(F.transform(later, lambda c, i: at[i] * len(ALPHABET) + c))
+            return F.aggregate(pairs, F.lit(0.0), lambda s, pair: s + table_[pair])
 
         return let(places, total)
 

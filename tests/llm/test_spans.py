@@ -129,7 +129,7 @@ def test_markov_models_tell_random_strings_from_identifiers(spark):
     assert {p: n for (r, p), n in counts.items() if not r} == want
     value = spark.createDataFrame([(planted[0],)], "t string").select(model.score(F.col("t"))).first()[0]
     place = [secret_scan.ALPHABET.index(c) for c in planted[0]]
-    assert value == pytest.approx(sum(model.bits[a * 67 + b] for a, b in zip(place, place[1:])), abs=1e-6)
+    assert value == pytest.approx(sum(model.bits[a * 67 + b] for a, b in set(zip(place, place[1:]))), abs=1e-6)
 
 
 def test_redaction_and_empty_tables(spark):
@@ -153,3 +153,27 @@ def test_redaction_keeps_columns_of_any_name(spark):
     kept = sorted(map(tuple, got.collect()))
     assert [(r[0], r[1][-12:], r[2]) for r in kept] == [(1, "[SECRET] end", 12)] * 2 + [(2, "clean", 5), (3, "x x [SECRET]", 600_008)]
     assert all(r[3:] == tuple(range(len(names))) for r in kept)
+
+
+def test_markov_models_on_labelled_strings(spark):
+    """Held-out random strings are found, identifiers and runs of a character are not."""
+    rng = random.Random(8)
+    chars = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"
+    words = "get set user name value list table index count total build parse write read shared folder window model query server client config result stage token search".split()
+
+    def secret():
+        return "".join(rng.choice(chars) for _ in range(rng.randint(20, 48)))
+
+    def identifier():
+        parts = [rng.choice(words) for _ in range(rng.randint(4, 7))]
+        return rng.choice(["_".join(parts), parts[0] + "".join(p.title() for p in parts[1:]), "-".join(parts)])
+
+    train = [(i, f"see {identifier()} and {identifier()} with password = {secret()} end") for i in range(400)]
+    model = secret_scan.Model.train(spark.createDataFrame(train, "doc_id long, text string"))
+    odd = ["0" * 26, "a" * 40, "ab" * 20, "=" * 30, "-" * 80, "1010101010101010101010101"]
+    asked = [(i, f"x {secret()} y", True) for i in range(300)] + [(1000 + i, f"x {identifier()} y", False) for i in range(300)] + [(2000 + i, f"x {s} y", False) for i, s in enumerate(odd)]
+    df = spark.createDataFrame(asked, "doc_id long, text string, random boolean")
+    found = {r.doc_id: (r.random, r.n > 0) for r in secret_scan.with_secrets(df, model).select("doc_id", "random", F.size("extra").alias("n")).collect()}
+    hits = sum(got for real, got in found.values() if real)
+    wrong = [i for i, (real, got) in found.items() if got and not real]
+    assert hits >= 0.97 * 300 and len(wrong) <= 3 and not [i for i in wrong if i >= 2000], (hits, wrong)
