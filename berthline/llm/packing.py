@@ -9,7 +9,7 @@ a round no longer saves a bin.  A table of up to `WINDOW_ROWS` rows is one group
 Within a group rows go from large to small.  Open bins are kept in the order of their free
 space and carry bitmaps of the sources and clusters they hold.  The search starts at the smallest
 bin that is large enough and goes on to its successors until the bitmaps don't conflict.
-Bins with and without the group's most frequent source are kept apart, and copies go on where the
+Bins are kept apart by which of the group's most frequent sources they hold, and copies go on where the
 copy before them ended, so hot sources and clusters don't make the search long.
 A text longer than a bin fills bins of its own and only its rest is packed.
 """
@@ -31,41 +31,44 @@ CAPACITY = 8192
 WINDOW_ROWS = 1 << 16
 # A bin with less than this part of its capacity free is full and not packed again.
 FULL_PART = 64
+# Sources whose bins are kept apart: an order for each set of them that bins hold.
+HOT_SOURCES = 6
 # Equal rows are numbered in runs of so many.
 RUN = 1 << 16
 
 
-def _bits(values: list) -> tuple[list[int], object]:
-    """A bit for each value that occurs more than once (0 for others and nulls), and the most frequent value."""
+def _bits(values: list, hot: int = 0) -> tuple[list[int], int]:
+    """A bit for each value that occurs more than once (0 for others and nulls), and the bits of the `hot` most frequent ones."""
     counts: dict = {}
     for v in values:
         if v is not None:
             counts[v] = counts.get(v, 0) + 1
     bit = {v: 1 << i for i, v in enumerate(v for v, n in counts.items() if n > 1)}
-    hottest = max(counts, key=lambda v: counts[v], default=None)
-    return [bit.get(v, 0) for v in values], bit.get(hottest, 0)
+    hottest = sorted(bit, key=lambda v: -counts[v])[:hot]
+    return [bit.get(v, 0) for v in values], sum(bit[v] for v in hottest)
 
 
 def best_fit(sizes: list[int], sources: list, clusters: list, capacity: int) -> list[int]:
     """The bin of each piece; pieces are placed from large to small, ties by cluster, then position."""
-    source_bit, hot = _bits(sources)
+    source_bit, hot = _bits(sources, HOT_SOURCES)
     cluster_bit, _ = _bits(clusters)
     held_sources: list[int] = []
     held_clusters: list[int] = []
-    # Open bins as (free space, bin): without and with the most frequent source.
-    orders: tuple[list, list] = ([], [])
+    # Open bins as (free space, bin), by the hot sources they hold: a piece of a hot source meets no bin that has it.
+    orders: dict[int, list] = {}
     bins = [0] * len(sizes)
-    resume: list = [None, None]
+    resume: dict[int, tuple] = {}
     last = None
     for i in sorted(range(len(sizes)), key=lambda i: (-sizes[i], cluster_bit[i], i)):
         need, s, c = sizes[i], source_bit[i], cluster_bit[i]
         if last != (need, c) or not c:
-            resume = [(need, -1), (need, -1)]
+            resume = {}
             last = (need, c)
         best = None
-        for side in (0,) if s and s == hot else (0, 1):
-            order = orders[side]
-            at = bisect_left(order, resume[side])
+        for side, order in orders.items():
+            if side & s:
+                continue
+            at = bisect_left(order, resume.get(side, (need, -1)))
             clear = None
             while at < len(order):
                 b = order[at][1]
@@ -87,7 +90,7 @@ def best_fit(sizes: list[int], sources: list, clusters: list, capacity: int) ->
             del orders[side][at]
         held_sources[b] |= s
         held_clusters[b] |= c
-        insort(orders[bool(hot and held_sources[b] & hot)], (free - need, b))
+        insort(orders.setdefault(held_sources[b] & hot, []), (free - need, b))
         bins[i] = b
     return bins
 
