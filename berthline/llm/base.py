@@ -23,13 +23,14 @@ def by_value(module: str) -> None:
 
 
 def shared_by_value(spark: SparkSession, value: object) -> Callable[[], object]:
-    """A broadcast of an object whose class workers need not have; what is returned gets it there, once a process."""
-    sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
-
-    def get(held=[]):  # noqa: B006
-        if not held:
-            held.append(pickle.loads(sent.value))
-        return held[0]
+    """A broadcast of an object whose class workers need not have; what is returned gets it there, the same one for all tasks of a process."""
+    sent = spark.sparkContext.broadcast({"pickled": cloudpickle.dumps(value)})
+
+    def get():
+        held = sent.value
+        if "value" not in held:
+            held["value"] = pickle.loads(held["pickled"])
+        return held["value"]
 
     return get
 

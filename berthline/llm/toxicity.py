@@ -171,18 +171,22 @@ class Scorer:
         self.found: dict[str, tuple[str, float]] = {}
         self.none: set[str] = set()
 
-    def features(self, text: str | None) -> np.ndarray:
-        out = np.zeros(FEATURES)
-        low = (text or "").lower()
-        words = set(_WORD.findall(low))
+    def look_up(self, words: set[str]) -> None:
+        """Know which of the words match; a process looks a word up once."""
+        if len(self.none) > KNOWN_WORDS:
+            self.none.clear()
         for w in words - self.none - self.found.keys():
             matched = self.lexicon.match(w)
             if matched:
                 self.found[w] = matched
             else:
                 self.none.add(w)
-        if len(self.none) > KNOWN_WORDS:
-            self.none.clear()
+
+    def features(self, text: str | None) -> np.ndarray:
+        out = np.zeros(FEATURES)
+        low = (text or "").lower()
+        words = set(_WORD.findall(low))
+        self.look_up(words)
         if not words & self.found.keys():
             return out
         units = _QUOTE_OR_WORD.findall(low)
@@ -321,21 +325,23 @@ def train(docs: DataFrame, labels: DataFrame, toxic_docs: int = TOXIC_DOCS, othe
     passed = (F.col("toxic") >= LEAST_DOCS) & (ratio >= LEAST_RATIO) & (surprise >= float(np.log(max(1, tested) / CHANCE_TERMS)) - 1e-6)
     good = counted.filter(passed)
     terms, stems = choose_terms(good.toPandas(), toxic, other, tested=tested)
-    rough = Lexicon(terms, stems)
+    rough = shared_by_value(docs.sparkSession, Scorer(Lexicon(terms, stems)))
 
     def near_forms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             words = {w for text in batch["text"] for w in _WORD.findall(text.lower())}
-            yield pd.DataFrame({"word": [w for w in words if rough.match(w) == "near"]}, dtype=object)
+            rough().look_up(words)
+            yield pd.DataFrame({"word": [w for w in words if w in rough().found and rough().found[w][0] == "near"]}, dtype=object)
 
     harmless = sample.filter("toxic = 0").mapInPandas(near_forms, "word string").distinct().toPandas()["word"]
     # Forms of the bounded sample's other texts alone.
     lexicon = Lexicon(terms, stems, sorted(harmless))
 
+    scorer = shared_by_value(docs.sparkSession, Scorer(lexicon))
+
     def described(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        scorer = Scorer(lexicon)
         for batch in batches:
-            rows = [scorer.features(t).tolist() for t in batch["text"]]
+            rows = [scorer().features(t).tolist() for t in batch["text"]]
             yield pd.DataFrame({"x": rows, "y": batch["toxic"].astype(float)})
 
     rows = sample.mapInPandas(described, "x array<double>, y double").toPandas()
@@ -347,13 +353,14 @@ def score(docs: DataFrame, model: Model, text: str = "text", threshold: float =
 
     Columns of those names in `docs` are replaced; repeated rows get equal scores.
     """
-    shared = shared_by_value(docs.sparkSession, model)  # the terms of the bounded sample
+    # The terms of the bounded sample.
+    shared = shared_by_value(docs.sparkSession, (model, Scorer(model.lexicon)))
 
     @F.pandas_udf("double")
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        scorer = Scorer(shared().lexicon)
+        known, scorer = shared()
         for texts in batches:
-            yield pd.Series(shared().scores([t if isinstance(t, str) else None for t in texts], scorer))
+            yield pd.Series(known.scores([t if isinstance(t, str) else None for t in texts], scorer))
 
     out = docs.withColumn("score", scored(F.col(text)))
     return out.withColumn("predicted", F.when(F.col("score") >= threshold, 1).otherwise(0))
