@@ -5,11 +5,12 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterable
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
-# Set to true where the checkpoint folder is a file path on storage that all executors mount.
+# Set to true where the checkpoint folder is a file path on storage that all executors mount: it is not tried then.
 SHARED_MOUNT = "spark.berthline.checkpoint.shared"
 
 # Settings the operators rely on.  Sizes are left to the cluster: AQE coalesces
@@ -99,19 +100,35 @@ def delete_path(spark: SparkSession, path: str) -> None:
     files.delete(where, True)
 
 
+@cache
+def _temporary(application: str) -> str:
+    return tempfile.mkdtemp(prefix="berthline-")
+
+
+@cache
+def _reaches_all(spark: SparkSession, base: str) -> bool:
+    """Whether what tasks write to a folder is there for later reads: tried once, with a row from each of as many tasks as run at once."""
+    path, tasks = f"{base}/probe-{uuid.uuid4().hex}", spark.sparkContext.defaultParallelism
+    spark.range(0, tasks, 1, tasks).write.parquet(path)
+    return spark.read.schema("id long").parquet(path).count() == tasks
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A new, unused path below the folder that all executors share."""
-    base = spark.conf.get(CHECKPOINT_DIR, None)
-    local = spark.sparkContext.master.startswith("local")
-    if not base and not local:
-        raise ValueError(f"set {CHECKPOINT_DIR} to a folder that every executor can reach")
-    if base and not local and (base.startswith("file:") or "://" not in base and base.startswith("/")):
-        if not shared_mount(spark):
-            raise ValueError(f"{CHECKPOINT_DIR} is a local path; set {SHARED_MOUNT} if it is a mount all executors share")
-    if not base:
-        base = tempfile.mkdtemp(prefix="berthline-")
-        spark.conf.set(CHECKPOINT_DIR, base)
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A new, unused path below the folder that all executors share.
+
+    The folder is spark.checkpoint.dir or the one given to setCheckpointDir; without either a temporary one where all runs in
+    one process, else one in the warehouse.  A local path off a local master is tried first, unless it is said to be a shared mount.
+    """
+    # Spark refuses to set spark.checkpoint.dir in a running session, so what is chosen here is kept here.
+    base = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
+    master = spark.sparkContext.master
+    if not base and (master == "local" or master.startswith("local[")):
+        base = _temporary(spark.sparkContext.applicationId)
+    base = (base or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/berthline-scratch").rstrip("/")
+    if not master.startswith("local") and (base.startswith("file:") or "://" not in base and base.startswith("/")):
+        if not shared_mount(spark) and not _reaches_all(spark, base):
+            raise ValueError(f"{base} is a local path that executors do not share; set {CHECKPOINT_DIR} to a folder that every executor can reach")
+    return f"{base}/{label}-{uuid.uuid4().hex}"
 
 
 def stored(df: DataFrame, path: str) -> DataFrame:
