@@ -86,3 +86,10 @@ def test_empty_tables(spark):
     got = decontam.digests(decontam.contamination(d, b.limit(0))).first()
     assert (got.n_words, got.n_hit, got.n_items, got.contaminated) == (2, 0, 0, False)
     assert decontam.contamination(d.limit(0), b).collect() == []
+
+
+def test_words_are_split_off(spark):
+    texts = [None, "", " ", "A", "a-b", ".a", "a.", "\x00\x7fÉA b9\u2028Z`{|", "\n\n", "1 22\t333", "\U0001f600 x\U0001f600y", "É É", "ß_ǅ", "--a--b--"]
+    asked = spark.createDataFrame([(t,) for t in texts], "text string").select("text", decontam.words("text").alias("words"))
+    assert {r.text: r["words"] for r in asked.collect()} == {t: words(t) for t in texts}
+    assert "regexp_extract_all" not in asked._jdf.queryExecution().optimizedPlan().toString()
