@@ -33,8 +33,9 @@ PIECE = 1 << 19
 MAX_GRAMS = 1_000_000
 # Numbers of an array that are written at once.
 FILE_PIECE = 1 << 20
-# Bound of the labelled rows that the rejection is calibrated on.
-CALIBRATION_DOCS = 4000
+# Numbers that are sorted at once where one of a given rank is looked for, and parts that more of them are counted in.
+RANKED_AT_ONCE = 10_000
+PARTS = 1024
 # A text is rejected beyond this many times the largest deviation but one in a thousand of labelled texts.
 REJECT_FACTOR = 3.0
 LEAST_REJECT = 12.0
@@ -280,27 +281,54 @@ class Identifier:
         return out
 
 
-def train(labelled: DataFrame, max_grams: int = MAX_GRAMS, calibration_docs: int = CALIBRATION_DOCS) -> Identifier:
-    """Fit on (doc_id, lang, text); rows without lang or text take no part.  Models of more than max_grams 4-grams are mapped files."""
+def ranked(numbers: DataFrame, rank: int, at_once: int = RANKED_AT_ONCE) -> float:
+    """The number of a rank (from 0, ascending) in a column `far` of finite doubles: counted in equal parts of their range, then in those of the part it lies in."""
+    part = numbers
+    low, high, rows = numbers.agg(F.min("far"), F.max("far"), F.count("far")).first()
+    while rows > at_once and low < high:
+        place = F.least(F.floor((F.col("far") - low) / (high - low) * PARTS), F.lit(PARTS - 1))
+        counted = part.groupBy(place.alias("place")).agg(F.min("far").alias("low"), F.max("far").alias("high"), F.count("*").alias("rows"))
+        for row in counted.orderBy("place").collect():
+            if rank < row["rows"]:
+                break
+            rank -= row["rows"]
+        low, high, rows = row["low"], row["high"], row["rows"]
+        part = numbers.filter(F.col("far").between(low, high))
+    return low if low == high else sorted(r["far"] for r in part.select("far").collect())[rank]
+
+
+def quantile(numbers: DataFrame, per_mille: int) -> float | None:
+    """The exact quantile of the column `far`, between the two ranks it falls between; none without rows."""
+    rows = numbers.count()
+    if not rows:
+        return None
+    below, part = divmod((rows - 1) * per_mille, 1000)
+    first = ranked(numbers, below)
+    return first + (ranked(numbers, below + 1) - first) * part / 1000 if part else first
+
+
+def train(labelled: DataFrame, max_grams: int = MAX_GRAMS) -> Identifier:
+    """Fit on (lang, text); rows without lang or text take no part.  Models of more than max_grams 4-grams are mapped files.
+
+    The rejection is calibrated on all rows that have a letter.
+    """
     labelled = labelled.filter("lang is not null and text is not null")
     counts = keep(gram_counts(labelled), "grams")
     found = Identifier(counts.toPandas()) if counts.count() <= max_grams else Identifier.of_files(counts)
-    order = F.xxhash64("doc_id")
-    ids = labelled.select("doc_id", order.alias("place")).orderBy("place", "doc_id").limit(calibration_docs).select("doc_id").distinct()
-    # At most calibration_docs ids.
-    sample = labelled.join(F.broadcast(ids), "doc_id").select("lang", "text")
+    if not found.models:
+        return found
+    shared = shared_by_value(labelled.sparkSession, found)  # at most max_grams entries, or the names of files
 
     def deviations(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        model = shared()
         for batch in batches:
             if len(batch):
-                bits, length = found.cross_entropies(batch["text"].tolist())
+                bits, length = model.cross_entropies(batch["text"].tolist())
                 best = bits.argmin(axis=1)
-                far = found.deviation(bits, length, best)[length > 0]
-                yield pd.DataFrame({"far": far})
+                yield pd.DataFrame({"far": model.deviation(bits, length, best)[length > 0]})
 
-    if found.models:
-        far = sample.mapInPandas(deviations, "far double").agg(F.percentile("far", 0.999)).first()[0]
-        found.limit = max(LEAST_REJECT, REJECT_FACTOR * (far or 0.0))
+    far = quantile(keep(labelled.select("text").mapInPandas(deviations, "far double"), "deviations"), 999)
+    found.limit = max(LEAST_REJECT, REJECT_FACTOR * (far or 0.0))
     return found
 
 

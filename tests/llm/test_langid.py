@@ -135,3 +135,23 @@ def test_small_language_beside_a_large_one_in_a_small_model(spark):
     a, b = (sorted(map(tuple, langid.identify(df, m).collect())) for m in (whole, small))
     assert a == b and all(r[2] == r[3] and not r[6] for r in b)
     assert sum(len(m.grams[-1][0]) for m in small.models) == langid.gram_counts(df).count() > 50
+
+
+def test_rejection_is_calibrated_on_all_labelled_texts(spark):
+    """Two in a thousand of 6,000 labelled texts lie far from their language: a sample of the texts may have none of them."""
+    rng = random.Random(11)
+    rows = [(i, "qxw " * 30 if i % 500 == 7 else text(rng, "xx", 8), "xx") for i in range(6000)]
+    model = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    bits, length = model.cross_entropies([r[1] for r in rows])
+    far = model.deviation(bits, length, bits.argmin(axis=1))
+    assert model.limit == pytest.approx(max(langid.LEAST_REJECT, langid.REJECT_FACTOR * np.quantile(far, 0.999)))
+
+
+@pytest.mark.parametrize("at_once", [1, 7, 10_000])
+def test_ranks_in_parts(spark, at_once):
+    rng = random.Random(13)
+    numbers = [rng.choice([-1.5, 0.0, 2.25, rng.gauss(0, 1), rng.gauss(5, 1e-9), 1e6 * rng.random()]) for _ in range(500)]
+    df = spark.createDataFrame([(x,) for x in numbers], "far double").cache()
+    assert [langid.ranked(df, k, at_once) for k in (0, 1, 250, 498, 499)] == [sorted(numbers)[k] for k in (0, 1, 250, 498, 499)]
+    assert langid.quantile(df, 999) == pytest.approx(float(np.quantile(numbers, 0.999)))
+    assert langid.quantile(df.limit(1), 999) == df.first()[0] and langid.quantile(df.limit(0), 999) is None
