@@ -111,3 +111,15 @@ def test_rules_are_posted_under_their_rarest_token(spark):
     assert rules == {("rare",): ("block", 10, 10, "rare"), ("common", "rare"): ("block", 10, 10, "rare")}
     plan = url_rules.matched(urls, url_rules.mine(urls).filter(F.lit(True)))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_all_frequent_tokens_are_mined(spark):
+    """25 tokens tell more alone than a and b do, but only with a and b together is every URL blocked."""
+    many = [f"t{i}" for i in range(25)]
+    kinds = [(20, [*many, "a", "b"], "block"), (10, many, None), (15, ["a"], None), (15, ["b"], None)]
+    rows = [(f"{k}-{i}", tokens, verdict) for k, (n, tokens, verdict) in enumerate(kinds) for i in range(n)]
+    urls = spark.createDataFrame(rows, "url string, tokens array<string>, verdict string")
+    rules = {tuple(r.tokens): (r.verdict, r.hits, r.n, r.rarest) for r in url_rules.mine(urls).collect()}
+    assert rules == {("a", "b"): ("block", 20, 20, "a"), **{k: ("block", 20, 20, "t9") for k in [("a", "t9"), ("b", "t9"), ("a", "b", "t9")]}}
+    told = url_rules.matched(urls, url_rules.mine(urls)).collect()
+    assert sorted(r.url for r in told) == sorted(f"0-{i}" for i in range(20)) and {r.verdict for r in told} == {"block"}
