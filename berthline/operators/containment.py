@@ -35,10 +35,11 @@ def contained(parts: DataFrame, wholes: DataFrame, by: list[str], q: int = Q, em
     # A text becomes many keys: texts are dealt out before that.
     tasks = int(wholes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     held = wholes.repartition(tasks, "whole").select(*by, "whole", "whole_hit", F.explode(_keys(F.col("whole"), q, empty)).alias("piece"))
-    counts = held.groupBy(*by, "piece").agg(F.count("*").alias("n"))
+    # Spark takes a file's compressed size for that of all the pieces its texts become: it would broadcast any number of them.
+    counts = held.groupBy(*by, "piece").agg(F.count("*").alias("n")).hint("merge")
     asked = parts.select(*by, "part", "part_hit", F.explode(_needed(F.col("part"), q, empty)).alias("piece"))
     found = asked.join(counts, [*by, "piece"], "left")
     rare = F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "piece")).alias("rare")
     keyed = found.groupBy(*by, "part").agg(rare, F.min("part_hit").alias("part_hit")).filter("rare.n > 0")
     keyed = keyed.select(*by, "part", "part_hit", F.col("rare.piece").alias("piece"))
-    return keyed.join(held, [*by, "piece"]).filter(F.contains("whole", "part")).drop("piece")
+    return keyed.join(held.hint("merge"), [*by, "piece"]).filter(F.contains("whole", "part")).drop("piece")

@@ -17,7 +17,7 @@ from berthline import fixed_values as fv
 from berthline.dims import area_table
 from berthline.functions.text import _col
 from berthline.operators.containment import contained
-from berthline.session import stored
+from berthline.session import joinable, stored
 
 EXACT, AREA_PART, UNIQUE_NAME, NAME_PART = 1, 2, 3, 4
 # Whose text is part of the other's: the map's or the listing's, of names or of areas below one name.
@@ -94,6 +94,8 @@ def resolve_pairs(pairs: DataFrame, entities: DataFrame, strict: bool = True, ke
     exact = entities.select(F.col("name").alias("ship_name"), F.col("area").alias("area_sub"), _hit(EXACT).alias("hit"))
     areas = best.filter("not of_name").select(F.col("by").alias("ship_name"), F.col("own").alias("area_sub"), "hit")
     areas = areas.unionByName(exact).groupBy("ship_name", "area_sub").agg(least)
+    # Both are as many as the matches; Spark would judge them by compressed files, and broadcast too many.
+    areas, names = areas.hint("merge"), names.hint("merge")
     # A pair's best hit by name and area, and by name alone.
     met = pairs.join(areas, ["ship_name", "area_sub"], "left").join(names.withColumnRenamed("hit", "name_hit"), "ship_name", "left")
     chosen = met.select("ship_name", "area_sub", F.least("hit", "name_hit").alias("hit")).filter("hit is not null")
@@ -114,7 +116,10 @@ def _resolved(pairs: DataFrame, entities: DataFrame, strict: bool, coords: DataF
     resolved = resolve_pairs(kept(pairs, "pairs"), kept(entities, "map"), strict, kept).withColumnRenamed("stage", "match_stage")
     if coords is not None:
         resolved = resolved.join(_known(coords), "boat_id", "left")
-    return kept(resolved, "resolved")
+    if not scratch:
+        return resolved
+    path = f"{scratch}/resolved-{uuid.uuid4().hex}"
+    return joinable(stored(resolved, path), path)
 
 
 def resolve_entities(

@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 # Set to true where the checkpoint folder is a file path on storage that all executors mount: it is not tried then.
 SHARED_MOUNT = "spark.berthline.checkpoint.shared"
+# Compressed files of a table that a join may broadcast, see `joinable`.
+BROADCAST_FILE_BYTES = 1 << 20
 
 # Settings the operators rely on.  Sizes are left to the cluster: AQE coalesces
 # small shuffle partitions and splits skewed ones, so only the upper bound of
@@ -95,6 +97,15 @@ def write_bytes(spark: SparkSession, path: str, pieces: Iterable[bytes]) -> None
         stream.close()
 
 
+def joinable(df: DataFrame, path: str) -> DataFrame:
+    """`df`, which reads `path`, for joins: not broadcast where its files are over BROADCAST_FILE_BYTES.
+
+    Spark compares their size with its threshold, but a hash table takes some twenty to fifty times that of the driver.
+    """
+    where, files = _located(df.sparkSession, path)
+    return df.hint("merge") if files.getContentSummary(where).getLength() > BROADCAST_FILE_BYTES else df
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     where, files = _located(spark, path)
     files.delete(where, True)

@@ -142,6 +142,21 @@ def test_resolution_reads_the_listing_twice(spark, tmp_path, monkeypatch):
     assert sum(scans(E.matched_per_date(df, known, scratch=str(tmp_path / "y")))) == 1
 
 
+def test_pieces_and_matches_are_not_broadcast(spark, tmp_path, monkeypatch):
+    """Their number is not what the size of the compressed files that they come from tells Spark."""
+    spark.range(400).selectExpr("'k' as by", "concat('boat ', id) as whole", "id as whole_hit").write.parquet(str(tmp_path / "wholes"))
+    wholes = spark.read.parquet(str(tmp_path / "wholes"))
+    parts = spark.createDataFrame([("k", "boat 39", 1)], "by string, part string, part_hit long")
+    found = contained(parts, wholes, ["by"])
+    assert "Broadcast" not in plan_of(found) and found.count() == 11
+    listing = wholes.selectExpr("whole as ship_name", "'x' as area_sub")
+    known = listing.selectExpr("cast(0 as int) as ord", "ship_name as name", "area_sub as area", "cast(7 as int) as boat_id")
+    assert "Broadcast" in plan_of(E.resolve_entities(listing, known, scratch=str(tmp_path / "few")))
+    monkeypatch.setattr("berthline.session.BROADCAST_FILE_BYTES", 0)
+    many = E.resolve_entities(listing, known, scratch=str(tmp_path / "many"))
+    assert "Broadcast" not in plan_of(many) and many.filter("boat_id = 7").count() == 400
+
+
 @pytest.mark.parametrize(("q", "empty"), [(3, False), (2, True), (1, False)])
 def test_containment_equals_brute_force(spark, q, empty):
     texts = ["", "a", "ab", "abc", "bca", "abcabc", "xabcx", "\U0001f41f\U0001f41fab", "\U0001f41f", "zz", "zzz", "z z", None, "x" * 300, "x" * 299]
