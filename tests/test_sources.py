@@ -1,6 +1,7 @@
 import datetime as dt
 import json
 
+from conftest import plan_of
 from pyspark.sql import functions as F
 
 from berthline.sources.calendar_html import page_cells
@@ -24,6 +25,7 @@ from berthline.sources.listing import (
     split_rejects,
 )
 from berthline.sources.tables import read_ad_sheet, read_ad_sheet_csv
+from berthline.workloads.fixtures import Tables
 
 
 
@@ -240,3 +242,20 @@ def test_calendar_text_at_the_end_of_a_cut_page():
 def test_decimal_prices(recs):
     rows = parse_listing_v1(recs('{"price":12000.5}', '{"price":99999999999999999999}', '{"price":1.25e3}', '{"price":0.0}'), run_ts())
     assert [r.price for r in rows.orderBy("n").collect()] == ["12,000.5원", "99,999,999,999,999,999,999원", "1,250원", "전화문의"]
+
+
+def test_large_tables_are_not_broadcast_to_the_orders(spark, tmp_path, monkeypatch):
+    """Their compressed files are below Spark's threshold long before their hash tables fit the driver."""
+    rows = {
+        "region": "0 as r_regionkey, 'ASIA' as r_name",
+        "nation": "0 as n_nationkey, 'NATION_0' as n_name, 0 as n_regionkey",
+        "customer": "id as c_custkey, 'c' as c_name, 0 as c_nationkey, 1D as c_acctbal, 'X' as c_mktsegment",
+        "part": "id as p_partkey, 'red gear' as p_name, 'B' as p_brand, 'T' as p_type, 1 as p_size, 1D as p_retailprice",
+        "orders": "id as o_orderkey, id as o_custkey, 'O' as o_orderstatus, 5D as o_totalprice, timestamp_ntz '2000-05-22' as o_orderdate, '1' as o_orderpriority",
+    }
+    for name, columns in rows.items():
+        spark.range(1 if name in ("region", "nation") else 4).selectExpr(*columns.split(", ")).write.parquet(f"{tmp_path}/{name}.parquet")
+    joins = lambda: [plan_of(Tables(spark, str(tmp_path)).seat_listing).count(f"{kind}Join [") for kind in ("BroadcastHash", "SortMerge")]
+    assert joins() == [4, 0]
+    monkeypatch.setattr("berthline.session.BROADCAST_FILE_BYTES", 0)
+    assert joins() == [2, 2] and Tables(spark, str(tmp_path)).seat_listing.count() == 4
