@@ -566,7 +566,7 @@ _INGEST = """landed as (
 def incremental_ingest(t: Tables) -> DataFrame:
     """Two landings of documents, ingested as streams, and a replay that must change nothing.
 
-    A document holds all records of a key in one landing, so its last one wins.
+    A key's records in one landing lie in order within a document, and in documents that land one after the other, so its last one wins.
     """
     root, _ = _ingested(t)
     return read_seats(t.spark, f"{root}/seats").select(
@@ -610,17 +610,24 @@ def ingest_history(t: Tables) -> DataFrame:
     )
 
 
+# Records of a landed document.
+DOC_RECORDS = 2000
+
+
 def _ingested(t: Tables, halves: tuple[int, ...] = (0, 1), repeats_within: str | None = None) -> tuple[str, str]:
     root = scratch_dir(t.spark, "incremental")
-    # A document holds some two thousand records, however many there are; the first two have the odd ones.
-    buckets = max(2, t.table("orders").count() // 4000)
+    # A document holds two thousand records at most, however many there are of its keys; the first of two buckets have the odd ones.
+    buckets = max(2, t.table("orders").count() // (2 * DOC_RECORDS))
     docs = t.sql(
-        f"""select half, concat('[', array_join(transform(array_sort(collect_list(struct(ord, value))), e -> e.value), ','), if(half = bucket, ',7]', ']')) as value
-        from (select cast(ord % 2 as int) as half, pmod(key, {buckets}) as bucket, ord, value from {{aliased}}) r group by half, bucket""",
+        f"""select half, bucket, chunk, concat('[', array_join(transform(array_sort(collect_list(struct(ord, value))), e -> e.value), ','),
+          if(half = bucket and chunk = 0, ',7]', ']')) as value
+        from (select *, (row_number() over (partition by half, bucket order by ord, value) - 1) div {DOC_RECORDS} as chunk
+          from (select cast(ord % 2 as int) as half, pmod(key, {buckets}) as bucket, ord, value from {{aliased}}) r) c group by half, bucket, chunk""",
         aliased=t.sql(ALIASED.replace("select ord,", f"select ord, crc32(concat_ws('|', ship_name, {_DATE}, depart_time, schedule_no)) as key,")),
     )
     for half in halves:
-        landing = docs.filter(F.col("half") == half).select("value")
+        # A bucket is one partition: its documents are written one after the other, so that of a key's records the last lands last.
+        landing = docs.filter(F.col("half") == half).sortWithinPartitions("bucket", "chunk").select("value")
         broken = t.spark.range(1).select(F.lit('[{"name":').alias("value"))
         files = landing.union(broken).write.mode("append").option("maxRecordsPerFile", 1)
         files.text(f"{root}/landing")
