@@ -14,7 +14,7 @@ from berthline.plans.availability import (
     listing_ships,
     unified_ships,
 )
-from berthline.session import scratch_dir, stored
+from berthline.session import list_names, scratch_dir, stored
 from berthline.functions.text import page_title
 from berthline.schemas import PAYLOAD_COLUMNS
 from berthline.sinks.documents import (
@@ -610,6 +610,12 @@ def ingest_history(t: Tables) -> DataFrame:
     )
 
 
+def _run(t: Tables, root: str, repeats_within: str | None) -> None:
+    """A landing is one batch, and so one version of the table, however many files it has."""
+    files = len(list_names(t.spark, f"{root}/landing"))
+    run_incremental(t.spark, f"{root}/landing", f"{root}/seats", f"{root}/state", files, repeats_within)
+
+
 # Records of a landed document.
 DOC_RECORDS = 2000
 
@@ -631,6 +637,6 @@ def _ingested(t: Tables, halves: tuple[int, ...] = (0, 1), repeats_within: str |
         broken = t.spark.range(1).select(F.lit('[{"name":').alias("value"))
         files = landing.union(broken).write.mode("append").option("maxRecordsPerFile", 1)
         files.text(f"{root}/landing")
-        run_incremental(t.spark, f"{root}/landing", f"{root}/seats", f"{root}/state", repeats_within=repeats_within)
-    run_incremental(t.spark, f"{root}/landing", f"{root}/seats", f"{root}/state", repeats_within=repeats_within)
+        _run(t, root, repeats_within)
+    _run(t, root, repeats_within)
     return root, f"{root}/state"
