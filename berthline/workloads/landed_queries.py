@@ -633,7 +633,9 @@ def _ingested(t: Tables, halves: tuple[int, ...] = (0, 1), repeats_within: str |
     )
     for half in halves:
         # A bucket is one partition: its documents are written one after the other, so that of a key's records the last lands last.
-        landing = docs.filter(F.col("half") == half).sortWithinPartitions("bucket", "chunk").select("value")
+        # Buckets come in the order of the shuffle that makes them, as without chunks: null and empty names are two buckets but one key.
+        place = F.pmod(F.hash("half", "bucket"), F.lit(int(t.spark.conf.get("spark.sql.shuffle.partitions"))))
+        landing = docs.filter(F.col("half") == half).sortWithinPartitions(place, "bucket", "chunk").select("value")
         broken = t.spark.range(1).select(F.lit('[{"name":').alias("value"))
         files = landing.union(broken).write.mode("append").option("maxRecordsPerFile", 1)
         files.text(f"{root}/landing")
